@@ -1,0 +1,20 @@
+"""Broadcast a join side only after proving its size."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default bound: ~1M rows of a narrow build side (tens of MB), well under the driver/executor
+# broadcast limits.  Above it the join stays a shuffle (sort-merge) join.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Return (df with a broadcast hint, True) when df has at most max_rows rows, else (df, False).
+
+    The check counts at most max_rows + 1 rows, so it stays cheap even when the side is large.
+    """
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(df), True
+    return df, False
