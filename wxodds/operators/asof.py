@@ -77,13 +77,24 @@ def interval_buckets(iv: DataFrame, cap: Column) -> DataFrame:
     return iv.withColumn("_hour", F.explode(hours)).drop("next__from", "_tb")
 
 
+def market_time_cap(pred: DataFrame) -> Column:
+    """Upper end for the open last weather interval: the latest market poll (one scalar)."""
+    latest = pred.agg(F.max("POLL_TIMESTAMP")).first()[0]
+    return F.lit(latest).cast("timestamp")
+
+
 def asof_weather_join(pred: DataFrame, wx: DataFrame, match: str = "city", how: str = "inner",
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """pred rows + w_* weather columns of the matched record (see module doc)."""
+                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      cap: Column | None = None) -> DataFrame:
+    """pred rows + w_* weather columns of the matched record (see module doc).
+
+    `cap` bounds the open last interval of each (city, class); any value at or after the latest
+    market poll gives the same result (default: computed from `pred`)."""
     p = (pred.withColumn("_city", location_key(F.col("LOCATION_NAME")))
          .withColumn("_cls", market_class(match))
          .withColumn("_hour", _hour(F.col("POLL_TIMESTAMP"))))
-    cap = pred.select(F.max("POLL_TIMESTAMP")).scalar()
+    if cap is None:
+        cap = market_time_cap(pred)
     wb = interval_buckets(weather_intervals(wx, match), cap)
     wb, _ = broadcast_if_small(wb, max_broadcast_rows)
     wb = wb.withColumnRenamed("_city", "_wcity").withColumnRenamed("_cls", "_wcls")\
@@ -137,5 +148,6 @@ def forward_weather_join(pred: DataFrame, wx: DataFrame, horizon_seconds: int =
     cond = [p["_city"] == iv["_wcity"], p["_cls"] == iv["_wcls"], p["_hour"] == iv["_whour"],
             p["POLL_TIMESTAMP"] >= iv["_lo"], p["POLL_TIMESTAMP"] < iv["_from"]]
     j = p.join(iv, cond, "left")
-    return (j.withColumn("wait_seconds", F.unix_seconds(F.col("_from")) - F.unix_seconds(F.col("POLL_TIMESTAMP")))
+    return (j.withColumn("resolved_by", F.col("_from"))
+            .withColumn("wait_seconds", F.unix_seconds(F.col("_from")) - F.unix_seconds(F.col("POLL_TIMESTAMP")))
             .drop("_city", "_cls", "_hour", "_wcity", "_wcls", "_whour", "_lo", "_from"))

@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wxodds.operators import accuracy, anomaly, correlate, ingest
+from wxodds.operators import accuracy, anomaly, asof, correlate, ingest
 from wxodds.session import pin_utc
 from wxodds.sources import fixtures, sinks
 
@@ -47,9 +47,14 @@ class Flow:
     def geo(self) -> DataFrame:
         return fixtures.geo_dim(self.spark)
 
+    @cached_property
+    def market_cap(self):
+        """Latest market poll of the raw feed (>= latest valid poll); bounds open weather intervals."""
+        return asof.market_time_cap(self.shaped)
+
     @cached_property
     def corr_ext(self) -> DataFrame:
-        return correlate.correlate(self.pred, self.wx, keep_extra=True)
+        return correlate.correlate(self.pred, self.wx, keep_extra=True, cap=self.market_cap)
 
     @cached_property
     def corr(self) -> DataFrame:
