@@ -38,15 +38,20 @@ def is_weather_text(text) -> Column:
     return F.coalesce(_contains_any(F.lower(_c(text)), WEATHER_KEYWORDS), F.lit(False))
 
 
+# the characters the patterns' \s matches, stripped from both ends of a captured name
+_WHITESPACE = " \t\n\u000b\f\r"
+
+
 def _strip(x: Column) -> Column:
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    return F.btrim(x, F.lit(_WHITESPACE))
 
 
 def _city_from(text: Column) -> Column:
+    # The captured group starts with [A-Z], so an empty extract means "no match".
     t = F.coalesce(text, F.lit(""))
-    first = F.when(t.rlike(CITY_PATTERN_PRIMARY), _strip(F.regexp_extract(t, CITY_PATTERN_PRIMARY, 1)))
-    second = F.when(t.rlike(CITY_PATTERN_FALLBACK), _strip(F.regexp_extract(t, CITY_PATTERN_FALLBACK, 1)))
-    return F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")))
+    first = F.nullif(_strip(F.regexp_extract(t, CITY_PATTERN_PRIMARY, 1)), F.lit(""))
+    second = F.nullif(_strip(F.regexp_extract(t, CITY_PATTERN_FALLBACK, 1)), F.lit(""))
+    return F.coalesce(first, second)
 
 
 def parse_city(question, title) -> Column:
@@ -68,12 +73,12 @@ def question_type(question) -> Column:
 
 def target_temp(question) -> Column:
     """First '<number>[°]C|F' in the question, in °C; null when there is none."""
+    # group 2 is a mandatory letter, so an empty unit means "no match"
     q = F.coalesce(_c(question), F.lit(""))
-    has = q.rlike(TEMP_PATTERN)
-    value = F.regexp_extract(q, TEMP_PATTERN, 1).try_cast("double")
     unit = F.regexp_extract(q, TEMP_PATTERN, 2)
+    value = F.regexp_extract(q, TEMP_PATTERN, 1).try_cast("double")
     celsius = F.when(unit == "F", (value - 32) * 5.0 / 9.0).otherwise(value)
-    return F.when(has, celsius)
+    return F.when(unit != "", celsius)
 
 
 def compute_outcome(question, actual, target) -> Column:

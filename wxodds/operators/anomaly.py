@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wxodds.functions.core import fixed_text, scaled_int
 from wxodds.operators.accuracy import valid_location
-from wxodds.operators.ordered import lag_by_key, range_frame_by_key, running_sums_by_key
+from wxodds.operators.ordered import range_frame_by_key, scan_by_key
 
 # ---------------------------------------------------------------------------
 # Thresholds and message formats of the four alert rules.
@@ -55,10 +55,9 @@ def min_sample_filter(acc: DataFrame) -> DataFrame:
 def running_baseline(acc: DataFrame) -> DataFrame:
     """Adds baseline_n, baseline_mean, baseline_sigma (sample) and prev_accuracy_rate per city."""
     a = min_sample_filter(acc).withColumn("_r", scaled_int(F.col("accuracy_rate"), 10_000))
-    a = running_sums_by_key(a, ["LOCATION_NAME"], "window_end", ["window_start"],
-                            {"baseline_n": F.lit(1).cast("long"), "_s1": F.col("_r"),
-                             "_s2": F.col("_r") * F.col("_r")})
-    a = lag_by_key(a, ["LOCATION_NAME"], "window_end", ["window_start"], ["accuracy_rate"])
+    a = scan_by_key(a, ["LOCATION_NAME"], "window_end", ["window_start"],
+                    {"baseline_n": F.lit(1).cast("long"), "_s1": F.col("_r"),
+                     "_s2": F.col("_r") * F.col("_r")}, lags=["accuracy_rate"])
     n = F.col("baseline_n")
     var_num = n * F.col("_s2") - F.col("_s1") * F.col("_s1")          # exact, in 1e-8 units * n^2
     sigma_r = F.when(n >= 2, F.sqrt(var_num / (n * (n - 1)))).otherwise(F.lit(0.0))
@@ -74,23 +73,51 @@ def _acc_alert(df: DataFrame, alert_type: str, detail: Column) -> DataFrame:
                      F.col("window_end").alias("ALERT_TIMESTAMP"))
 
 
-def alert_accuracy_drop(base: DataFrame) -> DataFrame:
+def _drop_rule() -> tuple[Column, Column]:
     prev, cur = F.col("prev_accuracy_rate"), F.col("accuracy_rate")
-    hit = base.where(prev.isNotNull() & ((prev - cur) > DROP_THRESHOLD))
+    hit = prev.isNotNull() & ((prev - cur) > DROP_THRESHOLD)
     detail = _text(DROP_TEXT, prev=fixed_text(prev * 100, 1), cur=fixed_text(cur * 100, 1),
                    delta=fixed_text((prev - cur) * 100, 1))
-    return _acc_alert(hit, "ACCURACY_DROP", detail)
+    return hit, detail
 
 
-def alert_accuracy_anomaly(base: DataFrame) -> DataFrame:
+def _anomaly_rule() -> tuple[Column, Column]:
     r = scaled_int(F.col("accuracy_rate"), 10_000)
-    hit = base.where((F.col("baseline_n") >= ANOMALY_MIN_POINTS)
-                     & (F.col("_sigma_r") > ANOMALY_MIN_SIGMA * 10_000)
-                     & (F.abs(r - F.col("_mean_r")) > ANOMALY_SIGMAS * F.col("_sigma_r")))
+    hit = ((F.col("baseline_n") >= ANOMALY_MIN_POINTS)
+           & (F.col("_sigma_r") > ANOMALY_MIN_SIGMA * 10_000)
+           & (F.abs(r - F.col("_mean_r")) > ANOMALY_SIGMAS * F.col("_sigma_r")))
     detail = _text(ANOMALY_TEXT, cur=fixed_text(F.col("accuracy_rate") * 100, 1),
                    mean=fixed_text(F.col("_mean_r") / 100.0, 1),
                    sigma=fixed_text(F.col("baseline_sigma"), 3))
-    return _acc_alert(hit, "ACCURACY_ANOMALY", detail)
+    return hit, detail
+
+
+def alert_accuracy_drop(base: DataFrame) -> DataFrame:
+    hit, detail = _drop_rule()
+    return _acc_alert(base.where(hit), "ACCURACY_DROP", detail)
+
+
+def alert_accuracy_anomaly(base: DataFrame) -> DataFrame:
+    hit, detail = _anomaly_rule()
+    return _acc_alert(base.where(hit), "ACCURACY_ANOMALY", detail)
+
+
+def _fan_out(df: DataFrame, rules: list[tuple[str, Column, Column]]) -> DataFrame:
+    """Evaluate several rules in one pass over df: each row yields one alert per rule it hits."""
+    hits = F.array_compact(F.array(*[
+        F.when(hit, F.struct(F.lit(name).alias("alert_type"), detail.alias("detail")))
+        for name, hit, detail in rules]))
+    return df.withColumn("_a", F.explode(hits)).withColumn("alert_type", F.col("_a.alert_type")) \
+        .withColumn("detail", F.col("_a.detail")).drop("_a")
+
+
+def accuracy_alerts(acc: DataFrame) -> DataFrame:
+    """ACCURACY_DROP and ACCURACY_ANOMALY from one baseline pass."""
+    base = running_baseline(acc)
+    f = _fan_out(base, [("ACCURACY_DROP", *_drop_rule()), ("ACCURACY_ANOMALY", *_anomaly_rule())])
+    return f.select("alert_type", "LOCATION_NAME", F.lit(None).cast("string").alias("condition_id"),
+                    "detail", F.col("window_end").alias("POLL_TIMESTAMP"),
+                    F.col("window_end").alias("ALERT_TIMESTAMP"))
 
 
 def _corr_alert(df: DataFrame, alert_type: str, detail: Column) -> DataFrame:
@@ -100,26 +127,42 @@ def _corr_alert(df: DataFrame, alert_type: str, detail: Column) -> DataFrame:
                      F.col("POLL_TIMESTAMP").alias("ALERT_TIMESTAMP"))
 
 
-def alert_arbitrage(corr: DataFrame) -> DataFrame:
-    hit = corr.where(valid_location() & F.coalesce(F.col("arbitrage_flag"), F.lit(False)))
-    return _corr_alert(hit, "ARBITRAGE",
-                       _text(ARBITRAGE_TEXT, question=F.coalesce(F.col("question"), F.lit(""))))
+def _arbitrage_rule() -> tuple[Column, Column]:
+    hit = F.coalesce(F.col("arbitrage_flag"), F.lit(False))
+    return hit, _text(ARBITRAGE_TEXT, question=F.coalesce(F.col("question"), F.lit("")))
 
 
-def alert_high_error(corr: DataFrame) -> DataFrame:
+def _high_error_rule() -> tuple[Column, Column]:
     e = F.col("PREDICTION_ERROR")
-    hit = corr.where(valid_location() & e.isNotNull() & ~F.isnan(e) & (e > HIGH_ERROR_THRESHOLD))
+    hit = e.isNotNull() & ~F.isnan(e) & (e > HIGH_ERROR_THRESHOLD)
     detail = _text(HIGH_ERROR_TEXT, err=fixed_text(e, 3), yes=fixed_text(F.col("yes_price"), 3),
                    target=fixed_text(F.col("target_temp"), 1),
                    actual=fixed_text(F.coalesce(F.col("actual_temp"), F.lit(0.0)), 1))
-    return _corr_alert(hit, "HIGH_ERROR", detail)
+    return hit, detail
+
+
+def alert_arbitrage(corr: DataFrame) -> DataFrame:
+    hit, detail = _arbitrage_rule()
+    return _corr_alert(corr.where(valid_location() & hit), "ARBITRAGE", detail)
+
+
+def alert_high_error(corr: DataFrame) -> DataFrame:
+    hit, detail = _high_error_rule()
+    return _corr_alert(corr.where(valid_location() & hit), "HIGH_ERROR", detail)
+
+
+def correlation_alerts(corr: DataFrame) -> DataFrame:
+    """ARBITRAGE and HIGH_ERROR in one pass over the correlations."""
+    f = _fan_out(corr.where(valid_location()),
+                 [("ARBITRAGE", *_arbitrage_rule()), ("HIGH_ERROR", *_high_error_rule())])
+    return f.select("alert_type", "LOCATION_NAME",
+                    F.coalesce(F.col("condition_id"), F.lit("")).alias("condition_id"), "detail",
+                    "POLL_TIMESTAMP", F.col("POLL_TIMESTAMP").alias("ALERT_TIMESTAMP"))
 
 
 def alerts_all(acc: DataFrame, corr: DataFrame) -> DataFrame:
     """Union of the four rules; one correlation row may raise two alerts."""
-    base = running_baseline(acc)
-    return (alert_accuracy_drop(base).unionByName(alert_accuracy_anomaly(base))
-            .unionByName(alert_arbitrage(corr)).unionByName(alert_high_error(corr)))
+    return accuracy_alerts(acc).unionByName(correlation_alerts(corr))
 
 
 def tag_and_union(acc: DataFrame, corr: DataFrame) -> DataFrame:

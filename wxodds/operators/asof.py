@@ -96,7 +96,7 @@ def asof_weather_join(pred: DataFrame, wx: DataFrame, match: str = "city", how:
     if cap is None:
         cap = market_time_cap(pred)
     wb = interval_buckets(weather_intervals(wx, match), cap)
-    wb, _ = broadcast_if_small(wb, max_broadcast_rows)
+    wb, _ = broadcast_if_small(wb, max_broadcast_rows, materialize=True)
     wb = wb.withColumnRenamed("_city", "_wcity").withColumnRenamed("_cls", "_wcls")\
         .withColumnRenamed("_hour", "_whour")
     cond = [p["_city"] == wb["_wcity"], p["_cls"] == wb["_wcls"], p["_hour"] == wb["_whour"],

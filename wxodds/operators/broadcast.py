@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       materialize: bool = False) -> tuple[DataFrame, bool]:
     """Return (df with a broadcast hint, True) when df has at most max_rows rows, else (df, False).
 
-    The check counts at most max_rows + 1 rows, so it stays cheap even when the side is large.
+    With materialize=True the side is first written with a reliable checkpoint (to the shared
+    spark.checkpoint.dir), so the size check and the join read the same computed rows instead of
+    evaluating the side twice.  Otherwise the check counts at most max_rows + 1 rows.
     """
-    n = df.limit(max_rows + 1).count()
+    if materialize:
+        df = df.checkpoint(eager=True)
+        n = df.count()
+    else:
+        n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False

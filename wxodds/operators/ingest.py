@@ -46,23 +46,29 @@ def _tagged() -> Column:
     return F.coalesce(F.array_contains(F.col("event_tags"), MARKET_TAG), F.lit(False))
 
 
+def _open_filter() -> Column:
+    return (_tagged() & F.coalesce(F.col("active"), F.lit(False))
+            & ~F.coalesce(F.col("closed"), F.lit(True)) & (_end_day() == _poll_day(0)))
+
+
+def _closed_filter() -> Column:
+    return _tagged() & F.coalesce(F.col("closed"), F.lit(False)) & (_end_day() == _poll_day(1))
+
+
 def scan_open_markets(raw_events: DataFrame) -> DataFrame:
     """Tagged, active, not closed, ending on the poll day (the poller's 'today')."""
-    m = explode_markets(raw_events)
-    return m.where(_tagged() & F.coalesce(F.col("active"), F.lit(False))
-                   & ~F.coalesce(F.col("closed"), F.lit(True)) & (_end_day() == _poll_day(0)))
+    return explode_markets(raw_events).where(_open_filter())
 
 
 def scan_closed_markets(raw_events: DataFrame) -> DataFrame:
     """Tagged, resolved markets that ended the day before the poll."""
-    m = explode_markets(raw_events)
-    return m.where(_tagged() & F.coalesce(F.col("closed"), F.lit(False))
-                   & (_end_day() == _poll_day(1)))
+    return explode_markets(raw_events).where(_closed_filter())
 
 
 def open_plus_closed(raw_events: DataFrame) -> DataFrame:
-    """Both polls of a cycle processed as one feed."""
-    return scan_open_markets(raw_events).unionByName(scan_closed_markets(raw_events))
+    """Both polls of a cycle processed as one feed: one pass with the two scan predicates OR'ed
+    (the predicates are disjoint, so this equals the union of the two scans)."""
+    return explode_markets(raw_events).where(_open_filter() | _closed_filter())
 
 
 def weather_keyword_filter(markets: DataFrame) -> DataFrame:
@@ -167,12 +173,17 @@ def validate_prediction(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def predictions(raw_events: DataFrame) -> DataFrame:
-    """The published prediction feed: shaped, change-suppressed, then validated."""
-    good, _ = validate_prediction(price_change_only(shaped_predictions(raw_events)))
+def published_predictions(shaped: DataFrame) -> DataFrame:
+    """Shaped records -> change-suppressed -> validated (what the producer publishes)."""
+    good, _ = validate_prediction(price_change_only(shaped))
     return good
 
 
+def predictions(raw_events: DataFrame) -> DataFrame:
+    """The published prediction feed from raw polled events."""
+    return published_predictions(shaped_predictions(raw_events))
+
+
 def schema_error_count(bad: DataFrame) -> DataFrame:
     return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rejected"))
 
@@ -225,7 +236,9 @@ def validate_weather(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def observations(raw_weather: DataFrame) -> DataFrame:
-    good, _ = validate_weather(scan_forecast(raw_weather).unionByName(scan_historical(raw_weather)))
+    """Forecast and historical polls shaped and validated in one pass (other kinds are rejected
+    by validation, as in the union of the two scans)."""
+    good, _ = validate_weather(shape_weather(raw_weather))
     return good
 
 

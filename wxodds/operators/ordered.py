@@ -116,3 +116,33 @@ def range_frame_by_key(df: DataFrame, keys: Sequence[str], ts: str, seconds: int
     for n, e in aggs.items():
         u = u.withColumn(n, e.over(w))
     return u.where(~F.col("_halo")).drop("_part", "_halo")
+
+
+def scan_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
+                sums: dict[str, Column], lags: Sequence[str] = (), prefix: str = "prev_",
+                block_seconds: int = DAY_SECONDS) -> DataFrame:
+    """Running sums and lags in one pass: one per-block summary, one carry row per block.
+
+    Equals running_sums_by_key followed by lag_by_key, with half the shuffles.
+    """
+    keys, lags, names = list(keys), list(lags), list(sums)
+    xs = [f"_x_{n}" for n in names]
+    d = (df.withColumn(_BLK, time_block(ts, block_seconds)).withColumn(_CARRY, F.lit(False))
+         .select("*", *[e.alias(f"_x_{n}") for n, e in sums.items()]))
+    summary = d.groupBy(*keys, _BLK).agg(
+        *[F.sum(x).alias(x) for x in xs],
+        *([F.max_by(F.struct(*lags), F.struct(*_order(ts, tiebreak))).alias(_V)] if lags else []))
+    wb = Window.partitionBy(*keys).orderBy(_BLK)
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        *keys, _BLK, *[F.sum(x).over(before).alias(x) for x in xs],
+        *([F.lag(_V).over(wb).alias(_V)] if lags else []))
+    carry = carry.where(F.col(xs[0]).isNotNull()).withColumn(_CARRY, F.lit(True))
+    if lags:
+        carry = carry.select("*", *[F.col(f"{_V}.{v}").alias(v) for v in lags]).drop(_V)
+    u = d.unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, _BLK).orderBy(F.col(_CARRY).desc(), *_order(ts, tiebreak))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.select("*", *[F.sum(x).over(run).alias(n) for n, x in zip(names, xs)],
+                 *[F.lag(v).over(w).alias(prefix + v) for v in lags])
+    return u.where(~F.col(_CARRY)).drop(_BLK, _CARRY, *xs)

@@ -3,9 +3,11 @@
     events -> raw market polls -> pred ┐
     events -> raw weather polls -> wx  ┴-> corr -> acc -> alerts -> serving tables
 
-Every stage is a lazy DataFrame; nothing is collected.  `Flow` only memoises the DataFrame
-objects so that queries built on the same stage share one logical plan (Spark reuses identical
-exchanges inside one query).
+The stage boundaries are the reference's durable topics (predictions, correlations,
+aggregates).  With `materialize=True` (default) each of those stages is written once with a
+reliable checkpoint to the cluster's shared `spark.checkpoint.dir` and read back, which cuts the
+lineage: downstream queries neither recompute the ingest/as-of chain per branch nor lose it with
+an executor.  Nothing is collected to the driver.
 """
 from __future__ import annotations
 
@@ -14,14 +16,18 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from wxodds.operators import accuracy, anomaly, asof, correlate, ingest
-from wxodds.session import pin_utc
-from wxodds.sources import fixtures, sinks
+from wxodds.session import ensure_checkpoint_dir, pin_utc
+from wxodds.sources import fixtures, sinks, stages
 
 
 class Flow:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         pin_utc(spark)
-        self.spark, self.sf_dir = spark, sf_dir
+        ensure_checkpoint_dir(spark)
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stages.materialize(df, name) if self.materialize else df
 
     @cached_property
     def raw_events(self) -> DataFrame:
@@ -33,15 +39,15 @@ class Flow:
 
     @cached_property
     def shaped(self) -> DataFrame:
-        return ingest.shaped_predictions(self.raw_events)
+        return self._stage(ingest.shaped_predictions(self.raw_events), "shaped")
 
     @cached_property
     def pred(self) -> DataFrame:
-        return ingest.predictions(self.raw_events)
+        return self._stage(ingest.published_predictions(self.shaped), "pred")
 
     @cached_property
     def wx(self) -> DataFrame:
-        return ingest.observations(self.raw_weather)
+        return self._stage(ingest.observations(self.raw_weather), "wx")
 
     @cached_property
     def geo(self) -> DataFrame:
@@ -54,7 +60,7 @@ class Flow:
 
     @cached_property
     def corr_ext(self) -> DataFrame:
-        return correlate.correlate(self.pred, self.wx, keep_extra=True, cap=self.market_cap)
+        return self._stage(correlate.correlate(self.pred, self.wx, keep_extra=True, cap=self.market_cap), "corr")
 
     @cached_property
     def corr(self) -> DataFrame:
@@ -62,7 +68,7 @@ class Flow:
 
     @cached_property
     def acc(self) -> DataFrame:
-        return accuracy.accuracy_sliding(self.corr)
+        return self._stage(accuracy.accuracy_sliding(self.corr), "acc")
 
     @cached_property
     def alerts(self) -> DataFrame:
