@@ -58,6 +58,11 @@ def running_baseline(acc: DataFrame) -> DataFrame:
     a = scan_by_key(a, ["LOCATION_NAME"], "window_end", ["window_start"],
                     {"baseline_n": F.lit(1).cast("long"), "_s1": F.col("_r"),
                      "_s2": F.col("_r") * F.col("_r")}, lags=["accuracy_rate"])
+    return baseline_columns(a)
+
+
+def baseline_columns(a: DataFrame) -> DataFrame:
+    """Mean and sample sigma from the running integer sums (baseline_n, _s1, _s2)."""
     n = F.col("baseline_n")
     var_num = n * F.col("_s2") - F.col("_s1") * F.col("_s1")          # exact, in 1e-8 units * n^2
     sigma_r = F.when(n >= 2, F.sqrt(var_num / (n * (n - 1)))).otherwise(F.lit(0.0))
@@ -113,7 +118,10 @@ def _fan_out(df: DataFrame, rules: list[tuple[str, Column, Column]]) -> DataFram
 
 def accuracy_alerts(acc: DataFrame) -> DataFrame:
     """ACCURACY_DROP and ACCURACY_ANOMALY from one baseline pass."""
-    base = running_baseline(acc)
+    return accuracy_alerts_from_baseline(running_baseline(acc))
+
+
+def accuracy_alerts_from_baseline(base: DataFrame) -> DataFrame:
     f = _fan_out(base, [("ACCURACY_DROP", *_drop_rule()), ("ACCURACY_ANOMALY", *_anomaly_rule())])
     return f.select("alert_type", "LOCATION_NAME", F.lit(None).cast("string").alias("condition_id"),
                     "detail", F.col("window_end").alias("POLL_TIMESTAMP"),

@@ -57,8 +57,10 @@ def score_pairs(pairs: DataFrame, keep_extra: bool = False) -> DataFrame:
          .where(F.col("_actual").isNotNull() & F.col("_target").isNotNull()
                 & legacy_fresh(F.col("POLL_TIMESTAMP"))))
     computed = compute_outcome(F.col("question"), F.col("_actual"), F.col("_target"))
-    outcome = F.when(closed, F.coalesce(yes_winner(F.col("tokens")), computed)).otherwise(computed)
-    d = d.withColumn("_yes", yes_price(F.col("tokens"))).withColumn("_out", outcome.cast("int"))
+    if "_yes_p" not in d.columns:          # token features, unless precomputed (streaming)
+        d = d.withColumn("_yes_p", yes_price(F.col("tokens"))).withColumn("_yes_win", yes_winner(F.col("tokens")))
+    outcome = F.when(closed, F.coalesce(F.col("_yes_win"), computed)).otherwise(computed)
+    d = d.withColumn("_yes", F.col("_yes_p")).withColumn("_out", outcome.cast("int"))
     cols = [
         F.coalesce(F.col("condition_id"), F.lit("null")).alias("condition_id"),
         F.col("question"), F.col("_qt").alias("question_type"),
