@@ -35,8 +35,11 @@ def duck():
     return con
 
 
+NO_SQL_FORM = {"write_topic"}      # JSON text layout is engine-specific
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == NO_SQL_FORM
 
 
 def test_entry(spark):
@@ -44,7 +47,7 @@ def test_entry(spark):
     assert df.columns == ["location_name", "accuracy"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)

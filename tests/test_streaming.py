@@ -126,3 +126,26 @@ def test_dedup_stream_drops_redelivered_polls(spark, flow, landed, scratch):
     _run(jobs.dedup_stream(pred), f"{scratch}/out", f"{scratch}/ck", ["question_id"])
     got = spark.read.parquet(f"{scratch}/out")
     assert got.count() == flow.pred.count()
+
+
+def test_interval_join_stream_equals_batch(spark, flow, landed, scratch):
+    from wxodds.operators import quality
+    pred = jobs.read_stream(spark, f"{landed}/pred", flow.pred.schema, max_files_per_trigger=1)
+    wx = jobs.read_stream(spark, f"{landed}/wx", flow.wx.schema, max_files_per_trigger=1)
+    _run(jobs.interval_join_stream(pred, wx), f"{scratch}/out", f"{scratch}/ck", ["question_id", "w_poll"])
+    got = spark.read.parquet(f"{scratch}/out")
+    cols = ["question_id", "POLL_TIMESTAMP", "w_poll", "w_data_type"]
+    assert _keyset(got, cols) == _keyset(quality.interval_weather_join(flow.pred, flow.wx), cols)
+
+
+def test_pending_join_stream_first_match_equals_batch(spark, flow, landed, scratch):
+    from wxodds.operators import quality
+    pred = jobs.read_stream(spark, f"{landed}/pred", flow.pred.schema, max_files_per_trigger=1)
+    wx = jobs.read_stream(spark, f"{landed}/wx", flow.wx.schema, max_files_per_trigger=1)
+    _run(jobs.pending_join_stream(pred, wx), f"{scratch}/out", f"{scratch}/ck", ["question_id", "w_poll"])
+    got = spark.read.parquet(f"{scratch}/out")
+    first = got.groupBy("question_id").agg(F.min("w_poll").alias("w_poll"))
+    batch = quality.pending_predictions(flow.pred, flow.wx).where(F.col("resolved_by").isNotNull())
+    want = dict((r.question_id, r.resolved_by) for r in batch.collect())
+    have = dict((r.question_id, r.w_poll) for r in first.collect())
+    assert want and all(have.get(q) == t for q, t in want.items())

@@ -13,12 +13,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
                        materialize: bool = False) -> tuple[DataFrame, bool]:
     """Return (df with a broadcast hint, True) when df has at most max_rows rows, else (df, False).
 
-    With materialize=True the side is first written with a reliable checkpoint (to the shared
-    spark.checkpoint.dir), so the size check and the join read the same computed rows instead of
+    With materialize=True the side is first written as a stage table under the shared
+    spark.checkpoint.dir, so the size check and the join read the same computed rows instead of
     evaluating the side twice.  Otherwise the check counts at most max_rows + 1 rows.
     """
     if materialize:
-        df = df.checkpoint(eager=True)
+        from wxodds.sources.stages import materialize as write_stage
+        df = write_stage(df, "broadcast-side")
         n = df.count()
     else:
         n = df.limit(max_rows + 1).count()

@@ -47,7 +47,8 @@ class Flow:
 
     @cached_property
     def wx(self) -> DataFrame:
-        return self._stage(ingest.observations(self.raw_weather), "wx")
+        # small; its only heavy consumer (the as-of interval table) is materialized itself
+        return ingest.observations(self.raw_weather)
 
     @cached_property
     def geo(self) -> DataFrame:

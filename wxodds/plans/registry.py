@@ -767,3 +767,63 @@ SELECT alert_timestamp, alert_type, location_name, detail FROM alerts_t
 ORDER BY alert_timestamp DESC NULLS LAST, alert_type, location_name, condition_id NULLS FIRST, detail LIMIT 50""")
 def q_topk(f: Flow) -> DataFrame:
     return serving.p_recent_alerts(f.alerts_table)
+
+
+# ====================================================================== sinks and topics
+
+@query("sink_correlations", """
+SELECT condition_id, question, question_type, location_name, yes_price, target_temp, actual_temp, data_type,
+       market_closed, actual_outcome, prediction_error, correlation_latency_sec, arbitrage_flag, poll_timestamp
+FROM correlations""")
+def q_sink_corr(f: Flow) -> DataFrame:
+    """The correlations table rows, narrowed to the table's types (NUMERIC/SMALLINT/INTEGER)."""
+    return f.correlations_table.drop("inserted_at")
+
+
+@query("sink_accuracy_windows", "SELECT * EXCLUDE (inserted_at) FROM accuracy_windows")
+def q_sink_acc(f: Flow) -> DataFrame:
+    return f.accuracy_table.drop("inserted_at")
+
+
+@query("sink_alerts", "SELECT * EXCLUDE (inserted_at) FROM alerts_t")
+def q_sink_alerts(f: Flow) -> DataFrame:
+    return f.alerts_table.drop("inserted_at")
+
+
+@query("table_schema_cast", """
+SELECT location_name, CAST(yes_price AS DOUBLE) AS yes_price, CAST(target_temp AS DOUBLE) AS target_temp,
+       CAST(actual_temp AS DOUBLE) AS actual_temp, CAST(prediction_error AS DOUBLE) AS prediction_error,
+       actual_outcome, correlation_latency_sec
+FROM correlations""")
+def q_table_cast(f: Flow) -> DataFrame:
+    """Narrowed numerics as the table stores them (shown as doubles)."""
+    t = f.correlations_table
+    return t.select("location_name", *[F.col(c).cast("double").alias(c) for c in
+                                       ["yes_price", "target_temp", "actual_temp", "prediction_error"]],
+                    "actual_outcome", "correlation_latency_sec")
+
+
+@query("read_topic", "SELECT * FROM corr")
+def q_read_topic(f: Flow) -> DataFrame:
+    """Correlations serialized to topic records and parsed back with the fixed schema."""
+    from wxodds import schemas
+    from wxodds.sources import topics
+    return topics.from_records(topics.to_records(f.corr), schemas.CORR)
+
+
+@query("scan_topic_bounded", """
+SELECT condition_id, question_id, LOCATION_NAME, POLL_TIMESTAMP, closed, price_sum, arbitrage_flag FROM pred""")
+def q_scan_topic(f: Flow) -> DataFrame:
+    """The prediction topic read once from its start to its end (bounded batch read)."""
+    from wxodds import schemas
+    from wxodds.sources import topics
+    back = topics.from_records(topics.to_records(f.pred), schemas.PRED)
+    return back.select("condition_id", "question_id", "LOCATION_NAME", "POLL_TIMESTAMP", "closed",
+                       "price_sum", "arbitrage_flag")
+
+
+@query("write_topic")
+def q_write_topic(f: Flow) -> DataFrame:
+    """Alert records as topic values (JSON text; no oracle: JSON text layout is engine-specific)."""
+    from wxodds.sources import topics
+    return topics.to_records(f.alerts)

@@ -15,6 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
         target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
+        if df._jdf.rdd().getNumPartitions() < target:
             df = df.repartition(target)
     return df

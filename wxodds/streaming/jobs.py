@@ -109,6 +109,39 @@ def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False)
     return correlate.score_pairs(flat, keep_extra)
 
 
+def interval_join_stream(pred: DataFrame, wx: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
+    """Event-time join on city with a ±tolerance band (stream-stream inner join; both sides
+    watermarked so that join state is dropped once the band has passed)."""
+    p = pred.withWatermark("POLL_TIMESTAMP", tolerance).select(
+        location_key(F.col("LOCATION_NAME")).alias("_city"), "question_id", "POLL_TIMESTAMP")
+    w = wx.withWatermark("POLL_TIMESTAMP", tolerance).select(
+        location_key(F.col("LOCATION_NAME")).alias("_wcity"), F.col("POLL_TIMESTAMP").alias("w_poll"),
+        F.col("data_type").alias("w_data_type"))
+    cond = ((F.col("_city") == F.col("_wcity"))
+            & (F.col("w_poll") >= F.col("POLL_TIMESTAMP") - F.expr(f"INTERVAL {tolerance}"))
+            & (F.col("w_poll") <= F.col("POLL_TIMESTAMP") + F.expr(f"INTERVAL {tolerance}")))
+    return p.join(w, cond, "inner").select("question_id", "POLL_TIMESTAMP", "w_poll", "w_data_type")
+
+
+def pending_join_stream(pred: DataFrame, wx: DataFrame, ttl: str = "24 hours",
+                        watermark: str = WATERMARK) -> DataFrame:
+    """Predictions wait up to `ttl` for weather of their city and class arriving after them
+    (stream-stream left outer join; unmatched predictions are emitted with nulls once the
+    watermark passes their TTL).  Every match within the TTL is emitted; the batch
+    `pending_predictions` keeps the first one."""
+    p = pred.withWatermark("POLL_TIMESTAMP", watermark).select(
+        location_key(F.col("LOCATION_NAME")).alias("_city"), market_class().alias("_cls"),
+        "question_id", "POLL_TIMESTAMP")
+    hist = F.coalesce(F.col("data_type") == "historical", F.lit(False))
+    w = wx.withWatermark("POLL_TIMESTAMP", watermark).select(
+        location_key(F.col("LOCATION_NAME")).alias("_wcity"), weather_class(hist).alias("_wcls"),
+        F.col("POLL_TIMESTAMP").alias("w_poll"))
+    cond = ((F.col("_city") == F.col("_wcity")) & (F.col("_cls") == F.col("_wcls"))
+            & (F.col("w_poll") > F.col("POLL_TIMESTAMP"))
+            & (F.col("w_poll") <= F.col("POLL_TIMESTAMP") + F.expr(f"INTERVAL {ttl}")))
+    return p.join(w, cond, "leftOuter").select("question_id", "POLL_TIMESTAMP", "w_poll")
+
+
 # ------------------------------------------------------------------ accuracy
 
 def accuracy_stream(corr: DataFrame, watermark: str = WATERMARK) -> DataFrame:
