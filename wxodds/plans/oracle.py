@@ -156,13 +156,13 @@ cw AS (
 acc AS (
   SELECT LOCATION_NAME, window_start, window_start + INTERVAL 1 HOUR AS window_end,
          count(*) AS total_count,
-         sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS correct_count,
+         CAST(sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS BIGINT) AS correct_count,
          {ratio('sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) * 10000', 'count(*)')} AS accuracy_rate,
          {ratio('sum(err_i)', 'count(*)')} AS avg_prediction_error,
          greatest(max(err_i), 0) / 10000 AS max_prediction_error,
          {ratio('sum(bias_i)', 'count(*) * 10000')} AS bias_score,
-         sum(CASE WHEN market_closed THEN 1 ELSE 0 END) AS closed_count,
-         sum(CASE WHEN market_closed AND ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS closed_correct_count,
+         CAST(sum(CASE WHEN market_closed THEN 1 ELSE 0 END) AS BIGINT) AS closed_count,
+         CAST(sum(CASE WHEN market_closed AND ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS BIGINT) AS closed_correct_count,
          CASE WHEN sum(CASE WHEN market_closed THEN 1 ELSE 0 END) > 0 THEN
            {ratio('sum(CASE WHEN market_closed AND ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) * 10000', 'sum(CASE WHEN market_closed THEN 1 ELSE 0 END)')}
          END AS closed_accuracy_rate

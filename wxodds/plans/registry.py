@@ -435,13 +435,13 @@ def q_skip_invalid(f: Flow) -> DataFrame:
 
 @query("accuracy_per_market", f"""
 SELECT condition_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS total_count,
-       sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS correct_count,
+       CAST(sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS BIGINT) AS correct_count,
        {ratio('sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) * 10000', 'count(*)')} AS accuracy_rate,
        {ratio('sum(err_i)', 'count(*)')} AS avg_prediction_error,
        greatest(max(err_i), 0) / 10000 AS max_prediction_error,
        {ratio('sum(bias_i)', 'count(*) * 10000')} AS bias_score,
-       sum(CASE WHEN market_closed THEN 1 ELSE 0 END) AS closed_count,
-       sum(CASE WHEN market_closed AND ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS closed_correct_count,
+       CAST(sum(CASE WHEN market_closed THEN 1 ELSE 0 END) AS BIGINT) AS closed_count,
+       CAST(sum(CASE WHEN market_closed AND ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS BIGINT) AS closed_correct_count,
        CASE WHEN sum(CASE WHEN market_closed THEN 1 ELSE 0 END) > 0 THEN
          {ratio('sum(CASE WHEN market_closed AND ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) * 10000', 'sum(CASE WHEN market_closed THEN 1 ELSE 0 END)')}
        END AS closed_accuracy_rate
@@ -470,7 +470,7 @@ def q_vol_weighted(f: Flow) -> DataFrame:
 @query("tumbling_1h_correlation", f"""
 SELECT LOCATION_NAME, date_trunc('hour', POLL_TIMESTAMP) AS window_start,
        date_trunc('hour', POLL_TIMESTAMP) + INTERVAL 1 HOUR AS window_end, count(*) AS total_count,
-       sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS correct_count,
+       CAST(sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) AS BIGINT) AS correct_count,
        {ratio('sum(err_i)', 'count(*)')} AS avg_prediction_error
 FROM cv GROUP BY 1, 2""")
 def q_tumbling(f: Flow) -> DataFrame:
@@ -479,7 +479,7 @@ def q_tumbling(f: Flow) -> DataFrame:
 
 @query("hit_rate", f"""
 SELECT LOCATION_NAME, count(*) AS total_count,
-       sum(CASE WHEN (yes_price > 0.5) = (ACTUAL_OUTCOME = 1) THEN 1 ELSE 0 END) AS hits,
+       CAST(sum(CASE WHEN (yes_price > 0.5) = (ACTUAL_OUTCOME = 1) THEN 1 ELSE 0 END) AS BIGINT) AS hits,
        {ratio('sum(CASE WHEN (yes_price > 0.5) = (ACTUAL_OUTCOME = 1) THEN 1 ELSE 0 END) * 10000', 'count(*)')} AS hit_rate
 FROM cv GROUP BY 1""")
 def q_hit_rate(f: Flow) -> DataFrame:
@@ -490,7 +490,7 @@ def q_hit_rate(f: Flow) -> DataFrame:
 SELECT LOCATION_NAME, POLL_TIMESTAMP, condition_id, question, running_total, running_correct,
        {ratio('running_correct * 10000', 'running_total')} AS running_accuracy
 FROM (SELECT *, count(*) OVER w AS running_total,
-             sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) OVER w AS running_correct
+             CAST(sum(CASE WHEN ACTUAL_OUTCOME = 1 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS running_correct
       FROM cv WINDOW w AS (PARTITION BY LOCATION_NAME ORDER BY POLL_TIMESTAMP, condition_id, question
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""")
 def q_running_total(f: Flow) -> DataFrame:
@@ -532,7 +532,7 @@ def q_profit(f: Flow) -> DataFrame:
 @query("market_leaderboard", f"""
 WITH per AS (
   SELECT condition_id, count(*) AS n,
-         sum(CASE WHEN (yes_price > 0.5) = (ACTUAL_OUTCOME = 1) THEN 1 ELSE 0 END) AS hits,
+         CAST(sum(CASE WHEN (yes_price > 0.5) = (ACTUAL_OUTCOME = 1) THEN 1 ELSE 0 END) AS BIGINT) AS hits,
          {ratio('sum(CAST(floor(PREDICTION_ERROR * 10000 + 0.5) AS BIGINT))', 'count(*)')} AS avg_error
   FROM corr GROUP BY 1)
 SELECT * FROM (SELECT *, 'best' AS board FROM per ORDER BY avg_error ASC, condition_id ASC LIMIT 10)
@@ -566,7 +566,7 @@ WITH h AS (SELECT date_trunc('hour', POLL_TIMESTAMP) AS hour, CORRELATION_LATENC
            FROM corr GROUP BY 1, 2),
      hc AS (SELECT *, sum(c) OVER (PARTITION BY hour ORDER BY lat ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
                    sum(c) OVER (PARTITION BY hour) AS n FROM h)
-SELECT hour, max(n) AS correlations, min(CASE WHEN cum * 100 >= n * 99 THEN lat END) AS p99_latency_sec,
+SELECT hour, CAST(max(n) AS BIGINT) AS correlations, min(CASE WHEN cum * 100 >= n * 99 THEN lat END) AS p99_latency_sec,
        max(lat) AS max_latency_sec
 FROM hc GROUP BY hour""")
 def q_p99(f: Flow) -> DataFrame:
@@ -621,7 +621,7 @@ def q_p6(f: Flow) -> DataFrame:
 
 
 _BY_CITY = f"""(SELECT location_name, {_avg3('accuracy_rate')} AS accuracy, {_avg3('avg_prediction_error')} AS avg_error,
-        {_avg3('bias_score')} AS bias, sum(total_count) AS total_markets
+        {_avg3('bias_score')} AS bias, CAST(sum(total_count) AS BIGINT) AS total_markets
  FROM accuracy_windows WHERE {_LAST_DAY.format(t='accuracy_windows')}
  GROUP BY location_name HAVING sum(total_count) >= 3)"""
 
@@ -694,14 +694,14 @@ def q_v_map(f: Flow) -> DataFrame:
 
 
 @query("v_accuracy_24h_line", f"""
-SELECT window_end, count(*) AS cities, sum(total_count) AS total, sum(correct_count) AS correct,
+SELECT window_end, count(*) AS cities, CAST(sum(total_count) AS BIGINT) AS total, CAST(sum(correct_count) AS BIGINT) AS correct,
        {ratio('sum(correct_count) * 10000', 'sum(total_count)')} AS accuracy
 FROM accuracy_windows WHERE {_LAST_DAY.format(t='accuracy_windows')} GROUP BY window_end""")
 def q_v_line(f: Flow) -> DataFrame:
     return serving.v_accuracy_24h_line(f.accuracy_table)
 
 
-_CORR_STATS = f"""count(*) AS total, sum(ACTUAL_OUTCOME) AS correct,
+_CORR_STATS = f"""count(*) AS total, CAST(sum(ACTUAL_OUTCOME) AS BIGINT) AS correct,
        {ratio('sum(ACTUAL_OUTCOME) * 10000', 'count(*)')} AS accuracy,
        {ratio('sum(CAST(floor(PREDICTION_ERROR * 10000 + 0.5) AS BIGINT))', 'count(*)')} AS avg_error"""
 
@@ -720,7 +720,7 @@ def q_v_heatmap(f: Flow) -> DataFrame:
 
 
 @query("v_bias_scatter", f"""
-SELECT CAST(floor(yes_price * 10) AS BIGINT) AS price_bucket, count(*) AS n, sum(ACTUAL_OUTCOME) AS yes_outcomes,
+SELECT CAST(floor(yes_price * 10) AS BIGINT) AS price_bucket, count(*) AS n, CAST(sum(ACTUAL_OUTCOME) AS BIGINT) AS yes_outcomes,
        {ratio('sum(CAST(floor(yes_price * 10000 + 0.5) AS BIGINT))', 'count(*)')} AS avg_price,
        {ratio('sum(ACTUAL_OUTCOME) * 10000', 'count(*)')} AS observed_rate
 FROM corr GROUP BY 1""")
@@ -750,7 +750,7 @@ def q_v_arb_now(f: Flow) -> DataFrame:
 
 @query("v_arbitrage_frequency", f"""
 SELECT date_trunc('hour', POLL_TIMESTAMP) AS hour, count(*) AS polls,
-       sum(CASE WHEN arbitrage_flag THEN 1 ELSE 0 END) AS arbitrage_polls,
+       CAST(sum(CASE WHEN arbitrage_flag THEN 1 ELSE 0 END) AS BIGINT) AS arbitrage_polls,
        {ratio('sum(CASE WHEN arbitrage_flag THEN 1 ELSE 0 END) * 10000', 'count(*)')} AS arbitrage_share
 FROM pred GROUP BY 1""")
 def q_v_arb_freq(f: Flow) -> DataFrame:
