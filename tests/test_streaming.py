@@ -149,3 +149,23 @@ def test_pending_join_stream_first_match_equals_batch(spark, flow, landed, scrat
     want = dict((r.question_id, r.resolved_by) for r in batch.collect())
     have = dict((r.question_id, r.w_poll) for r in first.collect())
     assert want and all(have.get(q) == t for q, t in want.items())
+
+
+def test_late_rows_are_dropped_and_counted(spark, flow, landed, scratch):
+    src = f"{scratch}/corr_in"
+    os.makedirs(src)
+    files = sorted(glob.glob(f"{landed}/corr/*.parquet"))
+    t0 = 1_700_000_000
+    for i, f in enumerate(files):
+        shutil.copy(f, f"{src}/{i:06d}.parquet")
+        os.utime(f"{src}/{i:06d}.parquet", (t0 + 10 * i, t0 + 10 * i))
+    stream = lambda: jobs.read_stream(spark, src, flow.corr.schema, max_files_per_trigger=1)
+    key = ["LOCATION_NAME", "window_start"]
+    _run(jobs.accuracy_stream(stream()), f"{scratch}/out", f"{scratch}/ck", key)
+    before = _keyset(spark.read.parquet(f"{scratch}/out").drop("batch_id"), schemas.ACC_COLUMNS)
+    shutil.copy(files[0], f"{src}/late.parquet")        # the first hour arrives again, hours late
+    os.utime(f"{src}/late.parquet", (t0 + 10 * len(files), t0 + 10 * len(files)))
+    q = _run(jobs.accuracy_stream(stream()), f"{scratch}/out", f"{scratch}/ck", key)
+    after = _keyset(spark.read.parquet(f"{scratch}/out").drop("batch_id"), schemas.ACC_COLUMNS)
+    assert jobs.late_rows_dropped(q) > 0
+    assert after == before

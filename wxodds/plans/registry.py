@@ -827,3 +827,23 @@ def q_write_topic(f: Flow) -> DataFrame:
     """Alert records as topic values (JSON text; no oracle: JSON text layout is engine-specific)."""
     from wxodds.sources import topics
     return topics.to_records(f.alerts)
+
+
+@query("asof_weather_join_city_date", """
+SELECT p.condition_id, p.question_id, p.LOCATION_NAME, p.POLL_TIMESTAMP, p.closed,
+       w.data_type AS w_data_type, w.POLL_TIMESTAMP AS w_poll, w.date AS w_date
+FROM (SELECT *, CASE WHEN closed THEN 'hist:' || substr(end_date_iso, 1, 10) ELSE 'fcst' END AS cls2 FROM pred) p
+ASOF JOIN (SELECT *, CASE WHEN data_type = 'historical' THEN 'hist:' || coalesce(date, '') ELSE 'fcst' END AS cls2 FROM wx) w
+  ON p.LOCATION_NAME = w.LOCATION_NAME AND p.cls2 = w.cls2 AND p.POLL_TIMESTAMP >= w.POLL_TIMESTAMP""")
+def q_asof_city_date(f: Flow) -> DataFrame:
+    """As-of match where a closed market only takes historical weather for its own end date."""
+    j = asof.asof_weather_join(f.pred, f.wx, match="city_date", cap=f.market_cap)
+    return j.select("condition_id", "question_id", "LOCATION_NAME", "POLL_TIMESTAMP", "closed",
+                    "w_data_type", "w_poll", "w_date")
+
+
+@query("write_topic_ingest")
+def q_write_topic_ingest(f: Flow) -> DataFrame:
+    """Validated predictions as ingest-topic values (JSON text; no oracle)."""
+    from wxodds.sources import topics
+    return topics.to_records(f.pred)

@@ -179,6 +179,17 @@ def alert_stream(acc: DataFrame, corr: DataFrame) -> DataFrame:
         anomaly.correlation_alerts(corr))
 
 
+# ------------------------------------------------------------------ monitoring
+
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows that arrived behind the watermark and were left out of windowed state (late data)."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.stateOperators or []:
+            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
+    return total
+
+
 # ------------------------------------------------------------------ sinks
 
 def start_sink(df: DataFrame, path: str, checkpoint: str, key: list[str], trigger: dict | None = None,
