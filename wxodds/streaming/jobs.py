@@ -79,12 +79,22 @@ def observations_stream(raw_weather: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ correlation
 
-def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False) -> DataFrame:
-    """As-of pairing with keyed weather state, then the batch scoring."""
+SALT_BUCKETS = 8
+
+
+def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False,
+                       salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """As-of pairing with keyed weather state, then the batch scoring.
+
+    The state key is (city, salt): market rows are spread over `salt_buckets` buckets by a hash
+    of the market, and every weather record is copied to all buckets of its city (weather is
+    tiny), so each bucket keeps its own latest-weather state and a hot city is processed by
+    several tasks instead of one."""
     market_fields = ["condition_id", "question_id", "question", "closed", "LOCATION_NAME",
                      "POLL_TIMESTAMP", "arbitrage_flag", "price_sum", "volume"]
+    salt = F.pmod(F.xxhash64("condition_id", "question_id"), F.lit(salt_buckets)).cast("int")
     m = pred.select(
-        location_key(F.col("LOCATION_NAME")).alias("_city"), F.lit(1).alias("_src"),
+        location_key(F.col("LOCATION_NAME")).alias("_city"), salt.alias("_salt"), F.lit(1).alias("_src"),
         market_class().alias("_cls"), F.col("POLL_TIMESTAMP").alias("_ts"),
         F.lit(0).cast("long").alias("_tb"),
         F.to_json(F.struct(*market_fields,
@@ -92,11 +102,12 @@ def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False)
                            yes_winner(F.col("tokens")).alias("_yes_win"))).alias("_payload"))
     hist = F.coalesce(F.col("data_type") == "historical", F.lit(False))
     w = wx.select(
-        location_key(F.col("LOCATION_NAME")).alias("_city"), F.lit(0).alias("_src"),
+        location_key(F.col("LOCATION_NAME")).alias("_city"),
+        F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_salt"), F.lit(0).alias("_src"),
         weather_class(hist).alias("_cls"), F.col("POLL_TIMESTAMP").alias("_ts"),
         F.xxhash64(F.to_json(F.struct(*wx.columns))).alias("_tb"),
         F.to_json(F.struct(*[F.col(c).alias(n) for n, c in WEATHER_PAYLOAD.items()])).alias("_payload"))
-    pairs = m.unionByName(w).groupBy("_city").transformWithStateInPandas(
+    pairs = m.unionByName(w).groupBy("_city", "_salt").transformWithStateInPandas(
         statefulProcessor=AsOfWeatherProcessor(), outputStructType=ASOF_OUTPUT,
         outputMode="Append", timeMode="None")
     market_schema = ("condition_id string, question_id string, question string, closed boolean, "

@@ -24,7 +24,7 @@ def _frame(rows, columns: list[str]) -> pd.DataFrame:
 
 # ------------------------------------------------------------------ as-of weather
 
-ASOF_COLUMNS = ["_city", "_src", "_cls", "_ts", "_tb", "_payload"]
+ASOF_COLUMNS = ["_city", "_salt", "_src", "_cls", "_ts", "_tb", "_payload"]
 ASOF_OUTPUT = T.StructType([
     T.StructField("_city", T.StringType()), T.StructField("_ts", T.TimestampType()),
     T.StructField("_payload", T.StringType()), T.StructField("_w_payload", T.StringType()),
@@ -33,8 +33,9 @@ _WEATHER_STATE = T.StructType([T.StructField("payload", T.StringType())])
 
 
 class AsOfWeatherProcessor(StatefulProcessor):
-    """Per city: remember the latest forecast and the latest historical record; each market row
-    is paired with the record of its class seen so far (weather first at equal times)."""
+    """Per (city, salt bucket): remember the latest forecast and the latest historical record;
+    each market row is paired with the record of its class seen so far (weather first at equal
+    times)."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.fcst = handle.getValueState("latest_forecast", _WEATHER_STATE)
