@@ -169,3 +169,22 @@ def test_late_rows_are_dropped_and_counted(spark, flow, landed, scratch):
     after = _keyset(spark.read.parquet(f"{scratch}/out").drop("batch_id"), schemas.ACC_COLUMNS)
     assert jobs.late_rows_dropped(q) > 0
     assert after == before
+
+
+def test_whole_streaming_flow_from_landing_json(spark, flow, scratch):
+    raw = flow.raw_events.withColumn("_t", F.to_timestamp("POLL_TIMESTAMP", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    _slices(raw, "_t", f"{scratch}/events", fmt="json", seconds=2 * 3600)
+    rw = flow.raw_weather.withColumn("_t", F.to_timestamp("POLL_TIMESTAMP", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    _slices(rw, "_t", f"{scratch}/weather", fmt="json", seconds=2 * 3600)
+    jobs.run_flow(spark, f"{scratch}/events", f"{scratch}/weather", f"{scratch}/out", f"{scratch}/ck")
+    out = f"{scratch}/out"
+    cols = ["question_id", "POLL_TIMESTAMP"]
+    assert _keyset(spark.read.parquet(f"{out}/pred"), cols) == _keyset(flow.pred, cols)
+    assert _keyset(spark.read.parquet(f"{out}/corr"), schemas.CORR_COLUMNS) == _keyset(flow.corr, schemas.CORR_COLUMNS)
+    acc = spark.read.parquet(f"{out}/acc")
+    assert set(_keyset(acc, schemas.ACC_COLUMNS)) <= set(_keyset(flow.acc, schemas.ACC_COLUMNS))
+    last_end = acc.agg(F.max("window_end")).first()[0]
+    alerts = spark.read.parquet(f"{out}/alerts").drop("batch_id")
+    # accuracy alerts exist for the windows the watermark has closed; correlation alerts for all rows
+    want = flow.alerts.where(F.col("condition_id").isNotNull() | (F.col("POLL_TIMESTAMP") <= F.lit(last_end)))
+    assert _keyset(alerts, schemas.ALERT_COLUMNS) == _keyset(want, schemas.ALERT_COLUMNS)

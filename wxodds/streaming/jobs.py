@@ -212,3 +212,53 @@ def start_sink(df: DataFrame, path: str, checkpoint: str, key: list[str], trigge
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+# ------------------------------------------------------------------ the whole streaming flow
+
+def _file_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Parquet file sink: exactly-once through its own metadata log; readers honour the log."""
+    return (df.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(**trigger).start())
+
+
+def run_flow(spark: SparkSession, events_landing: str, weather_landing: str, out: str,
+             checkpoints: str, trigger: dict | None = None, files_per_trigger: int | None = None) -> dict:
+    """Run the streaming flow stage by stage, one streaming query per topic:
+
+        landing events  -> {out}/pred      landing weather -> {out}/wx
+        pred + wx       -> {out}/corr      corr            -> {out}/acc
+        acc + corr      -> {out}/alerts    (idempotent serving sink)
+
+    With the default availableNow trigger each stage drains what is available and stops (the
+    scheduled-run pattern); with a processing-time trigger the queries keep running.  The
+    correlation stage always reads its two inputs unthrottled, so a micro-batch holds both
+    feeds for the same time span (rows are put in event-time order inside the processor).
+    Returns the started queries by topic."""
+    trigger = trigger or {"availableNow": True}
+    wait = "availableNow" in trigger
+    queries = {}
+
+    def go(name, q):
+        queries[name] = q
+        if wait:
+            q.awaitTermination()
+
+    events = read_stream(spark, events_landing, schemas.RAW_EVENT, "json", files_per_trigger)
+    go("pred", _file_sink(predictions_stream(events), f"{out}/pred", f"{checkpoints}/pred", trigger))
+    weather = read_stream(spark, weather_landing, schemas.RAW_WEATHER, "json", files_per_trigger)
+    go("wx", _file_sink(observations_stream(weather), f"{out}/wx", f"{checkpoints}/wx", trigger))
+    pred_schema = schemas.PRED
+    wx_schema = observations_stream(spark.createDataFrame([], schemas.RAW_WEATHER)).schema
+    corr = correlation_stream(read_stream(spark, f"{out}/pred", pred_schema),
+                              read_stream(spark, f"{out}/wx", wx_schema))
+    go("corr", _file_sink(corr, f"{out}/corr", f"{checkpoints}/corr", trigger))
+    corr_schema = schemas.CORR
+    acc = accuracy_stream(read_stream(spark, f"{out}/corr", corr_schema, max_files_per_trigger=files_per_trigger))
+    go("acc", _file_sink(acc, f"{out}/acc", f"{checkpoints}/acc", trigger))
+    acc_in = read_stream(spark, f"{out}/acc", acc.schema, max_files_per_trigger=files_per_trigger)
+    corr_in = read_stream(spark, f"{out}/corr", corr_schema, max_files_per_trigger=files_per_trigger)
+    go("alerts", start_sink(alert_stream(acc_in, corr_in), f"{out}/alerts", f"{checkpoints}/alerts",
+                            sinks.ALERTS_KEY, trigger))
+    return queries
