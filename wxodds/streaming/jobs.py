@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wxodds import schemas
@@ -60,7 +61,7 @@ def predictions_stream(raw_events: DataFrame) -> DataFrame:
     kept = open_rows.groupBy("_ck").transformWithStateInPandas(
         statefulProcessor=PriceChangeProcessor(), outputStructType=PRICE_OUTPUT,
         outputMode="Append", timeMode="None")
-    pred_schema = schemas.PRED.add("poll_text", "string")
+    pred_schema = T.StructType(schemas.PRED.fields + [T.StructField("poll_text", T.StringType())])
     kept = kept.select(F.from_json("_payload", pred_schema).alias("r")).select("r.*")
     closed = shaped.where(F.col("closed")).select(*_PRED_FIELDS, "poll_text")
     good, _ = ingest.validate_prediction(kept.unionByName(closed))
