@@ -546,9 +546,8 @@ def q_leaderboard(f: Flow) -> DataFrame:
 
 @query("dedup_1h", "SELECT condition_id, POLL_TIMESTAMP, question_id FROM pred")
 def q_dedup(f: Flow) -> DataFrame:
-    """Replayed deliveries (every tenth poll sent twice) collapse to one row per key."""
-    replay = f.pred.where(F.col("question_id").cast("long") % 10 == 0)
-    return quality.dedup_keys(f.pred.unionByName(replay)).select("condition_id", "POLL_TIMESTAMP", "question_id")
+    """An at-least-once replay (every poll delivered twice) collapses to one row per key."""
+    return quality.dedup_keys(f.pred.unionByName(f.pred)).select("condition_id", "POLL_TIMESTAMP", "question_id")
 
 
 @query("producer_silence", """

@@ -97,15 +97,16 @@ def raw_events_from(ev: DataFrame) -> DataFrame:
         tags.alias("tags"), F.array(_weather_market()).alias("markets"),
         F.col("poll_text").alias("POLL_TIMESTAMP"),
     )
+    other_markets = F.array(_other_market())
     other = F.struct(
         F.lit("Match day special").alias("title"), F.lit("match-day").alias("slug"),
-        F.array(F.lit("daily-temperature")).alias("tags"), F.array(_other_market()).alias("markets"),
+        F.array(F.lit("daily-temperature")).alias("tags"), other_markets.alias("markets"),
         F.col("poll_text").alias("POLL_TIMESTAMP"),
     )
     empty = F.struct(
         F.concat(F.lit("Temperature outlook for "), F.col("city")).alias("title"),
         F.lit("outlook").alias("slug"), F.array(F.lit("daily-temperature")).alias("tags"),
-        F.array_remove(F.array(_other_market()), _other_market()).alias("markets"),
+        F.filter(other_markets, lambda m: F.lit(False)).alias("markets"),   # an event with no markets
         F.col("poll_text").alias("POLL_TIMESTAMP"),
     )
     e = F.col("event_id")

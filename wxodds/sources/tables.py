@@ -14,7 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     left untouched (no shuffle)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
-        target = spark.sparkContext.defaultParallelism
-        if df._jdf.rdd().getNumPartitions() < target:
+        try:
+            target = spark.sparkContext.defaultParallelism
+            splits = df._jdf.rdd().getNumPartitions()
+        except Exception:  # noqa: BLE001 -- no JVM handle (e.g. a remote session): read as is
+            return df
+        if splits < target:
             df = df.repartition(target)
     return df
