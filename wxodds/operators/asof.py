@@ -32,9 +32,11 @@ WEATHER_PAYLOAD = {
 }
 
 
-def weather_class(data_type, date=None, match: str = "city") -> Column:
-    """Historical records feed closed markets, everything else feeds open ones."""
-    hist = F.coalesce(F.col("data_type") == "historical", F.lit(False)) if data_type is None else data_type
+def weather_class(hist: Column | None = None, match: str = "city") -> Column:
+    """Historical records feed closed markets, everything else feeds open ones.
+    `hist` is the is-historical flag (default: derived from `data_type`)."""
+    if hist is None:
+        hist = F.coalesce(F.col("data_type") == "historical", F.lit(False))
     if match == "city_date":
         return F.when(hist, F.concat(F.lit("hist:"), F.coalesce(F.col("date"), F.lit("")))).otherwise(F.lit("fcst"))
     return F.when(hist, F.lit("hist")).otherwise(F.lit("fcst"))
@@ -86,7 +88,8 @@ def market_time_cap(pred: DataFrame) -> Column:
 def asof_weather_join(pred: DataFrame, wx: DataFrame, match: str = "city", how: str = "inner",
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       cap: Column | None = None) -> DataFrame:
-    """pred rows + w_* weather columns of the matched record (see module doc).
+    """pred rows + w_* weather columns of the matched record (see module doc); `how` is
+    'inner' (reference semantics) or 'left' (keep markets without weather).
 
     `cap` bounds the open last interval of each (city, class); any value at or after the latest
     market poll gives the same result (default: computed from `pred`)."""

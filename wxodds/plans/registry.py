@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from wxodds.functions.core import round4
 from wxodds.functions.market import (
-    compute_outcome, location_key, parse_city, question_type, target_temp, yes_price,
+    compute_outcome, location_key, question_type, target_temp, yes_price,
 )
 from wxodds.operators import accuracy, anomaly, asof, correlate, ingest, quality, serving
 from wxodds.plans.flow import Flow
-from wxodds.plans.oracle import VALID_LOC, fmt, q, r4, ratio, ratio_away
+from wxodds.plans.oracle import VALID_LOC, q, r4, ratio, ratio_away
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,10 +36,6 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def _pred_rows(f: Flow) -> DataFrame:
-    return f.pred
-
-
 # ====================================================================== core flow
 
 @query("asof_weather_join", """
