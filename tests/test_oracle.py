@@ -47,9 +47,14 @@ def test_entry(spark):
     assert df.columns == ["location_name", "accuracy"] and df.count() > 0
 
 
+FORBIDDEN_IN_PLAN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [w for w in FORBIDDEN_IN_PLAN if w in plan], "no cross joins or Python in batch plans"
     cols = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
     res = duck.execute(ORACLE[name])
