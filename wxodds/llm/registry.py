@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wxodds.llm.queries_chat import OP10_SQL, op10_chat_format
 from wxodds.llm.queries_decontamination import OP7_SQL, op7_decontamination
+from wxodds.llm.queries_packing import op3_packing
 from wxodds.llm.queries_pii import op8_pii
 from wxodds.llm.queries_quality import OP4_SQL, op4_quality_rules
 from wxodds.llm.queries_toxicity import op9_toxicity
@@ -23,5 +24,5 @@ def _prepared(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {q.__name__: _prepared(q) for q in (
-    op4_quality_rules, op7_decontamination, op8_pii, op9_toxicity, op10_chat_format)}
+    op3_packing, op4_quality_rules, op7_decontamination, op8_pii, op9_toxicity, op10_chat_format)}
 ORACLE: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL}
