@@ -40,7 +40,7 @@ LENGTH, SPAN, DECAY = 3, 6, 0.6
 LONG, WINDOW = 24, 16
 SIZE = 32 ** LENGTH
 CACHE_UNITS = 1_000_000
-CHUNK = 20_000
+CHUNK = 10_000
 THRESHOLD = 0.7
 
 #: Letters 1 to 26, others 27 to 31 by code point; 0 is what can only be a gap.
@@ -137,8 +137,8 @@ def _svm(z: np.ndarray, y: np.ndarray, w: np.ndarray, c: float = 20.0) -> np.nda
     for _ in range(30):
         slack = np.maximum(0.0, 1 - y * (z @ v))
         on = slack > 0
-        zw = z[on] * (c * w[on])[:, None]
-        step = np.linalg.solve(zw.T @ z[on] + np.eye(len(v)), v - zw.T @ (y[on] * slack[on]))
+        zw = z[on] * (c * w[on])[:, None].astype(z.dtype)
+        step = np.linalg.solve((zw.T @ z[on]).astype(float) + np.eye(len(v)), v - zw.T @ (y[on] * slack[on]))
         v -= step
         if np.abs(step).max() < 1e-5:
             break
@@ -207,8 +207,9 @@ def train(toxic: list[str], clean: list[str], seed: int = 7) -> Model:
         keep = value > 1e-3
         half = vector[:, keep] / np.sqrt(value[keep])
         project = base.T @ half                                    # Nystroem: features to landmark space
-        z = np.concatenate([_dense(x, used) @ project for x in (chosen, negatives)])
-        z = np.hstack([z, np.ones((len(z), 1))])
+        known = chosen + negatives
+        z = np.concatenate([_dense(known[i:i + 1000], used) @ project.astype(np.float32) for i in range(0, len(known), 1000)])
+        z = np.hstack([z, np.ones((len(z), 1), np.float32)])
         y = np.repeat([1.0, -1.0], [len(chosen), len(negatives)])
         v = _svm(z, y, np.concatenate([weights, np.ones(len(negatives))]) / len(negatives) * 1000)
         theta = np.zeros(SIZE)
