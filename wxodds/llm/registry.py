@@ -11,6 +11,7 @@ from wxodds.llm.queries_html import op2_html_extract
 from wxodds.llm.queries_packing import op3_packing
 from wxodds.llm.queries_pii import op8_pii
 from wxodds.llm.queries_quality import OP4_SQL, op4_quality_rules
+from wxodds.llm.queries_sentence import op6_sentence_spans
 from wxodds.llm.queries_suffix import op5_suffix_dedup
 from wxodds.llm.queries_toxicity import op9_toxicity
 from wxodds.llm.storage import prepare
@@ -26,5 +27,5 @@ def _prepared(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {q.__name__: _prepared(q) for q in (
-    op2_html_extract, op3_packing, op4_quality_rules, op5_suffix_dedup, op7_decontamination, op8_pii, op9_toxicity, op10_chat_format)}
+    op2_html_extract, op3_packing, op4_quality_rules, op5_suffix_dedup, op6_sentence_spans, op7_decontamination, op8_pii, op9_toxicity, op10_chat_format)}
 ORACLE: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL}
