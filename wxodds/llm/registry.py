@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wxodds.llm.queries_chat import OP10_SQL, op10_chat_format
 from wxodds.llm.queries_decontamination import OP7_SQL, op7_decontamination
 from wxodds.llm.queries_html import op2_html_extract
+from wxodds.llm.queries_ngram import OP1_SQL, op1_ngram_join
 from wxodds.llm.queries_packing import op3_packing
 from wxodds.llm.queries_pii import op8_pii
 from wxodds.llm.queries_quality import OP4_SQL, op4_quality_rules
@@ -27,5 +28,6 @@ def _prepared(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {q.__name__: _prepared(q) for q in (
-    op2_html_extract, op3_packing, op4_quality_rules, op5_suffix_dedup, op6_sentence_spans, op7_decontamination, op8_pii, op9_toxicity, op10_chat_format)}
-ORACLE: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL}
+    op1_ngram_join, op2_html_extract, op3_packing, op4_quality_rules, op5_suffix_dedup, op6_sentence_spans, op7_decontamination, op8_pii, op9_toxicity, op10_chat_format)}
+ORACLE: dict[str, str] = {
+    "op1_ngram_join": OP1_SQL, "op4_quality_rules": OP4_SQL, "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL}
