@@ -1,15 +1,75 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: what a text corpus goes through before training.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes each result as Parquet in
+the shared folder and rereads it as the next stage's docs.  All stages but the last return the
+columns of documents; the last returns the packed pieces of what is left.
+
+  toxicity         documents with a score of THRESHOLD or more go (no held-out label is learnt from)
+  ngram_join       of each group of copies and near copies the document with the least doc_id stays;
+                   of rows that repeat a doc_id and its text, one stays
+  decontamination  documents that hold a twentieth or more benchmark words go
+  pii              personal data is replaced by the name of its kind, and n_chars follows
+  packing          the documents are tokenized, cut and packed into sequences
+
+The operators' docstrings say how each treats nulls, empty and long texts, ties and repeated rows.
+"""
 from __future__ import annotations
 
-from wxodds.llm.storage import load, prepare
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wxodds.llm import decontamination, ngram_join, packing, pii, toxicity
+from wxodds.llm.queries_toxicity import HELD_OUT, fold
+from wxodds.llm.storage import load, prepare, written
+
+
+def _keys(df: DataFrame, text_key=None) -> DataFrame:
+    """`df` with columns that tell its rows apart by doc_id (null or not) and text."""
+    return df.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_null": F.col("doc_id").isNull(),
+                           "_text": F.xxhash64("text") if text_key is None else text_key})
+
+
+KEYS = ["_id", "_null", "_text"]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = load(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold(labels) != HELD_OUT))
+    return toxicity.scored(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = ngram_join.components(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    heads = found.where("n > 0").groupBy("part").agg(F.min(place).alias("head")).select("head.doc_id", "head.text_key")
+    heads = heads.unionAll(found.where("n = 0").select("doc_id", "text_key").distinct())
+    heads = _keys(heads, F.col("text_key")).select(*KEYS)
+    return _keys(docs).join(heads, KEYS).dropDuplicates(KEYS).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = decontamination.decontaminate(docs, load(spark, sf_dir, "benchmark"))
+    bad = _keys(judged.where("contaminated").select("doc_id", "text_key"), F.col("text_key")).select(*KEYS).distinct()
+    return _keys(docs).join(bad, KEYS, "left_anti").select(*docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(docs).drop("ids"))
+
 
-STAGES = []
+STAGES = [("toxicity", drop_toxic), ("ngram_join", drop_near_copies), ("decontamination", drop_contaminated),
+          ("pii", redact), ("packing", pack)]
+#: SQL can express neither the classifier nor the packing; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = load(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

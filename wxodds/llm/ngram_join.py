@@ -5,8 +5,8 @@ one shingle).  Documents of one set are copies: they form a class, and classes a
 sets link when 100 * intersection >= PERCENT * union.
 
 All sets are ordered alike, the corpus's rarest shingles first.  With p = n - ceil(n * PERCENT / 100)
-a linked pair shares a shingle among the first p + 1 of each set, and, where both have two at
-least to share, two among the first p + 2.  So
+a linked pair shares a shingle among the first p + 1 of each set, and two among the first p + 2
+(different sets of fewer than two shingles never link).  So
   - light sets (fewer shingles than a boundary) are keyed by all pairs of their first p + 2 shingles,
   - heavy sets, and the light ones that are large enough to link with one, by each of their first
     p + 1, whose inverted lists are scanned.
@@ -20,7 +20,7 @@ hold more than one component are then scanned in full, between components.  `lin
 links.  Candidates are dropped only by a bound on their overlap, and verified on their whole sets.
 
 Defined results: a null or empty text, or one without words, has an empty set and no links; rows
-that repeat a doc_id keep their own results; null doc_ids rank behind all others as component ids;
+that repeat a doc_id keep their own results; null doc_ids give no component id if there are others;
 ties don't matter, since all orders are total; an empty table gives an empty result; other columns are
 ignored.  If two different sets share a 64-bit name the run stops with an error.
 """
@@ -203,7 +203,6 @@ def postings(docs: DataFrame, order: Order) -> DataFrame:
                     if n >= least_overlap(order.light):
                         found.append((order.first(s, p + 1), np.arange(p + 1, dtype=np.int32)))
                     if n < order.light:
-                        # two of a set of two or three may have one to share: such are keyed by one, too
                         f = order.first(s, p + 2)
                         a, b = np.triu_indices(len(f), 1)
                         pair = f[a] * np.uint64(0x9E3779B97F4A7C15) + f[b] * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -329,8 +328,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """One row for each row of `docs`: doc_id, text_key, n and component_id, the least doc_id of all
-    documents that links and copies reach; a document with an empty set has its own doc_id."""
+    """One row for each row of `docs`: doc_id, text_key, n, part (the component's name, null for an empty
+    set) and component_id, the least doc_id of all documents that links and copies reach; a document
+    with an empty set has its own doc_id."""
     index = _index(docs)
     near = _checked(index, star_pairs(index.shared))
     parts = written(connected(near), "parts")
@@ -340,6 +340,7 @@ def components(docs: DataFrame) -> DataFrame:
     least = index.members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_set = of_set.select("node", "part").join(least, "node")
     part = of_set.groupBy("part").agg(F.min("least").alias("component_id"))
-    of_set = written(of_set.join(part, "part").select("node", "component_id"), "sets-parts")
+    of_set = written(of_set.join(part, "part").select("node", "part", "component_id"), "sets-parts")
     joined = index.members.join(of_set, "node", "left")
-    return joined.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", "text_key", "n", "part", own.alias("component_id"))
