@@ -23,13 +23,18 @@ from wxodds.llm.queries_toxicity import HELD_OUT, fold
 from wxodds.llm.storage import load, prepare, written
 
 
-def _keys(df: DataFrame, text_key=None) -> DataFrame:
-    """`df` with columns that tell its rows apart by doc_id (null or not) and text."""
-    return df.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_null": F.col("doc_id").isNull(),
-                           "_text": F.xxhash64("text") if text_key is None else text_key})
+def _keys(df: DataFrame) -> DataFrame:
+    """What tells rows apart: doc_id (null or not) and text_key."""
+    return df.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text_key")
 
 
-KEYS = ["_id", "_null", "_text"]
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, each as one struct, with their keys."""
+    return docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"),
+                       F.xxhash64("text").alias("text_key"), F.struct("*").alias("row"))
+
+
+KEYS = ["id", "none", "text_key"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,14 +48,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     heads = found.where("n > 0").groupBy("part").agg(F.min(place).alias("head")).select("head.doc_id", "head.text_key")
     heads = heads.unionAll(found.where("n = 0").select("doc_id", "text_key").distinct())
-    heads = _keys(heads, F.col("text_key")).select(*KEYS)
-    return _keys(docs).join(heads, KEYS).dropDuplicates(KEYS).select(*docs.columns)
+    return _keyed(docs).join(_keys(heads), KEYS).dropDuplicates(KEYS).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = decontamination.decontaminate(docs, load(spark, sf_dir, "benchmark"))
-    bad = _keys(judged.where("contaminated").select("doc_id", "text_key"), F.col("text_key")).select(*KEYS).distinct()
-    return _keys(docs).join(bad, KEYS, "left_anti").select(*docs.columns)
+    bad = _keys(judged.where("contaminated")).distinct()
+    return _keyed(docs).join(bad, KEYS, "left_anti").select("row.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

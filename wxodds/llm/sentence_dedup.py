@@ -88,11 +88,11 @@ def covered(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """`docs` with its texts shortened, n_sentences and n_removed."""
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    gone = covered(keyed).withColumnsRenamed({k: f"g_{k}" for k in KEY})
+    """`docs` with its texts shortened, and n_sentences and n_removed (which replace columns so named)."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.struct("*").alias("row"))
+    gone = covered(keyed.drop("row")).withColumnsRenamed({k: f"g_{k}" for k in KEY})
     same = F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & (F.col("text_key") == F.col("g_text_key"))
-    joined = keyed.join(gone, same, "left").drop("text_key", "g_doc_id", "g_text_key")
+    joined = keyed.join(gone, same, "left").select("row", "text", "gone")
 
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def shorten(texts: pd.Series, gone_: pd.Series) -> pd.DataFrame:
@@ -104,6 +104,6 @@ def dedup(docs: DataFrame) -> DataFrame:
             out.append((kept, len(cut), len(drop)))
         return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed"])
 
-    s = shorten("text", "gone")
-    return (joined.withColumn("s", s)
-            .select(*[F.col("s.text") if c == "text" else F.col(c) for c in docs.columns], "s.n_sentences", "s.n_removed"))
+    made = ("text", "n_sentences", "n_removed")
+    return joined.select("row", shorten("text", "gone").alias("made")).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c not in made[1:] and c != "text"], *[F.col("made")[c].alias(c) for c in made])
