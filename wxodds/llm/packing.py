@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -33,6 +35,7 @@ CLOSING = b"\0\0\0\0"             # id 0 ends each document
 SHARD, ISLANDS, EPOCHS, POPULATION, CROSSOVERS, ELITE = 4096, 2, 2, 5, 8, 2
 ROOMY = 0.98                      # sequences filled less than this are packed once more
 CACHE_CHUNKS, CACHED_LENGTH = 2_000_000, 48
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]{0,40})([.,;:!?]{0,8})")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
@@ -45,32 +48,58 @@ class Tokens:
     """Ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer never joins what stands on two sides of a blank, tab or line break, so a text's ids
-    are those of its chunks between them, which repeat; their ids are kept, CACHE_CHUNKS at most."""
+    are those of its chunks between them, which repeat; their ids are kept, CACHE_CHUNKS at most.  Most
+    new chunks are a Latin word and marks, which it tokenizes apart and in lower case, so their ids are
+    put together from those of the word and the marks; new words are encoded many at a time."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.words = Tokenizer.from_file(path), {}, {"": b""}
+        self.between = self.tokenizer.encode("!", add_special_tokens=False).ids[0]
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of words of letters alone: encoded in one text, with marks between them."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ! ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        marks = np.flatnonzero(ids == self.between).tolist()
+        data = ids.tobytes()
+        for word, a, b in zip(words, [-1, *marks], [*marks, len(ids)], strict=True):
+            self.words[word] = data[4 * (a + 1):4 * b]
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        plain = {c: (m[1].lower(), m[2]) for c in chunks if (m := _WORD.fullmatch(c))}
+        new = {w for w, _ in plain.values()}.difference(self.words)
+        if len(self.words) > CACHE_CHUNKS:
+            self.words = {"": b""}
+            new = {w for w, _ in plain.values() if w}
+        if new:
+            self._learn_words(sorted(new))
+        marks = list({m for _, m in plain.values() if m not in self.words})
+        self.words.update(zip(marks, self._encode(marks), strict=True))
+        found = {c: self.words[w] + self.words[m] for c, (w, m) in plain.items()}
+        others = [c for c in chunks if c not in plain]
+        return found | dict(zip(others, self._encode(others), strict=True))
+
     def __call__(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = list(set(chunks).difference(self.known))
-        if new:
+        ids = list(map(self.known.get, chunks))
+        if None in ids:
+            new = list({c for c, b in zip(chunks, ids, strict=True) if b is None})
+            found = self._learn(new)
             if len(self.known) > CACHE_CHUNKS:
                 self.known.clear()
-                new = list(set(chunks))
-            found = dict(zip(new, self._encode(new), strict=True))
-            if any(len(c) > CACHED_LENGTH for c in new):
-                self.known.update((c, b) for c, b in found.items() if len(c) <= CACHED_LENGTH)
-                return b"".join(found[c] if c in found else self.known[c] for c in chunks)
-            self.known.update(found)
-        return b"".join(map(self.known.__getitem__, chunks))
+            self.known.update((c, b) for c, b in found.items() if len(c) <= CACHED_LENGTH)
+            ids = [found[c] if b is None else b for c, b in zip(chunks, ids, strict=True)]
+        return b"".join(ids)
 
 
-_TOKENS: dict[str, Tokens] = {}   # a worker's tokenizers and what they know serve all its tasks
+@cache
+def tokens(path: str) -> Tokens:
+    """One for a worker, so that what it knows serves all its tasks."""
+    return Tokens(path)
 
 
 def cut(ids: bytes) -> Iterator[tuple[int, bytes]]:
@@ -84,11 +113,11 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = False
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = _TOKENS.setdefault(path, Tokens(path)) if path not in _TOKENS else _TOKENS[path]
+        ids_of = tokens(path)
         for batch in batches:
             rows = [(doc_id, k, start, len(ids) // 4, zlib.crc32(ids), ids if with_ids else None)
                     for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
-                    for k, (start, ids) in enumerate(cut(tokens(text or "") + CLOSING))]
+                    for k, (start, ids) in enumerate(cut(ids_of(text or "") + CLOSING))]
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
@@ -206,7 +235,7 @@ def _epoch(state: DataFrame, epoch: int) -> DataFrame:
 def _solve(items: DataFrame, n_items: int, salt: int) -> DataFrame:
     """number, shard, bin and offset of each of `items` (number, length)."""
     spark = items.sparkSession
-    n = -(-n_items // SHARD)
+    n = max(1, -(-n_items // SHARD))
     tasks = min(n * ISLANDS, max(8, 4 * spark.sparkContext.defaultParallelism))
     shards = (items.groupBy(F.pmod(F.xxhash64("number", F.lit(salt)), F.lit(n)).alias("shard"))
               .agg(F.sort_array(F.collect_list(F.struct("length", "number")), asc=False).alias("p"))
@@ -237,9 +266,11 @@ def _solve(items: DataFrame, n_items: int, salt: int) -> DataFrame:
 
 
 def pack(cut_pieces: DataFrame) -> DataFrame:
-    """`cut_pieces` (any columns, `length` among them) with sequence_id and offset."""
-    numbered = written(cut_pieces.withColumn("number", F.monotonically_increasing_id()), "pieces")
-    open_ = numbered.where(F.col("length") < CAPACITY).select("number", F.col("length").cast("int").alias("length"))
+    """`cut_pieces` (any columns, `length` among them) with sequence_id and offset (which replace
+    columns so named)."""
+    numbered = written(cut_pieces.select(F.struct("*").alias("row"), F.col("length").cast("int").alias("length"),
+                                         F.monotonically_increasing_id().alias("number")), "pieces")
+    open_ = numbered.where(F.col("length") < CAPACITY).select("number", "length")
     first = written(_solve(open_, open_.count(), 0), "first")
     roomy = F.col("fill") < ROOMY * CAPACITY
     again = written(first.where(roomy).select("number").join(open_, "number"), "again")
@@ -253,7 +284,8 @@ def pack(cut_pieces: DataFrame) -> DataFrame:
         where = part if where is None else where.unionAll(part)
     full = (numbered.where(F.col("length") >= CAPACITY)
             .withColumns({"sequence_id": F.col("number") * 4 + 2, "offset": F.lit(0).cast("long")}))
-    return numbered.join(where, "number").unionByName(full).drop("number")
+    own = [F.col("row")[c].alias(c) for c in cut_pieces.columns if c not in ("sequence_id", "offset")]
+    return numbered.join(where, "number").unionByName(full).select(*own, "sequence_id", "offset")
 
 
 def sequences(packed_with_ids: DataFrame) -> DataFrame:
