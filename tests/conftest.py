@@ -13,7 +13,6 @@ SF_MEDIUM = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    from wxodds.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[*]").appName("wxodds-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
@@ -22,14 +21,13 @@ def spark():
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
     yield s
 
 
 @pytest.fixture(scope="session")
 def flow(spark):
     from wxodds.plans.flow import Flow
-    return Flow(spark, SF_SMALL)
+    return Flow(spark, SF_SMALL, stage_dir=tempfile.mkdtemp(prefix="wxodds-stages-"))
 
 
 @pytest.fixture()

@@ -1,10 +1,18 @@
 """Independent second forms for the engine's operators, and plan checks."""
+import datetime as dt
 import math
+import random
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from wxodds.operators import accuracy, anomaly, asof
+from tests.conftest import SF_SMALL
+from wxodds.functions.core import python_round4
+from wxodds.operators import accuracy, anomaly, asof, quality, serving
+from wxodds.operators.ordered import BLOCK_SECONDS, running_sums_by_key, time_block
+from wxodds.plans.flow import Flow
+from wxodds.schemas import ACCURACY_TABLE
+from wxodds.sources import sinks, topics
 
 
 def _key(df, cols):
@@ -79,10 +87,124 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_plan_asof_broadcasts_weather_and_never_shuffles_markets(flow):
-    plan = _plan(asof.asof_weather_join(flow.pred, flow.wx))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert "Exchange hashpartitioning" not in plan
+def test_plan_asof_broadcasts_weather_found_small_at_run_time(flow):
+    df = asof.asof_weather_join(flow.pred, flow.wx)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "Cartesian" not in final and "NestedLoop" not in final
+
+
+def _hour_rows(spark, sf, match):
+    f = Flow(spark, f"/root/testdata/{sf}")
+    wx = f.wx.cache()
+    return asof.interval_buckets(asof.weather_intervals(wx, match)).count(), wx.count()
+
+
+def test_hour_rows_grow_linearly_in_both_match_modes(spark):
+    for match in ("city", "city_date"):
+        (small, n), (large, m) = _hour_rows(spark, "sf0.001", match), _hour_rows(spark, "sf0.01", match)
+        assert large / small < 2 * m / n
+
+
+def _wx(spark, rows):
+    return spark.createDataFrame(rows, "LOCATION_NAME string, data_type string, date string, t string").select(
+        "LOCATION_NAME", "data_type", "date", F.struct(F.lit(1.0).alias("temperature_2m")).alias("current"),
+        F.struct(F.lit(2.0).alias("temperature_2m_max"), F.lit(0.0).alias("temperature_2m_min")).alias("daily"),
+        F.col("t").cast("timestamp").alias("POLL_TIMESTAMP"))
+
+
+def test_asof_with_far_future_polls_and_a_gap_of_ten_years(spark):
+    wx = _wx(spark, [("A", "forecast", None, "2014-01-01 10:00:00"), ("A", "forecast", None, "2024-01-01 10:00:00"),
+                     ("B", "historical", "2024-01-01", "2024-01-01 10:30:00")])
+    pred = spark.createDataFrame([("q1", "A", False, "2020-06-01 00:00:00"), ("q2", "A", False, "9000-01-01 00:00:00"),
+                                  ("q3", "B", True, "3000-01-01 00:00:00"), ("q4", "B", True, "2024-01-01 10:29:59"),
+                                  ("q5", "A", False, "2013-01-01 00:00:00")], "question_id string, LOCATION_NAME string, closed boolean, t string"
+                                 ).select("question_id", "LOCATION_NAME", "closed", F.lit("2024-01-01T00:00:00Z").alias("end_date_iso"),
+                                          F.col("t").cast("timestamp").alias("POLL_TIMESTAMP"))
+    for match in ("city", "city_date"):
+        got = {r.question_id: r.w_poll.year for r in asof.asof_weather_join(pred, wx, match).collect()}
+        assert got == {"q1": 2014, "q2": 2024, "q3": 2024}
+        assert asof.interval_buckets(asof.weather_intervals(wx, match)).count() < 100_000
+
+
+def test_building_queries_starts_no_job_and_writes_nothing(spark, tmp_path):
+    f = Flow(spark, SF_SMALL)
+    f.raw_events, f.raw_weather                     # reading a Parquet footer is a job of Spark's own
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    serving.p_alerts_24h(f.alerts_table)
+    quality.pending_predictions(f.pred, f.wx)
+    accuracy.accuracy_running_total(f.corr)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_stage_tables_are_reused_and_dropped(spark, tmp_path):
+    f = Flow(spark, SF_SMALL, stage_dir=str(tmp_path))
+    n = f.pred.count()
+    written = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    assert Flow(spark, SF_SMALL, stage_dir=str(tmp_path)).pred.count() == n and written
+    assert {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")} == written
+    f.drop_stages()
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_panels_two_days_past_the_data_are_empty(spark, flow):
+    late = flow.corr.agg(F.max("POLL_TIMESTAMP")).first()[0] + dt.timedelta(days=2)
+    c, a, al = flow.correlations_table, flow.accuracy_table, flow.alerts_table
+    assert [x.first()[0] for x in (serving.p_alerts_24h(al, late), serving.p_active_cities(c, late))] == [0, 0]
+    assert serving.p_avg_accuracy(a, late).first()[0] is None and serving.p_avg_error(c, late).first()[0] is None
+    for df in (serving.p_city_leaderboard(a, late), serving.p_accuracy_by_city(a, as_of=late), serving.v_accuracy_24h_line(a, late),
+               serving.p_error_by_city(a, as_of=late), serving.p_alerts_over_time(al, late)):
+        assert df.count() == 0
+    assert serving.p_alerts_over_time(al, late, hours=24 * 30).count() > 0
+    silent = {r.feed: r.alarm for r in quality.producer_silence_now(flow.pred, flow.wx, late).collect()}
+    assert silent == {"market": True, "weather": True}
+
+
+def test_volume_correlation_takes_large_volumes(spark):
+    rows = [(f"m{k}", 2.2e9 + k * 1e9, 0.9 if k % 2 else 0.1, 1) for k in range(6)] * 3
+    df = spark.createDataFrame(rows, "condition_id string, volume double, yes_price double, ACTUAL_OUTCOME int")
+    row = serving.v_volume_accuracy_corr(df).first()
+    assert row.n == 6 and -1 <= row.volume_accuracy_corr <= 1
+
+
+def test_leaderboard_keeps_ties(spark):
+    rows = [(f"m{k:02d}", 0.9, 1, 0.1) for k in range(30)]
+    df = spark.createDataFrame(rows, "condition_id string, yes_price double, ACTUAL_OUTCOME int, PREDICTION_ERROR double")
+    assert quality.market_leaderboard(df).groupBy("board").count().collect()[0]["count"] == 30
+
+
+def test_dedup_keeps_the_first_of_a_key(spark):
+    rows = [("c", "2024-01-01 10:00:00", "q2"), ("c", "2024-01-01 10:00:00", "q1"), ("c", "2024-01-01 11:30:00", "q1"), (None, None, "q9")]
+    df = spark.createDataFrame(rows, "condition_id string, t string, question_id string").select(
+        "condition_id", F.col("t").cast("timestamp").alias("POLL_TIMESTAMP"), "question_id")
+    assert sorted(r.question_id for r in quality.dedup_keys(df).collect()) == ["q1", "q1", "q9"]
+
+
+def test_dense_city_day_spreads_over_blocks(spark):
+    df = spark.range(5000).select(F.lit("A").alias("LOCATION_NAME"), F.timestamp_seconds(F.col("id") * 17 + 1_700_006_400).alias("ts"), "id")
+    assert df.select(time_block("ts", BLOCK_SECONDS)).distinct().count() >= 20
+    got = running_sums_by_key(df, ["LOCATION_NAME"], "ts", ["id"], {"n": F.lit(1).cast("long")})
+    assert [r.n for r in got.orderBy("ts", "id").collect()] == list(range(1, 5001))
+
+
+def test_rounding_equals_python(spark):
+    rng = random.Random(1)
+    values = [k / 100_000 for k in range(0, 200_000, 7)] + [rng.random() * 3 for _ in range(3000)] + [0.90025, 1.00005, 0.00005, 2.5e-5, 0.0, -0.90025]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", python_round4("v").alias("r"))
+    assert [(r.v, r.r) for r in df.collect() if r.r != round(r.v, 4)] == []
+
+
+def test_rows_that_do_not_fit_are_kept_aside(spark, flow):
+    df = flow.acc.limit(3).withColumn("accuracy_rate", F.lit(12345.0)).unionByName(flow.acc.limit(2))
+    assert sinks.accuracy_rows(df).count() == 2
+    assert sinks.misfits(df, ACCURACY_TABLE, sinks.ACC_SOURCE).count() == 3
+
+
+def test_malformed_topic_records_are_counted(spark, flow, tmp_path):
+    topics.write_topic(flow.acc.limit(4), str(tmp_path / "t"))
+    spark.createDataFrame([("{broken",), ("nothing",)], "value string").write.mode("append").text(str(tmp_path / "t"))
+    assert topics.read_topic(spark, str(tmp_path / "t"), flow.acc.schema).count() == 4
+    assert topics.malformed_count(spark, str(tmp_path / "t"), flow.acc.schema).first()[0] == 2
 
 
 def test_plan_has_no_python_udf_in_batch(flow):

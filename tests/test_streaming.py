@@ -3,6 +3,7 @@ batch results; restarts and replayed batches add no duplicates."""
 import glob
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,9 +166,16 @@ def test_late_rows_are_dropped_and_counted(spark, flow, landed, scratch):
     before = _keyset(spark.read.parquet(f"{scratch}/out").drop("batch_id"), schemas.ACC_COLUMNS)
     shutil.copy(files[0], f"{src}/late.parquet")        # the first hour arrives again, hours late
     os.utime(f"{src}/late.parquet", (t0 + 10 * len(files), t0 + 10 * len(files)))
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
     q = _run(jobs.accuracy_stream(stream()), f"{scratch}/out", f"{scratch}/ck", key)
+    for _ in range(100):                                # progress events come a little later
+        if late.rows[str(q.id)]:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
     after = _keyset(spark.read.parquet(f"{scratch}/out").drop("batch_id"), schemas.ACC_COLUMNS)
-    assert jobs.late_rows_dropped(q) > 0
+    assert late.rows[str(q.id)] > 0
     assert after == before
 
 
@@ -181,6 +189,10 @@ def test_whole_streaming_flow_from_landing_json(spark, flow, scratch):
     cols = ["question_id", "POLL_TIMESTAMP"]
     assert _keyset(spark.read.parquet(f"{out}/pred"), cols) == _keyset(flow.pred, cols)
     assert _keyset(spark.read.parquet(f"{out}/corr"), schemas.CORR_COLUMNS) == _keyset(flow.corr, schemas.CORR_COLUMNS)
+    table = spark.read.parquet(f"{out}/correlations_table").drop("batch_id")
+    assert _keyset(table, table.columns) == _keyset(flow.correlations_table, table.columns)
+    assert spark.read.schema(flow.corr.schema).parquet(f"{out}/quarantine_correlations_table").count() == 0
+    assert spark.read.parquet(f"{out}/accuracy_table").count() == spark.read.parquet(f"{out}/acc").count()
     acc = spark.read.parquet(f"{out}/acc")
     assert set(_keyset(acc, schemas.ACC_COLUMNS)) <= set(_keyset(flow.acc, schemas.ACC_COLUMNS))
     last_end = acc.agg(F.max("window_end")).first()[0]
@@ -188,3 +200,11 @@ def test_whole_streaming_flow_from_landing_json(spark, flow, scratch):
     # accuracy alerts exist for the windows the watermark has closed; correlation alerts for all rows
     want = flow.alerts.where(F.col("condition_id").isNotNull() | (F.col("POLL_TIMESTAMP") <= F.lit(last_end)))
     assert _keyset(alerts, schemas.ALERT_COLUMNS) == _keyset(want, schemas.ALERT_COLUMNS)
+
+
+def test_a_poll_redelivered_in_a_later_batch_and_a_replayed_batch_leave_one_row(spark, flow, scratch):
+    rows = sinks.correlations_rows(flow.corr)
+    n = rows.dropDuplicates(sinks.CORRELATIONS_KEY).count()
+    for batch_id in (0, 1, 1):
+        sinks.write_batch(rows, f"{scratch}/t", batch_id, sinks.CORRELATIONS_KEY, "poll_timestamp")
+    assert spark.read.parquet(f"{scratch}/t").count() == n

@@ -18,6 +18,22 @@ def round4(x) -> Column:
     return F.floor(_c(x) * 10000.0 + 0.5) / 10000.0
 
 
+def python_round4(x) -> Column:
+    """Python's round(x, 4): the double's exact value rounded to 4 decimals, ties to even.
+
+    x * 1e4 is split without error into a rounded product and its remainder (the double is halved
+    into two parts of 26 bits, whose products with 1e4 are exact), so ties are told from near ties."""
+    x = _c(x)
+    c = x * 134217729.0                      # 2^27 + 1
+    high = c - (c - x)
+    p = x * 10000.0
+    rest = (high * 10000.0 - p) + (x - high) * 10000.0
+    low = F.floor(p)
+    over = (p - low - 0.5) + rest            # sign of the distance to the half above `low`
+    up = F.when(over > 0, 1).when((over == 0) & (F.pmod(low, F.lit(2)) != 0), 1).otherwise(0)
+    return (low + up) / 10000.0
+
+
 def scaled_int(x, scale: int) -> Column:
     """Nearest integer of v * scale (half toward +infinity); exact for decimals up to log10(scale) places."""
     return F.floor(_c(x) * float(scale) + 0.5)

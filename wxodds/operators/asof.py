@@ -4,11 +4,13 @@ Semantics: per city, an open market row takes the latest *forecast* record with
 POLL_TIMESTAMP <= its own, a closed one the latest *historical* record (weather at the same
 instant counts as already seen).  No weather -> no row (inner) or null weather (left).
 
-Plan: the weather feed is small (cities x polls), the market feed is the large side.  Weather is
-turned into validity intervals [from, to) with a per-key lead (see ordered.py), the intervals are
-cut at hour boundaries, and markets equi-join on (city, class, hour) with the range test as a
-residual.  When the interval table is proven small it is broadcast and the market side is never
-shuffled; otherwise the join is a sort-merge join on a key that spreads a hot city over hours.
+Plan: weather is turned into validity intervals [from, to) with a per-key lead (see ordered.py).
+Intervals between two records are cut at hour boundaries, and markets equi-join on (city, class,
+hour) with the range test as a residual, so a hot city is spread over hours.  The interval after the
+last record has no end: it is one row for each (city, class), put into the hour of its start, and is
+looked up by a second equi-join on (city, class) for the markets that the first leaves unmatched and
+that lie behind it.  So the table grows with the span of each class's records, whatever the markets'
+times.  Spark chooses the join strategy from the sizes it finds at run time.
 """
 from __future__ import annotations
 
@@ -17,7 +19,6 @@ from pyspark.sql import functions as F
 
 from wxodds.functions.core import int_floor_div
 from wxodds.functions.market import location_key
-from wxodds.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 from wxodds.operators.ordered import lag_by_key, lead_by_key
 
 HOUR_MICROS = 3600 * 1_000_000
@@ -70,42 +71,39 @@ def _hour(ts: Column) -> Column:
     return int_floor_div(F.unix_micros(ts), HOUR_MICROS)
 
 
-def interval_buckets(iv: DataFrame, cap: Column) -> DataFrame:
-    """Cut each interval at hour boundaries; the open last interval ends just after `cap`."""
-    to = F.coalesce(F.col("next__from"), cap + F.expr("INTERVAL 1 MICROSECOND"))
-    iv = iv.withColumn("_to", to).where(F.col("_to") > F.col("_from"))
+def interval_buckets(iv: DataFrame) -> DataFrame:
+    """The intervals that end, cut at hour boundaries."""
+    iv = iv.withColumnRenamed("next__from", "_to").where(F.col("_to") > F.col("_from"))
     last_micro = F.unix_micros(F.col("_to")) - 1
     hours = F.sequence(_hour(F.col("_from")), int_floor_div(last_micro, HOUR_MICROS))
-    return iv.withColumn("_hour", F.explode(hours)).drop("next__from", "_tb")
+    return iv.withColumn("_hour", F.explode(hours)).drop("_tb")
 
 
-def market_time_cap(pred: DataFrame) -> Column:
-    """Upper end for the open last weather interval: the latest market poll (one scalar)."""
-    latest = pred.agg(F.max("POLL_TIMESTAMP")).first()[0]
-    return F.lit(latest).cast("timestamp")
-
-
-def asof_weather_join(pred: DataFrame, wx: DataFrame, match: str = "city", how: str = "inner",
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      cap: Column | None = None) -> DataFrame:
+def asof_weather_join(pred: DataFrame, wx: DataFrame, match: str = "city", how: str = "inner") -> DataFrame:
     """pred rows + w_* weather columns of the matched record (see module doc); `how` is
-    'inner' (reference semantics) or 'left' (keep markets without weather).
-
-    `cap` bounds the open last interval of each (city, class); any value at or after the latest
-    market poll gives the same result (default: computed from `pred`)."""
+    'inner' (only markets with weather) or 'left' (keep markets without weather)."""
     p = (pred.withColumn("_city", location_key(F.col("LOCATION_NAME")))
          .withColumn("_cls", market_class(match))
          .withColumn("_hour", _hour(F.col("POLL_TIMESTAMP"))))
-    if cap is None:
-        cap = market_time_cap(pred)
-    wb = interval_buckets(weather_intervals(wx, match), cap)
-    wb, _ = broadcast_if_small(wb, max_broadcast_rows, materialize=True)
-    wb = wb.withColumnRenamed("_city", "_wcity").withColumnRenamed("_cls", "_wcls")\
-        .withColumnRenamed("_hour", "_whour")
-    cond = [p["_city"] == wb["_wcity"], p["_cls"] == wb["_wcls"], p["_hour"] == wb["_whour"],
-            p["POLL_TIMESTAMP"] >= wb["_from"], p["POLL_TIMESTAMP"] < wb["_to"]]
-    j = p.join(wb, cond, how)
-    return j.drop("_city", "_cls", "_hour", "_wcity", "_wcls", "_whour", "_from", "_to")
+    iv = weather_intervals(wx, match)
+    names = list(WEATHER_PAYLOAD)
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{tag}{c}") for c in ("_city", "_cls", "_from", *[x for x in ("_hour", "_to") if x in df.columns])],
+                         F.struct(*names).alias(f"{tag}_w"))
+
+    last = side(iv.where(F.col("next__from").isNull()), "l")
+    cut = side(interval_buckets(iv), "c")
+    j = p.join(last, [p["_city"] == last["l_city"], p["_cls"] == last["l_cls"]], "left")
+    behind = F.coalesce(F.col("POLL_TIMESTAMP") >= F.col("l_from"), F.lit(False))
+    j = j.withColumn("_last", F.when(behind, F.col("l_w"))).drop("l_city", "l_cls", "l_from", "l_w")
+    cond = [F.col("_last").isNull(), F.col("_city") == F.col("c_city"), F.col("_cls") == F.col("c_cls"),
+            F.col("_hour") == F.col("c_hour"), F.col("POLL_TIMESTAMP") >= F.col("c_from"), F.col("POLL_TIMESTAMP") < F.col("c_to")]
+    j = j.join(cut, cond, "left").withColumn("_w", F.coalesce("_last", "c_w"))
+    if how == "inner":
+        j = j.where(F.col("_w").isNotNull())
+    own = [c for c in pred.columns if c not in names]
+    return j.select(*own, *[F.col("_w")[n].alias(n) for n in names])
 
 
 def asof_weather_join_plain(pred: DataFrame, wx: DataFrame, match: str = "city") -> DataFrame:
@@ -142,7 +140,6 @@ def forward_weather_join(pred: DataFrame, wx: DataFrame, horizon_seconds: int =
           .withColumn("_hour", F.explode(F.sequence(_hour(F.col("_lo")),
                                                     int_floor_div(last_micro, HOUR_MICROS))))
           .drop("prev__from", "_tb"))
-    iv, _ = broadcast_if_small(iv)
     iv = iv.withColumnRenamed("_city", "_wcity").withColumnRenamed("_cls", "_wcls")\
         .withColumnRenamed("_hour", "_whour")
     p = (pred.withColumn("_city", location_key(F.col("LOCATION_NAME")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxodds.functions.core import round4
+from wxodds.functions.core import python_round4
 from wxodds.functions.market import is_weather_text, parse_city
 from wxodds.operators.ordered import lag_by_key
 
@@ -122,7 +122,7 @@ def shape_prediction(markets: DataFrame) -> DataFrame:
         F.array(F.coalesce(F.col("event_slug"), F.lit(""))).alias("tags"),
         parse_city(F.col("question"), F.col("title")).alias("LOCATION_NAME"),
         F.try_to_timestamp(F.col("poll_text"), F.lit(ISO_SECONDS)).alias("POLL_TIMESTAMP"),
-        round4(raw_sum).alias("price_sum"),
+        python_round4(raw_sum).alias("price_sum"),
         arbitrage_flag(raw_sum).alias("arbitrage_flag"),
         F.col("volume"),
         F.col("poll_text"),

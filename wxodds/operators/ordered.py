@@ -3,7 +3,7 @@ into one task.
 
 A plain `Window.partitionBy(key)` sends every row of a key to one task; with a hot key (one city
 holding a third of the data) that task becomes the job.  Here each key is cut into time blocks
-(a day by default) and the row-level window runs per (key, block).  What a block needs from the
+(an hour by default) and the row-level window runs per (key, block).  What a block needs from the
 blocks before or after it -- the previous block's last row, the next block's first row, or the
 running total of all earlier blocks -- is computed on a per-block summary (one row per key and
 block, partially aggregated before the shuffle) and injected into the block as a single "carry"
@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from wxodds.functions.core import int_floor_div
 
 DAY_SECONDS = 86400
+BLOCK_SECONDS = 3600          # a dense key's day is then spread over 24 tasks
 _BLK, _CARRY, _V = "_blk", "_carry", "_carry_v"
 
 
-def time_block(ts, block_seconds: int = DAY_SECONDS) -> Column:
+def time_block(ts, block_seconds: int = BLOCK_SECONDS) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
     return int_floor_div(F.unix_micros(ts), block_seconds * 1_000_000)
 
@@ -37,7 +38,7 @@ def _order(ts: str, tiebreak: Sequence[str]) -> list[Column]:
 
 def lag_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
                values: Sequence[str], prefix: str = "prev_",
-               block_seconds: int = DAY_SECONDS) -> DataFrame:
+               block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """Add prefix+v = value of v on the previous row of the same key in (ts, *tiebreak) order.
 
     Keys must be non-null (fill a sentinel first); ts must be non-null.
@@ -58,7 +59,7 @@ def lag_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[s
 
 def lead_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
                 values: Sequence[str], prefix: str = "next_",
-                block_seconds: int = DAY_SECONDS) -> DataFrame:
+                block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """Add prefix+v = value of v on the next row of the same key in (ts, *tiebreak) order."""
     keys, values = list(keys), list(values)
     d = df.withColumn(_BLK, time_block(ts, block_seconds)).withColumn(_CARRY, F.lit(False))
@@ -75,7 +76,7 @@ def lead_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[
 
 
 def running_sums_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
-                        sums: dict[str, Column], block_seconds: int = DAY_SECONDS) -> DataFrame:
+                        sums: dict[str, Column], block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """Add running totals (rows unbounded preceding .. current row) of each expression in `sums`."""
     keys = list(keys)
     names = list(sums)
@@ -120,7 +121,7 @@ def range_frame_by_key(df: DataFrame, keys: Sequence[str], ts: str, seconds: int
 
 def scan_by_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str],
                 sums: dict[str, Column], lags: Sequence[str] = (), prefix: str = "prev_",
-                block_seconds: int = DAY_SECONDS) -> DataFrame:
+                block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """Running sums and lags in one pass: one per-block summary, one carry row per block.
 
     Equals running_sums_by_key followed by lag_by_key, with half the shuffles.

@@ -1,13 +1,12 @@
 """Join side-operators, data-quality monitors and arbitrage analytics."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wxodds.functions.core import half_up_ratio, int_floor_div, round4, scaled_int
 from wxodds.functions.market import location_key
 from wxodds.operators.asof import asof_weather_join, forward_weather_join
-from wxodds.operators.broadcast import broadcast_if_small
 from wxodds.operators.ingest import price_sum_raw
 from wxodds.operators.ordered import lead_by_key
 
@@ -26,15 +25,12 @@ LATENCY_PERCENTILE_PCT = 99
 # ------------------------------------------------------------------ geo dimension
 
 def geo_enrich(cities: DataFrame, geo: DataFrame) -> DataFrame:
-    """City -> coordinates; cities without coordinates are skipped.  The dimension is bounded by
-    the number of cities, so it is broadcast after its size is checked."""
-    g, _ = broadcast_if_small(geo, 100_000)
-    return cities.join(g, "city", "inner").select("city", "lat", "lon")
+    """City -> coordinates; cities without coordinates are skipped."""
+    return cities.join(geo, "city", "inner").select("city", "lat", "lon")
 
 
 def geo_missing(cities: DataFrame, geo: DataFrame) -> DataFrame:
-    g, _ = broadcast_if_small(geo.select("city"), 100_000)
-    return cities.join(g, "city", "left_anti").select("city")
+    return cities.join(geo.select("city"), "city", "left_anti").select("city")
 
 
 # ------------------------------------------------------------------ spec joins
@@ -50,7 +46,6 @@ def interval_weather_join(pred: DataFrame, wx: DataFrame,
                   F.col("POLL_TIMESTAMP").alias("w_poll"), F.col("data_type").alias("w_data_type"))
     wu = F.unix_micros(F.col("w_poll"))
     w = w.withColumn("_wb", F.explode(F.sequence(int_floor_div(wu - b_us, b_us), int_floor_div(wu + b_us, b_us))))
-    w, _ = broadcast_if_small(w)
     p = (pred.withColumn("_city", location_key(F.col("LOCATION_NAME")))
          .withColumn("_b", int_floor_div(F.unix_micros(F.col("POLL_TIMESTAMP")), b_us)))
     tol = F.expr(f"INTERVAL {tolerance_seconds} SECONDS")
@@ -85,8 +80,12 @@ def join_coverage(pred: DataFrame, corr: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ monitors
 
 def dedup_keys(pred: DataFrame) -> DataFrame:
-    """Batch form of the 1 h de-duplication: one row per (condition_id, POLL_TIMESTAMP)."""
-    return pred.dropDuplicates(["condition_id", "POLL_TIMESTAMP"])
+    """Batch form of the 1 h de-duplication: one row per (condition_id, POLL_TIMESTAMP), the one with
+    the least question_id.  A repeat carries the poll time of its first delivery, so all repeats lie
+    within the hour; a later poll has another time and is kept."""
+    order = F.struct(F.coalesce("question_id", F.lit("")), F.xxhash64(F.to_json(F.struct(*pred.columns))))
+    best = pred.groupBy("condition_id", "POLL_TIMESTAMP").agg(F.min_by(F.struct(*pred.columns), order).alias("_r"))
+    return best.select("_r.*")
 
 
 def producer_silence(pred: DataFrame, wx: DataFrame, silence_seconds: int = SILENCE_SECONDS) -> DataFrame:
@@ -101,6 +100,16 @@ def producer_silence(pred: DataFrame, wx: DataFrame, silence_seconds: int = SILE
                     gap.alias("gap_seconds")))
 
 
+def producer_silence_now(pred: DataFrame, wx: DataFrame, as_of, silence_seconds: int = SILENCE_SECONDS) -> DataFrame:
+    """Live form: each feed's last poll, and whether it has been silent for too long at `as_of`."""
+    now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    feeds = (pred.select(F.lit("market").alias("feed"), F.col("POLL_TIMESTAMP").alias("ts"))
+             .unionByName(wx.select(F.lit("weather").alias("feed"), F.col("POLL_TIMESTAMP").alias("ts"))))
+    silent = F.unix_seconds(now) - F.unix_seconds(F.col("last_poll"))
+    return (feeds.groupBy("feed").agg(F.max("ts").alias("last_poll"))
+            .select("feed", "last_poll", silent.alias("silent_seconds"), (silent > silence_seconds).alias("alarm")))
+
+
 def latency_p99(corr: DataFrame, pct: int = LATENCY_PERCENTILE_PCT) -> DataFrame:
     """Exact nearest-rank p99 of poll->correlation latency per hour, via a latency histogram
     (per hour: one row per distinct latency), so no hour's rows are gathered in one place."""
@@ -142,17 +151,17 @@ def expected_profit(pred: DataFrame) -> DataFrame:
 
 
 def market_leaderboard(corr: DataFrame, k: int = 10) -> DataFrame:
-    """Most and least accurate markets by mean prediction error (top-k each way)."""
+    """Most and least accurate markets by mean prediction error: those with one of the k best, and
+    of the k worst, error values (ties are kept)."""
     per = corr.groupBy("condition_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(scaled_int(F.col("PREDICTION_ERROR"), 10_000)).alias("_err"),
         F.sum(((F.col("yes_price") > 0.5) == (F.col("ACTUAL_OUTCOME") == 1)).cast("long")).alias("hits"))
     per = per.withColumn("avg_error", half_up_ratio(F.col("_err"), F.col("n"), 10_000)).drop("_err")
-    best = per.orderBy(F.col("avg_error").asc(), F.col("condition_id").asc()).limit(k) \
-        .withColumn("board", F.lit("best"))
-    worst = per.orderBy(F.col("avg_error").desc(), F.col("condition_id").asc()).limit(k) \
-        .withColumn("board", F.lit("worst"))
-    return best.unionByName(worst)
+    errors = per.select("avg_error").distinct()          # rounded: ten thousand values at most
+    best = errors.orderBy(F.col("avg_error").asc()).limit(k).withColumn("board", F.lit("best"))
+    worst = errors.orderBy(F.col("avg_error").desc()).limit(k).withColumn("board", F.lit("worst"))
+    return per.join(best.unionByName(worst), "avg_error").select(*per.columns, "board")
 
 
 def arbitrage_now(pred: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Serving queries over the three sink tables (dashboard panels and specified views).
 
-`NOW()` of a panel is the latest `inserted_at` of the table it reads, computed as a scalar
-subquery, so results are repeatable.  Averages of NUMERIC columns are formed from their exact
+`NOW()` of a panel is its `as_of` argument; without one it is the latest `inserted_at` of the table it
+reads, a scalar subquery, so that results over a closed table are repeatable.  Averages of NUMERIC columns are formed from their exact
 unscaled integers and rounded half away from zero, like SQL ROUND on NUMERIC.  Ordered top-k
 panels add a key tie-break so that the k rows are well defined.
 """
@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wxodds.functions.core import half_away_ratio, half_up_ratio, scaled_int
-from wxodds.operators.broadcast import broadcast_if_small
 
 MIN_CITY_ROWS = 3
 
@@ -20,13 +19,16 @@ def _day() -> Column:
     return F.expr("INTERVAL 24 HOURS")
 
 
-def _as_of(table: DataFrame, col: str = "inserted_at") -> Column:
-    """The table's latest timestamp (one value computed up front, like a scalar subquery)."""
-    return F.lit(table.agg(F.max(col)).first()[0]).cast("timestamp")
+def _as_of(table: DataFrame, col: str, as_of) -> Column:
+    """The panel's now: the caller's (a timestamp or column), else the table's latest `col`, as a scalar
+    subquery of the panel's own plan."""
+    if as_of is not None:
+        return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    return table.agg(F.max(col)).scalar()
 
 
-def last_24h(table: DataFrame) -> DataFrame:
-    return table.where(F.col("inserted_at") > _as_of(table) - _day())
+def last_24h(table: DataFrame, as_of=None) -> DataFrame:
+    return table.where(F.col("inserted_at") > _as_of(table, "inserted_at", as_of) - _day())
 
 
 def _units(c: str, scale: int) -> Column:
@@ -45,28 +47,28 @@ def p_total_correlations(corr_t: DataFrame) -> DataFrame:
     return corr_t.agg(F.count(F.lit(1)).alias("value"))
 
 
-def p_alerts_24h(alerts_t: DataFrame) -> DataFrame:
-    return last_24h(alerts_t).agg(F.count(F.lit(1)).alias("value"))
+def p_alerts_24h(alerts_t: DataFrame, as_of=None) -> DataFrame:
+    return last_24h(alerts_t, as_of).agg(F.count(F.lit(1)).alias("value"))
 
 
-def p_avg_accuracy(acc_t: DataFrame) -> DataFrame:
-    return last_24h(acc_t).agg(_avg3("accuracy_rate", 10_000).alias("value"))
+def p_avg_accuracy(acc_t: DataFrame, as_of=None) -> DataFrame:
+    return last_24h(acc_t, as_of).agg(_avg3("accuracy_rate", 10_000).alias("value"))
 
 
 def p_arbitrage_count(alerts_t: DataFrame) -> DataFrame:
     return alerts_t.where(F.col("alert_type") == "ARBITRAGE").agg(F.count(F.lit(1)).alias("value"))
 
 
-def p_active_cities(corr_t: DataFrame) -> DataFrame:
-    return last_24h(corr_t).agg(F.count_distinct("location_name").alias("value"))
+def p_active_cities(corr_t: DataFrame, as_of=None) -> DataFrame:
+    return last_24h(corr_t, as_of).agg(F.count_distinct("location_name").alias("value"))
 
 
-def p_avg_error(corr_t: DataFrame) -> DataFrame:
-    return last_24h(corr_t).agg(_avg3("prediction_error", 10_000).alias("value"))
+def p_avg_error(corr_t: DataFrame, as_of=None) -> DataFrame:
+    return last_24h(corr_t, as_of).agg(_avg3("prediction_error", 10_000).alias("value"))
 
 
-def _by_city(acc_t: DataFrame) -> DataFrame:
-    return (last_24h(acc_t).groupBy("location_name")
+def _by_city(acc_t: DataFrame, as_of) -> DataFrame:
+    return (last_24h(acc_t, as_of).groupBy("location_name")
             .agg(_avg3("accuracy_rate", 10_000).alias("accuracy"),
                  _avg3("avg_prediction_error", 10_000).alias("avg_error"),
                  _avg3("bias_score", 10_000).alias("bias"),
@@ -74,18 +76,18 @@ def _by_city(acc_t: DataFrame) -> DataFrame:
             .where(F.col("total_markets") >= MIN_CITY_ROWS))
 
 
-def p_accuracy_by_city(acc_t: DataFrame, k: int = 20) -> DataFrame:
-    return (_by_city(acc_t).orderBy(F.col("accuracy").desc(), "location_name").limit(k)
+def p_accuracy_by_city(acc_t: DataFrame, k: int = 20, as_of=None) -> DataFrame:
+    return (_by_city(acc_t, as_of).orderBy(F.col("accuracy").desc(), "location_name").limit(k)
             .select("location_name", "accuracy"))
 
 
-def p_error_by_city(acc_t: DataFrame, k: int = 20) -> DataFrame:
-    return (_by_city(acc_t).orderBy(F.col("avg_error").desc(), "location_name").limit(k)
+def p_error_by_city(acc_t: DataFrame, k: int = 20, as_of=None) -> DataFrame:
+    return (_by_city(acc_t, as_of).orderBy(F.col("avg_error").desc(), "location_name").limit(k)
             .select("location_name", "avg_error"))
 
 
-def p_city_leaderboard(acc_t: DataFrame) -> DataFrame:
-    return (_by_city(acc_t).select("location_name", F.col("accuracy").alias("avg_accuracy"),
+def p_city_leaderboard(acc_t: DataFrame, as_of=None) -> DataFrame:
+    return (_by_city(acc_t, as_of).select("location_name", F.col("accuracy").alias("avg_accuracy"),
                                    "avg_error", "bias", "total_markets")
             .orderBy(F.col("avg_accuracy").desc(), "location_name"))
 
@@ -115,9 +117,11 @@ def p_data_type_split(corr_t: DataFrame) -> DataFrame:
     return corr_t.groupBy("data_type").agg(F.count(F.lit(1)).alias("count"))
 
 
-def p_alerts_over_time(alerts_t: DataFrame) -> DataFrame:
-    as_of = _as_of(alerts_t, "alert_timestamp")
-    t = alerts_t.where((F.col("alert_timestamp") >= as_of - _day()) & (F.col("alert_timestamp") <= as_of))
+def p_alerts_over_time(alerts_t: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
+    """Alerts by hour and type in the `hours` up to `as_of`."""
+    end = _as_of(alerts_t, "alert_timestamp", as_of)
+    start = end - F.expr(f"INTERVAL {int(hours)} HOURS")
+    t = alerts_t.where((F.col("alert_timestamp") >= start) & (F.col("alert_timestamp") <= end))
     return (t.groupBy(F.date_trunc("hour", "alert_timestamp").alias("time"),
                       F.col("alert_type").alias("metric"))
             .agg(F.count(F.lit(1)).alias("value")).orderBy("time", "metric"))
@@ -125,23 +129,23 @@ def p_alerts_over_time(alerts_t: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ specified views
 
-def v_accuracy_map(acc_t: DataFrame, corr_t: DataFrame, geo: DataFrame) -> DataFrame:
+def v_accuracy_map(acc_t: DataFrame, corr_t: DataFrame, geo: DataFrame, as_of=None) -> DataFrame:
     """Per city with coordinates: latest window's accuracy and open markets seen in the last 24 h."""
     latest = acc_t.groupBy("location_name").agg(
         F.max_by(F.struct("window_end", "accuracy_rate"), F.col("window_end")).alias("l"))
     latest = latest.select("location_name", F.col("l.window_end").alias("window_end"),
                            F.col("l.accuracy_rate").cast("double").alias("accuracy_rate"))
-    active = (last_24h(corr_t).where(~F.col("market_closed")).groupBy("location_name")
+    active = (last_24h(corr_t, as_of).where(~F.col("market_closed")).groupBy("location_name")
               .agg(F.count_distinct("condition_id").alias("active_markets")))
-    g, _ = broadcast_if_small(geo.withColumnRenamed("city", "location_name"), 100_000)
+    g = geo.withColumnRenamed("city", "location_name")
     return (latest.join(active, "location_name", "left")
             .withColumn("active_markets", F.coalesce(F.col("active_markets"), F.lit(0)))
             .join(g, "location_name", "inner"))
 
 
-def v_accuracy_24h_line(acc_t: DataFrame) -> DataFrame:
+def v_accuracy_24h_line(acc_t: DataFrame, as_of=None) -> DataFrame:
     """Overall accuracy across cities at each window end of the last 24 h."""
-    g = last_24h(acc_t).groupBy("window_end").agg(
+    g = last_24h(acc_t, as_of).groupBy("window_end").agg(
         F.count(F.lit(1)).alias("cities"), F.sum("total_count").alias("total"),
         F.sum("correct_count").alias("correct"))
     return g.withColumn("accuracy", half_up_ratio(F.col("correct") * 10_000, F.col("total"), 10_000))
@@ -180,14 +184,16 @@ def v_bias_scatter(corr: DataFrame) -> DataFrame:
 
 
 def v_volume_accuracy_corr(corr_ext: DataFrame) -> DataFrame:
-    """Pearson correlation of traded volume with a correct call ((price > 0.5) == outcome)."""
+    """Pearson correlation, over markets, of the traded volume (whole units, the largest seen) with the
+    share of correct calls ((price > 0.5) == outcome).  Sums are exact decimals; rates are in 1e-4."""
     x = F.coalesce(F.col("volume"), F.lit(0.0)).cast("long")
-    y = ((F.col("yes_price") > 0.5) == (F.col("ACTUAL_OUTCOME") == 1)).cast("long")
-    s = corr_ext.select(x.alias("x"), y.alias("y")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("y")).alias("sxy"), F.sum(F.col("x") * F.col("x")).alias("sxx"),
-        F.sum(F.col("y") * F.col("y")).alias("syy"))
-    d = {c: F.col(c).cast("double") for c in ["n", "sx", "sy", "sxy", "sxx", "syy"]}
-    num = d["n"] * d["sxy"] - d["sx"] * d["sy"]
-    den = F.sqrt((d["n"] * d["sxx"] - d["sx"] * d["sx"]) * (d["n"] * d["syy"] - d["sy"] * d["sy"]))
+    hit = ((F.col("yes_price") > 0.5) == (F.col("ACTUAL_OUTCOME") == 1)).cast("long")
+    per = corr_ext.groupBy("condition_id").agg(F.max(x).alias("x"), F.sum(hit).alias("hits"), F.count(F.lit(1)).alias("calls"))
+    d = lambda c: F.col(c).cast("decimal(19,0)")
+    per = per.select("x", F.floor(F.col("hits") * 10_000 / F.col("calls") + 0.5).cast("long").alias("y"))
+    s = per.agg(F.count(F.lit(1)).alias("n"), *[F.sum(e.cast("decimal(28,0)")).alias(k) for k, e in (
+        ("sx", d("x")), ("sy", d("y")), ("sxy", d("x") * d("y")), ("sxx", d("x") * d("x")), ("syy", d("y") * d("y")))])
+    f = {c: F.col(c).cast("double") for c in ["n", "sx", "sy", "sxy", "sxx", "syy"]}
+    num = f["n"] * f["sxy"] - f["sx"] * f["sy"]
+    den = F.sqrt((f["n"] * f["sxx"] - f["sx"] * f["sx"]) * (f["n"] * f["syy"] - f["sy"] * f["sy"]))
     return s.select("n", F.when(den > 0, num / den).alias("volume_accuracy_corr"))

@@ -3,11 +3,9 @@
     events -> raw market polls -> pred ┐
     events -> raw weather polls -> wx  ┴-> corr -> acc -> alerts -> serving tables
 
-The stage boundaries are the reference's durable topics (predictions, correlations,
-aggregates).  With `materialize=True` (default) each of those stages is written once with a
-reliable checkpoint to the cluster's shared `spark.checkpoint.dir` and read back, which cuts the
-lineage: downstream queries neither recompute the ingest/as-of chain per branch nor lose it with
-an executor.  Nothing is collected to the driver.
+Plans are lazy: building a query starts no job and writes nothing.  A caller that runs several queries
+over one input names a shared folder (`stage_dir`); then the flow's topics (shaped, pred, corr, acc)
+are written there once, reused by every later flow over the same input, and dropped by `drop_stages`.
 """
 from __future__ import annotations
 
@@ -15,19 +13,23 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wxodds.operators import accuracy, anomaly, asof, correlate, ingest
-from wxodds.session import ensure_checkpoint_dir, pin_utc
+from wxodds.operators import accuracy, anomaly, correlate, ingest
+from wxodds.session import pin_utc
 from wxodds.sources import fixtures, sinks, stages
 
 
 class Flow:
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, stage_dir: str | None = None):
         pin_utc(spark)
-        ensure_checkpoint_dir(spark)
-        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self.spark, self.sf_dir = spark, sf_dir
+        self.stages = stages.Stages(spark, stage_dir, sf_dir) if stage_dir else None
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        return stages.materialize(df, name) if self.materialize else df
+        return self.stages.table(df, name) if self.stages else df
+
+    def drop_stages(self) -> None:
+        if self.stages:
+            self.stages.drop()
 
     @cached_property
     def raw_events(self) -> DataFrame:
@@ -47,21 +49,15 @@ class Flow:
 
     @cached_property
     def wx(self) -> DataFrame:
-        # small; its only heavy consumer (the as-of interval table) is materialized itself
         return ingest.observations(self.raw_weather)
 
     @cached_property
     def geo(self) -> DataFrame:
         return fixtures.geo_dim(self.spark)
 
-    @cached_property
-    def market_cap(self):
-        """Latest market poll of the raw feed (>= latest valid poll); bounds open weather intervals."""
-        return asof.market_time_cap(self.shaped)
-
     @cached_property
     def corr_ext(self) -> DataFrame:
-        return self._stage(correlate.correlate(self.pred, self.wx, keep_extra=True, cap=self.market_cap), "corr")
+        return self._stage(correlate.correlate(self.pred, self.wx, keep_extra=True), "corr")
 
     @cached_property
     def corr(self) -> DataFrame:

@@ -24,6 +24,14 @@ def r4(x: str) -> str:
     return f"(floor(({x}) * 10000 + 0.5) / 10000)"
 
 
+def py_r4(x: str) -> str:
+    """Python's round(x, 4): nearest 4-decimal number to the exact double, by its exact decimal text."""
+    high = f"((({x}) * 134217729) - ((({x}) * 134217729) - ({x})))"
+    over = f"(({x}) * 10000 - floor(({x}) * 10000) - 0.5) + (({high} * 10000 - ({x}) * 10000) + (({x}) - {high}) * 10000)"
+    low = f"floor(({x}) * 10000)"
+    return f"(({low} + CASE WHEN {over} > 0 OR ({over} = 0 AND {low} % 2 <> 0) THEN 1 ELSE 0 END) / 10000)"
+
+
 def ratio(num: str, den: str, scale: int = 10000) -> str:
     return f"(floor(({num}) / ({den}) + 0.5) / {scale})"
 
@@ -68,7 +76,7 @@ shaped AS (
   FROM mk
 ),
 shaped2 AS (
-  SELECT *, yes_p + no_p AS raw_sum, {r4('yes_p + no_p')} AS price_sum,
+  SELECT *, yes_p + no_p AS raw_sum, {py_r4('yes_p + no_p')} AS price_sum,
          abs(yes_p + no_p - 1.0) > 0.01 AS arbitrage_flag
   FROM shaped
 ),

@@ -6,11 +6,13 @@ of the same result (omitted only where no SQL form exists).
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wxodds import schemas
 from wxodds.functions.core import round4
 from wxodds.functions.market import (
     compute_outcome, location_key, question_type, target_temp, yes_price,
@@ -18,6 +20,8 @@ from wxodds.functions.market import (
 from wxodds.operators import accuracy, anomaly, asof, correlate, ingest, quality, serving
 from wxodds.plans.flow import Flow
 from wxodds.plans.oracle import VALID_LOC, q, r4, ratio, ratio_away
+from wxodds.session import work_folder
+from wxodds.sources import topics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -531,9 +535,9 @@ WITH per AS (
          CAST(sum(CASE WHEN (yes_price > 0.5) = (ACTUAL_OUTCOME = 1) THEN 1 ELSE 0 END) AS BIGINT) AS hits,
          {ratio('sum(CAST(floor(PREDICTION_ERROR * 10000 + 0.5) AS BIGINT))', 'count(*)')} AS avg_error
   FROM corr GROUP BY 1)
-SELECT * FROM (SELECT *, 'best' AS board FROM per ORDER BY avg_error ASC, condition_id ASC LIMIT 10)
+SELECT *, 'best' AS board FROM per QUALIFY dense_rank() OVER (ORDER BY avg_error ASC) <= 10
 UNION ALL
-SELECT * FROM (SELECT *, 'worst' AS board FROM per ORDER BY avg_error DESC, condition_id ASC LIMIT 10)""")
+SELECT *, 'worst' AS board FROM per QUALIFY dense_rank() OVER (ORDER BY avg_error DESC) <= 10""")
 def q_leaderboard(f: Flow) -> DataFrame:
     return quality.market_leaderboard(f.corr)
 
@@ -724,11 +728,11 @@ def q_v_scatter(f: Flow) -> DataFrame:
 
 
 @query("v_volume_accuracy_corr", """
-WITH s AS (SELECT count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy, sum(x * x) AS sxx, sum(y * y) AS syy
-           FROM (SELECT CAST(coalesce(volume, 0) AS BIGINT) AS x,
-                        CAST((yes_price > 0.5) = (ACTUAL_OUTCOME = 1) AS BIGINT) AS y FROM corr_ext)),
-     d AS (SELECT n, CAST(n AS DOUBLE) AS dn, CAST(sx AS DOUBLE) AS dx, CAST(sy AS DOUBLE) AS dy,
-                  CAST(sxy AS DOUBLE) AS dxy, CAST(sxx AS DOUBLE) AS dxx, CAST(syy AS DOUBLE) AS dyy FROM s)
+WITH m AS (SELECT max(CAST(coalesce(volume, 0) AS BIGINT)) AS x,
+                  CAST(floor(sum(CAST((yes_price > 0.5) = (ACTUAL_OUTCOME = 1) AS BIGINT)) * 10000 / count(*) + 0.5) AS BIGINT) AS y
+           FROM corr_ext GROUP BY condition_id),
+     d AS (SELECT count(*) AS n, CAST(count(*) AS DOUBLE) AS dn, CAST(sum(x) AS DOUBLE) AS dx, CAST(sum(y) AS DOUBLE) AS dy,
+                  CAST(sum(x * y) AS DOUBLE) AS dxy, CAST(sum(x * x) AS DOUBLE) AS dxx, CAST(sum(y * y) AS DOUBLE) AS dyy FROM m)
 SELECT n, CASE WHEN sqrt((dn * dxx - dx * dx) * (dn * dyy - dy * dy)) > 0
                THEN (dn * dxy - dx * dy) / sqrt((dn * dxx - dx * dx) * (dn * dyy - dy * dy)) END AS volume_accuracy_corr
 FROM d""")
@@ -798,30 +802,31 @@ def q_table_cast(f: Flow) -> DataFrame:
                     "actual_outcome", "correlation_latency_sec")
 
 
+def _topic(f: Flow, df: DataFrame, name: str, schema) -> DataFrame:
+    """`df` written to a topic folder and read back, typed, from there."""
+    path = f"{work_folder(f.spark)}/wxodds-topics/{name}-{uuid.uuid4().hex}"
+    topics.write_topic(df, path)
+    return topics.read_topic(f.spark, path, schema)
+
+
 @query("read_topic", "SELECT * FROM corr")
 def q_read_topic(f: Flow) -> DataFrame:
-    """Correlations serialized to topic records and parsed back with the fixed schema."""
-    from wxodds import schemas
-    from wxodds.sources import topics
-    return topics.from_records(topics.to_records(f.corr), schemas.CORR)
+    """The correlation topic, read with the fixed schema."""
+    return _topic(f, f.corr, "correlations", schemas.CORR)
 
 
 @query("scan_topic_bounded", """
 SELECT condition_id, question_id, LOCATION_NAME, POLL_TIMESTAMP, closed, price_sum, arbitrage_flag FROM pred""")
 def q_scan_topic(f: Flow) -> DataFrame:
     """The prediction topic read once from its start to its end (bounded batch read)."""
-    from wxodds import schemas
-    from wxodds.sources import topics
-    back = topics.from_records(topics.to_records(f.pred), schemas.PRED)
-    return back.select("condition_id", "question_id", "LOCATION_NAME", "POLL_TIMESTAMP", "closed",
-                       "price_sum", "arbitrage_flag")
+    return _topic(f, f.pred, "predictions", schemas.PRED).select(
+        "condition_id", "question_id", "LOCATION_NAME", "POLL_TIMESTAMP", "closed", "price_sum", "arbitrage_flag")
 
 
-@query("write_topic")
+@query("write_topic", "SELECT * FROM alerts")
 def q_write_topic(f: Flow) -> DataFrame:
-    """Alert records as topic values (JSON text; no oracle: JSON text layout is engine-specific)."""
-    from wxodds.sources import topics
-    return topics.to_records(f.alerts)
+    """The alert topic as it was written."""
+    return _topic(f, f.alerts, "alerts", schemas.ALERT)
 
 
 @query("asof_weather_join_city_date", """
@@ -832,13 +837,14 @@ ASOF JOIN (SELECT *, CASE WHEN data_type = 'historical' THEN 'hist:' || coalesce
   ON p.LOCATION_NAME = w.LOCATION_NAME AND p.cls2 = w.cls2 AND p.POLL_TIMESTAMP >= w.POLL_TIMESTAMP""")
 def q_asof_city_date(f: Flow) -> DataFrame:
     """As-of match where a closed market only takes historical weather for its own end date."""
-    j = asof.asof_weather_join(f.pred, f.wx, match="city_date", cap=f.market_cap)
+    j = asof.asof_weather_join(f.pred, f.wx, match="city_date")
     return j.select("condition_id", "question_id", "LOCATION_NAME", "POLL_TIMESTAMP", "closed",
                     "w_data_type", "w_poll", "w_date")
 
 
-@query("write_topic_ingest")
+@query("write_topic_ingest", """
+SELECT condition_id, question_id, question, LOCATION_NAME, POLL_TIMESTAMP, closed, price_sum, arbitrage_flag, volume FROM pred""")
 def q_write_topic_ingest(f: Flow) -> DataFrame:
-    """Validated predictions as ingest-topic values (JSON text; no oracle)."""
-    from wxodds.sources import topics
-    return topics.to_records(f.pred)
+    """The ingest topic as it was written."""
+    return _topic(f, f.pred, "ingest", schemas.PRED).select(
+        "condition_id", "question_id", "question", "LOCATION_NAME", "POLL_TIMESTAMP", "closed", "price_sum", "arbitrage_flag", "volume")

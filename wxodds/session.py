@@ -26,7 +26,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -36,17 +35,18 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in spark.checkpoint.dir.
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder named in spark.checkpoint.dir.  A session on this machine alone (a local
+    master, as in tests) that names none gets a scratch folder; on a cluster that is an error."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.split("[")[0] == "local":
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wxodds-"))
+    return shared_checkpoint_dir(spark)
 
-    Only when the setting is absent (local tests) do we pick a scratch folder ourselves.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+
+def shared_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named in spark.checkpoint.dir; an error if the session names none, since a
+    folder picked here would be local to one machine."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="wxodds-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return configured.rstrip("/")

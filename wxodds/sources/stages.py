@@ -1,26 +1,32 @@
-"""Durable stage tables: write a DataFrame once as Parquet under the cluster's shared checkpoint
-folder and read it back, cutting the lineage (the reference's topics between jobs).
-
-The folder is taken from the session (`spark.checkpoint.dir` / the context's checkpoint dir); a
-local scratch folder is used only when the session names none (tests).  Every stage gets a fresh
-sub-folder, so concurrent flows never overwrite each other.
-"""
+"""Stage tables of a flow: results that several jobs read, written once under a folder that the caller
+names (on a cluster one that driver and executors share), reused while the input is the same, and
+dropped by the caller."""
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wxodds.session import ensure_checkpoint_dir
 
+class Stages:
+    """Tables of one flow under `root`, in a sub-folder named after the flow's input."""
+
+    def __init__(self, spark: SparkSession, root: str, source: str):
+        self.spark = spark
+        self.folder = f"{root.rstrip('/')}/wxodds-stages/{hashlib.sha256(source.encode()).hexdigest()[:16]}"
 
-def stage_root(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/wxodds-stages"
+    def _path(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` as the stage `name`: written if there is no finished table of it yet, then read."""
+        folder = f"{self.folder}/{name}"
+        path, fs = self._path(f"{folder}/_SUCCESS")
+        if not fs.exists(path):
+            df.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as a Parquet stage table and return a DataFrame reading it."""
-    spark = df.sparkSession
-    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    def drop(self) -> None:
+        path, fs = self._path(self.folder)
+        fs.delete(path, True)

@@ -12,10 +12,12 @@ rewrites it instead of duplicating it.
 """
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from wxodds import schemas
 from wxodds.functions.core import scaled_int
@@ -193,21 +195,35 @@ def alert_stream(acc: DataFrame, corr: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ monitoring
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows that arrived behind the watermark and were left out of windowed state (late data)."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress.stateOperators or []:
-            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
-    return total
+class LateRows(StreamingQueryListener):
+    """Adds up, by query id, the rows that came behind the watermark and were left out of windowed state.
+    Register it with spark.streams.addListener before the queries start; every progress is counted,
+    however long they run."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = defaultdict(int)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for op in event.progress.stateOperators or []:
+            self.rows[str(event.progress.id)] += int(op.numRowsDroppedByWatermark or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 # ------------------------------------------------------------------ sinks
 
 def start_sink(df: DataFrame, path: str, checkpoint: str, key: list[str], trigger: dict | None = None,
-               name: str | None = None) -> StreamingQuery:
-    """Idempotent foreachBatch sink (replayed batch ids overwrite their own folder)."""
-    w = (df.writeStream.foreachBatch(lambda batch, batch_id: sinks.write_batch(batch, path, batch_id, key))
+               name: str | None = None, time: str | None = None) -> StreamingQuery:
+    """Idempotent foreachBatch sink (replayed batch ids overwrite their own folder); with `time`, rows are
+    unique on the key across batches, too."""
+    w = (df.writeStream.foreachBatch(lambda batch, batch_id: sinks.write_batch(batch, path, batch_id, key, time))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -229,8 +245,11 @@ def run_flow(spark: SparkSession, events_landing: str, weather_landing: str, out
     """Run the streaming flow stage by stage, one streaming query per topic:
 
         landing events  -> {out}/pred      landing weather -> {out}/wx
-        pred + wx       -> {out}/corr      corr            -> {out}/acc
-        acc + corr      -> {out}/alerts    (idempotent serving sink)
+        pred            -> {out}/polls     (each poll once, see dedup_stream)
+        polls + wx      -> {out}/corr      corr            -> {out}/acc
+        acc + corr      -> {out}/alerts    (topic and serving table)
+        corr, acc       -> {out}/correlations_table, {out}/accuracy_table (serving tables)
+        misfits of both -> {out}/quarantine_*  (rows with a value that their table can't hold)
 
     With the default availableNow trigger each stage drains what is available and stops (the
     scheduled-run pattern); with a processing-time trigger the queries keep running.  The
@@ -252,7 +271,8 @@ def run_flow(spark: SparkSession, events_landing: str, weather_landing: str, out
     go("wx", _file_sink(observations_stream(weather), f"{out}/wx", f"{checkpoints}/wx", trigger))
     pred_schema = schemas.PRED
     wx_schema = observations_stream(spark.createDataFrame([], schemas.RAW_WEATHER)).schema
-    corr = correlation_stream(read_stream(spark, f"{out}/pred", pred_schema),
+    go("polls", _file_sink(dedup_stream(read_stream(spark, f"{out}/pred", pred_schema)), f"{out}/polls", f"{checkpoints}/polls", trigger))
+    corr = correlation_stream(read_stream(spark, f"{out}/polls", pred_schema),
                               read_stream(spark, f"{out}/wx", wx_schema))
     go("corr", _file_sink(corr, f"{out}/corr", f"{checkpoints}/corr", trigger))
     corr_schema = schemas.CORR
@@ -262,4 +282,12 @@ def run_flow(spark: SparkSession, events_landing: str, weather_landing: str, out
     corr_in = read_stream(spark, f"{out}/corr", corr_schema, max_files_per_trigger=files_per_trigger)
     go("alerts", start_sink(alert_stream(acc_in, corr_in), f"{out}/alerts", f"{checkpoints}/alerts",
                             sinks.ALERTS_KEY, trigger))
+    for name, table, source, rows, key, time in (
+            ("correlations_table", schemas.CORRELATIONS_TABLE, sinks.CORR_SOURCE, sinks.correlations_rows, sinks.CORRELATIONS_KEY, "poll_timestamp"),
+            ("accuracy_table", schemas.ACCURACY_TABLE, sinks.ACC_SOURCE, sinks.accuracy_rows, sinks.ACCURACY_KEY, "window_start")):
+        topic = read_stream(spark, f"{out}/{'corr' if name.startswith('corr') else 'acc'}",
+                            corr_schema if name.startswith("corr") else acc.schema, max_files_per_trigger=files_per_trigger)
+        go(name, start_sink(rows(topic), f"{out}/{name}", f"{checkpoints}/{name}", key, trigger, time=time))
+        go(f"quarantine_{name}", _file_sink(sinks.misfits(topic, table, source), f"{out}/quarantine_{name}",
+                                            f"{checkpoints}/quarantine_{name}", trigger))
     return queries
