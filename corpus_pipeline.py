@@ -38,6 +38,7 @@ KEYS = ["id", "none", "text_key"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     labels = load(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(fold(labels) != HELD_OUT))
     return toxicity.scored(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)

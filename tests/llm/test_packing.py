@@ -21,7 +21,8 @@ def ids_of(tokenizer, text):
 
 
 def test_ids_of_chunks_equal_those_of_whole_texts(tokenizer, monkeypatch):
-    monkeypatch.setattr(P, "CACHE_CHUNKS", 300)          # so that it is cleared, too
+    monkeypatch.setattr(P, "CACHE_CHUNKS", 300)          # so that both are cleared, too
+    monkeypatch.setattr(P, "CACHE_WORDS", 200)
     tokens, rng = P.Tokens(P.default_tokenizer()), random.Random(5)
     parts = [*"aabcdeZéÉIİſßΣσ12'`’.,!?;:<|> \n\t\rÀÖ×÷øÿªºµ\x85\xa0́A", "<|endoftext|>", " word", "don't", " ! ", "long" * 20]
     for _ in range(4000):

@@ -11,13 +11,14 @@ a linked pair shares a shingle among the first p + 1 of each set, and two among
   - heavy sets, and the light ones that are large enough to link with one, by each of their first
     p + 1, whose inverted lists are scanned.
 The boundary is the size with the least estimated cost, from the sizes and shared shingles met in the
-first pass.  The order affects the cost only: shingles that repeat much are ranked by counts made in
-each task, summed, and held to HEAVY_TOKENS entries by raising the least count to total / HEAVY_TOKENS.
+first pass.  The order affects the cost only: shingles in HEAVY_LEAST sets or more rank behind the others, by their
+exact counts, held to HEAVY_TOKENS entries by raising the least count to total / HEAVY_TOKENS; equal
+ranks go by hash, so the counts of the highest hashes, which prefixes hardly reach, aren't needed.
 
 `components` spares the pairs inside groups that are linked anyway: first every list links its members
 to a few representatives, these pairs are verified and joined to components, and only lists that
-hold more than one component are then scanned in full, between components.  `links` gives all
-links.  Candidates are dropped only by a bound on their overlap, and verified on their whole sets.
+hold more than one component are then scanned in full, between components, sparing by the triangle
+inequality what lies too far from the hub of a group.  `links` gives all links.  Candidates are dropped only by a bound on their overlap, and verified on their whole sets.
 
 Defined results: a null or empty text, or one without words, has an empty set and no links; rows
 that repeat a doc_id keep their own results; null doc_ids give no component id if there are others;
@@ -27,6 +28,7 @@ ignored.  If two different sets share a 64-bit name the run stops with an error.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -36,44 +38,71 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wxodds.llm.components import components as connected
-from wxodds.llm.storage import written
+from wxodds.llm.storage import release, remove, written
 
 SHINGLE, PERCENT = 5, 75
-HEAVY_TOKENS, HEAVY_LEAST = 2_000_000, 16
+HEAVY_TOKENS, HEAVY_LEAST = 2_000_000, 8
+COUNTED = int(0.6 * 2**64)   # shingles with hashes from here on are never counted, see token_rows
 LIGHT_MOST = 64              # the boundary is at most this
-CHUNK = 4_000_000            # shingles counted at once in a task
-KNOWN_WORDS = 1_000_000
-SALTS = (1, 2, 3)            # of the representatives
+CHUNK = 500_000            # shingles counted at once in a task
+LONG_WORD = 255
+LINK_FAR = 1 - PERCENT / 100 + 1e-9      # the distance of a link at most
+HOT_KEYS = 62
+BLOCK = 64                   # members of a star that are looked at together
+SALTS = ((1, 2), (3, 4))     # of the representatives, in each round
 
 
 # ---- sets -----------------------------------------------------------------------------------------
 
-class Shingles:
-    """Sets of texts; the hashes of words met are kept, KNOWN_WORDS at most."""
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()       # bytes: A-Z only, ASCII white space only
-        if len(words) < SHINGLE:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), 1)] if words else [], np.uint64)
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
-                new = set(words)
-            self.known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-        n = len(h) - SHINGLE + 1
-        s = h[:n].copy()
-        for k in range(1, SHINGLE):
-            s *= np.uint64(0x9E3779B97F4A7C15)
-            s += h[k:n + k]
-        s ^= s >> np.uint64(32)
-        s *= np.uint64(0xD6E8FEB86659FD93)
-        s ^= s >> np.uint64(29)
-        return np.unique(s)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BYTE = np.array([xxhash.xxh3_64_intdigest(bytes([b])) for b in _LOWER], np.uint64)    # by lower-case letter
+_BASE, _UNBASE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64)
+
+
+@cache
+def _powers(base: int, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of each word: the sum of its bytes' values times powers of a base, from one running
+    sum over the text.  Words of over LONG_WORD bytes, for which such sums are weak, are hashed whole."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    edge = np.diff(~_SPACE[data], prepend=False, append=False)
+    at = np.flatnonzero(edge)
+    start, end = at[::2], at[1::2]
+    room = 1 << max(12, len(data).bit_length())
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_BASE, room)[:len(data)], out=total[1:])
+    h = _mixed((total[end] - total[start]) * _powers(_UNBASE, room)[start])
+    for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(_LOWER[data[start[k]:end[k]]].tobytes())
+    return h
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The set of a text, sorted."""
+    h = word_hashes(text or "")
+    n = len(h) - SHINGLE + 1
+    if n < 1:
+        return np.array([xxhash.xxh3_64_intdigest(h.tobytes())] if len(h) else [], np.uint64)
+    s = h[:n].copy()
+    for k in range(1, SHINGLE):
+        s *= np.uint64(_BASE)
+        s += h[k:n + k]
+    return np.unique(_mixed(s))
 
 
 def name(tokens: np.ndarray) -> tuple[int, int]:
@@ -87,55 +116,88 @@ def least_overlap(n):
     return -(-n * PERCENT // 100)
 
 
-_FIRST = "doc_id long, text_key long, n int, node long, proof long, token long, df long, cost double"
+def profile(tokens: np.ndarray) -> bytes | None:
+    """How many shingles fall into each of about n equal ranges; None if a count doesn't fit a byte."""
+    bits = max(6, min(16, int(len(tokens)).bit_length()))
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+def most_shared(x: bytes, y: bytes) -> int:
+    """A bound on what the sets of two profiles share: the sum of the lesser counts."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):
+        a = a.reshape(len(b), -1).sum(1)
+    return int(np.minimum(a, b).sum())
+
+
+_FIRST = "doc_id long, text_key long, n int, node long, proof long, profile binary, sets long, cost double"
 
 
 def first_pass(docs: DataFrame) -> DataFrame:
-    """Rows of three kinds: a document with its set's name; a shingle (token) that repeats, with its
-    count; and, for a small size n, the number (df) and shared shingles (cost) of its sets."""
+    """Rows of two kinds: a document with its set's name and profile; and, for a small size n, the
+    number of its sets and the shingles (cost) that they share with others of the chunk."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, held, size, seen = Shingles(), [], 0, set()
+        held, size, seen = [], 0, set()
 
-        def counted() -> Iterator[pd.DataFrame]:
-            if not held:
-                return
-            token, df = np.unique(np.concatenate(held), return_counts=True)
-            costs = np.zeros((LIGHT_MOST + 1, 2))
+        def costs() -> pd.DataFrame:
+            token, df = np.unique(np.concatenate(held), return_counts=True) if held else (None, None)
+            out = np.zeros((LIGHT_MOST + 1, 2))
             for s in held:
-                if 1 < len(s) <= LIGHT_MOST:
-                    others = np.sort(df[np.searchsorted(token, s)] - 1)[:len(s) - least_overlap(len(s)) + 1]
-                    costs[len(s)] += 1, others.sum()
-            often = df > 2
-            yield pd.DataFrame({"token": token[often].astype(np.int64), "df": df[often]})
-            small = np.flatnonzero(costs[:, 0])
-            yield pd.DataFrame({"n": small, "df": costs[small, 0].astype(np.int64), "cost": costs[small, 1]})
+                others = np.sort(df[np.searchsorted(token, s)] - 1)[:len(s) - least_overlap(len(s)) + 1]
+                out[len(s)] += 1, others.sum()
             held.clear()
+            small = np.flatnonzero(out[:, 0])
+            return _first_frame(pd.DataFrame({"n": small, "sets": out[small, 0].astype(np.int64), "cost": out[small, 1]}))
 
         for batch in batches:
             rows = []
             for doc_id, key, text in batch.itertuples(index=False):
                 tokens = shingles(text)
                 node, proof = name(tokens)
-                rows.append((doc_id, key, len(tokens), node, proof))
-                if len(tokens) and node not in seen:
+                rows.append((doc_id, key, len(tokens), node, proof, profile(tokens)))
+                if 1 < len(tokens) <= LIGHT_MOST and node not in seen:
                     seen.add(node)
                     held.append(tokens)
                     size += len(tokens)
-                if size > CHUNK:
-                    for part in counted():
-                        yield _first_frame(part)
-                    size = 0
-            yield _first_frame(pd.DataFrame(rows, columns=["doc_id", "text_key", "n", "node", "proof"]))
-        for part in counted():
-            yield _first_frame(part)
+            yield _first_frame(pd.DataFrame(rows, columns=["doc_id", "text_key", "n", "node", "proof", "profile"]))
+            if size > CHUNK:
+                yield costs()
+                size = 0
+        yield costs()
 
     return docs.select("doc_id", "text_key", "text").mapInPandas(run, _FIRST)
 
 
 def _first_frame(part: pd.DataFrame) -> pd.DataFrame:
     out = part.reindex(columns=[c.split()[0] for c in _FIRST.split(", ")])
-    whole = [c for c in out.columns if c != "cost"]
-    return out.astype({c: "Int32" if c == "n" else "Int64" for c in whole} | {"cost": float})
+    whole = [c for c in out.columns if c not in ("cost", "profile")]
+    return out.astype({c: "Int32" if c == "n" else "Int64" for c in whole} | {"cost": float, "profile": object})
+
+
+def token_rows(docs: DataFrame) -> DataFrame:
+    """(token, df): the shingles of different sets under COUNTED, counted in chunks of each task."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size, seen = [], 0, set()
+        for batch in batches:
+            for text in batch["text"]:
+                tokens = shingles(text)
+                node = name(tokens)[0]
+                if len(tokens) > 1 and node not in seen:
+                    seen.add(node)
+                    held.append(tokens[:np.searchsorted(tokens, np.uint64(COUNTED))])
+                    size += len(held[-1])
+                if size > CHUNK:
+                    token, df = np.unique(np.concatenate(held), return_counts=True)
+                    yield pd.DataFrame({"token": token.view(np.int64), "df": df})
+                    held, size = [], 0
+        if held:
+            token, df = np.unique(np.concatenate(held), return_counts=True)
+            yield pd.DataFrame({"token": token.view(np.int64), "df": df})
+
+    return docs.select("text").mapInPandas(run, "token long, df long")
 
 
 class Order(NamedTuple):
@@ -152,17 +214,16 @@ class Order(NamedTuple):
         return s[np.argsort(df, kind="stable")[:count]] if df.any() else s[:count]
 
 
-def order_of(first: DataFrame) -> Order:
+def order_of(first: DataFrame, tokens: DataFrame) -> Order:
     total = first.where("text_key is not null").agg(F.sum("n")).first()[0] or 0
-    counts = first.where("token is not null").groupBy("token").agg(F.sum("df").alias("df"))
     least = max(HEAVY_LEAST, -(-total // HEAVY_TOKENS))      # at most HEAVY_TOKENS shingles are as frequent
-    heavy = counts.where(F.col("df") >= least).toPandas()
-    tokens = heavy["token"].to_numpy(np.int64).astype(np.uint64)
-    rank = np.argsort(tokens)
+    heavy = tokens.groupBy("token").agg(F.sum("df").alias("df")).where(F.col("df") >= least).toPandas()
+    token = heavy["token"].to_numpy(np.int64).astype(np.uint64)
+    rank = np.argsort(token)
     chunks = first.rdd.getNumPartitions()
     sizes = {r["n"]: (r["sets"], r["cost"] * chunks) for r in
-             first.where("cost is not null").groupBy("n").agg(F.sum("df").alias("sets"), F.sum("cost").alias("cost")).collect()}
-    return Order(tokens[rank], heavy["df"].to_numpy(np.int64)[rank], boundary(sizes))
+             first.where("cost is not null").groupBy("n").agg(F.sum("sets").alias("sets"), F.sum("cost").alias("cost")).collect()}
+    return Order(token[rank], heavy["df"].to_numpy(np.int64)[rank], boundary(sizes))
 
 
 def boundary(sizes: dict[int, tuple[int, float]]) -> int:
@@ -181,40 +242,41 @@ def boundary(sizes: dict[int, tuple[int, float]]) -> int:
     return min(range(LIGHT_MOST + 1), key=lambda x: (cost(x), x))
 
 
-_POSTINGS = "key long, node long, n int, place int"
+_POSTINGS = "key long, node long, spot long"
+BY_PAIR = 2**31
 
 
 def postings(docs: DataFrame, order: Order) -> DataFrame:
-    """The keys of each set.  `place` is the shingle's rank in the set, -1 for a pair of shingles."""
+    """The keys of each set.  `spot` is its size times 2^32, and the shingle's rank in the set, or
+    BY_PAIR for a pair of shingles."""
+    def keys_of(s: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n = len(s)
+        p = n - least_overlap(n)
+        if n >= least_overlap(order.light):
+            yield order.first(s, p + 1), np.arange(p + 1) + (n << 32)
+        if n < order.light:
+            f = order.first(s, p + 2)
+            a, b = np.triu_indices(len(f), 1)
+            yield _mixed(f[a] * np.uint64(_BASE) + f[b]), np.full(len(a), (n << 32) + BY_PAIR)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, seen = Shingles(), set()
+        seen = set()
         for batch in batches:
             for at in range(0, len(batch), 1000):
-                keys, nodes, sizes, places = [], [], [], []
+                keys, nodes, spots = [], [], []
                 for text in batch["text"].iloc[at:at + 1000]:
                     s = shingles(text)
-                    n = len(s)
                     node = name(s)[0]
-                    if n < 2 or node in seen:          # a single shingle links with copies alone
+                    if len(s) < 2 or node in seen:          # a single shingle links with copies alone
                         continue
                     seen.add(node)
-                    p = n - least_overlap(n)
-                    found = []
-                    if n >= least_overlap(order.light):
-                        found.append((order.first(s, p + 1), np.arange(p + 1, dtype=np.int32)))
-                    if n < order.light:
-                        f = order.first(s, p + 2)
-                        a, b = np.triu_indices(len(f), 1)
-                        pair = f[a] * np.uint64(0x9E3779B97F4A7C15) + f[b] * np.uint64(0xC2B2AE3D27D4EB4F)
-                        found.append((pair ^ (pair >> np.uint64(31)), np.full(len(a), -1, np.int32)))
-                    for key, place in found:
+                    for key, spot in keys_of(s):
                         keys.append(key)
-                        places.append(place)
-                        nodes.append(np.full(len(key), node))
-                        sizes.append(np.full(len(key), n, np.int32))
+                        spots.append(spot)
+                        nodes.append(node)
                 if keys:
-                    yield pd.DataFrame({"key": np.concatenate(keys).astype(np.int64), "node": np.concatenate(nodes),
-                                        "n": np.concatenate(sizes), "place": np.concatenate(places)})
+                    yield pd.DataFrame({"key": np.concatenate(keys).astype(np.int64), "node": np.repeat(nodes, [len(k) for k in keys]),
+                                        "spot": np.concatenate(spots)})
 
     return docs.select("text").mapInPandas(run, _POSTINGS)
 
@@ -222,50 +284,155 @@ def postings(docs: DataFrame, order: Order) -> DataFrame:
 def shared_postings(rows: DataFrame) -> DataFrame:
     """The postings of keys that two or more different sets have, each once, with the key's representatives."""
     per_key = Window.partitionBy("key")
+    both = F.min("node").over(per_key) != F.max("node").over(per_key)
     least = lambda salt: F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node", "n")).over(per_key)
-    both = (F.min("node").over(per_key) != F.max("node").over(per_key))
-    return (rows.select("*", both.alias("shared"), *[least(s).alias(f"r{s}") for s in SALTS]).where("shared").drop("shared")
-            .dropDuplicates(["key", "node"]))
+    shared = rows.withColumn("shared", both).where("shared").select(
+        "key", "node", F.shiftright("spot", 32).cast("int").alias("n"),
+        F.when(F.col("spot").bitwiseAND(BY_PAIR) > 0, -1).otherwise(F.col("spot").bitwiseAND(BY_PAIR - 1)).cast("int").alias("place"))
+    return shared.dropDuplicates(["key", "node"]).select("*", *[least(s).alias(f"r{s}") for salts in SALTS for s in salts])
 
 
 # ---- pairs ----------------------------------------------------------------------------------------
 
-def star_pairs(shared: DataFrame) -> DataFrame:
-    """(x, y): for each set and salt, the representative that it shares most keys with."""
+def star_pairs(shared: DataFrame, salts: tuple[int, ...], parts: DataFrame | None = None) -> DataFrame:
+    """(x, y): for each set and salt, the representative of another of the `parts` (node, component)
+    that it shares most keys with.  These pairs only join large groups early, so weak ones (a third of
+    the first shingles of a linked pair would be expected at least) are left to `cross_pairs`, which
+    drops none that may link."""
     each = shared.select("node", "n", F.explode(F.array(*[
-        F.struct(F.lit(s).alias("salt"), F.col(f"r{s}.node").alias("y"), F.col(f"r{s}.n").alias("m")) for s in SALTS])).alias("r"))
+        F.struct(F.lit(s).alias("salt"), F.col(f"r{s}.node").alias("y"), F.col(f"r{s}.n").alias("m")) for s in salts])).alias("r"))
     fits = "y <> node and 100 * least(n, m) >= %d * greatest(n, m)" % PERCENT
-    counted = each.select("node", "n", "r.*").where(fits).groupBy("node", "salt", "y").agg(F.count(F.lit(1)).alias("c"))
+    counted = (each.select("node", "n", "r.*").where(fits).groupBy("node", "n", "salt", "y").agg(F.count(F.lit(1)).alias("c"))
+               .where("12 * c >= n"))
+    if parts is not None:
+        part = lambda k: parts.select(F.col("node").alias(k), F.col("component").alias(f"part_{k}"))
+        counted = (counted.join(part("node"), "node", "left").join(part("y"), "y", "left")
+                   .where("coalesce(part_node, node) <> coalesce(part_y, y)"))
     best = counted.groupBy("node", "salt").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
     return best.select(F.least("node", "y").alias("x"), F.greatest("node", "y").alias("y")).distinct()
 
 
-def cross_pairs(shared: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """(x, y): sets of different `parts` (node, component), or any, that share a key and may link."""
-    rows = shared.select("key", "node", "n", "place")
-    if parts is None:
-        rows = rows.withColumn("part", F.col("node"))
-    else:
-        rows = rows.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+def hubs(found: DataFrame) -> DataFrame:
+    """(node, hub, far) for each end of links: its neighbour with the most links, and its distance,
+    1 - intersection / union."""
+    far = 1 - F.col("common") / (F.col("size") - F.col("common"))
+    both = found.select(F.col("x").alias("node"), F.col("y").alias("hub"), far.alias("far")).unionAll(
+        found.select(F.col("y").alias("node"), F.col("x").alias("hub"), far.alias("far")))
+    degree = both.groupBy("hub").agg(F.count(F.lit(1)).alias("degree"))
+    best = both.join(degree, "hub").groupBy("node").agg(F.max_by(F.struct("hub", "far"), F.struct("degree", "hub")).alias("b"))
+    return best.select("node", "b.hub", "b.far")
+
+
+def cross_pairs(shared: DataFrame, owners: DataFrame, parts: DataFrame | None = None, stars: DataFrame | None = None) -> DataFrame:
+    """(x, y): sets of different `parts` (node, component), or any, that may link.
+
+    Sets stand in `stars` (node, hub, far) or alone, as their own hubs.  If a set links with one of a star
+    it shares a key with it; of two stars, the sets of the smaller are first held against the hub of
+    the larger.  The distance of sets is a metric, so a set that is farther from the hub than a link
+    may be long plus a member's distance doesn't link with that member.  What is left is held against
+    the star's members in blocks, by their profiles, so that no rows of pairs are made."""
+    rows = shared.select("key", "node", "n", "place").withColumns({"part": F.col("node"), "hub": F.col("node"), "members": F.lit(1).cast("long")})
+    if parts is not None:
+        reach = stars.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.max("far").alias("far"))
+        own = written(parts.join(stars, "node", "left").join(reach.select("hub", "members"), "hub", "left").select(
+            "node", F.col("component").alias("in_part"), F.coalesce("hub", "node").alias("in_hub"),
+            F.coalesce("members", F.lit(1)).alias("in_star")), "own")
+        rows = rows.join(own, "node", "left").select(
+            "key", "node", "n", "place", F.coalesce("in_part", "part").alias("part"), F.coalesce("in_hub", "hub").alias("hub"),
+            F.coalesce("in_star", "members").alias("members"))
         mixed = rows.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("key")
         rows = rows.join(mixed, "key")
-    x, y = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "place", "part")]) for side in "xy")
-    met = x.join(y, "key").where(f"node_x < node_y and part_x <> part_y and 100 * least(n_x, n_y) >= {PERCENT} * greatest(n_x, n_y)")
-    pairs = met.groupBy("node_x", "node_y").agg(
-        F.first("n_x").alias("n_x"), F.first("n_y").alias("n_y"), F.count_if(F.col("place_x") >= 0).alias("c"),
-        F.max("place_x").alias("i"), F.max("place_y").alias("j"), F.min("place_x").alias("by_pair"))
-    most = F.col("c") + F.least(F.col("n_x") - 1 - F.col("i"), F.col("n_y") - 1 - F.col("j"))
-    may = (F.col("by_pair") < 0) | ((100 + PERCENT) * most >= PERCENT * (F.col("n_x") + F.col("n_y")))
-    return pairs.where(may).select(F.col("node_x").alias("x"), F.col("node_y").alias("y"))
+    rows = written(_with_hot(rows), "cross")
+    side = lambda df, k: df.select("key", *[F.col(c).alias(f"{c}_{k}") for c in df.columns if c != "key"])
+    spans = rows.groupBy("key", "hub", "part", "members").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("place").alias("place"), F.bit_or("hot").alias("hot"))
+    # two sets alone that share several of the hottest keys meet at the first of these only
+    near = (side(rows, "x").join(side(spans, "h"), "key")
+            .where(f"part_x <> part_h and (members_x < members_h or members_x = members_h and hub_x < hub_h) "
+                   f"and 100 * most_h >= {PERCENT} * n_x and 100 * n_x >= {PERCENT} * least_h "
+                   f"and (members_h > 1 or below_x < 0 or (hot_x & hot_h & below_x) = 0)")
+            .groupBy("node_x", "hub_h").agg(
+                F.first("n_x").alias("n"), F.first("least_h").alias("m"), F.max("members_h").alias("members_h"),
+                F.sum(F.when(F.col("place_x") < 0, 0).when(F.col("below_x") >= 0, F.bit_count(F.col("hot_x").bitwiseAND(F.col("hot_h"))))
+                      .otherwise(1)).alias("c"), F.min("place_x").alias("by_pair")))
+    # two sets alone: what they share of their first shingles, and all that stand behind those of one
+    behind = lambda n: F.col(n) - (F.floor(F.col(n) * (100 - PERCENT) / 100) + 1)
+    most = F.col("c") + F.greatest(behind("n"), behind("m"))
+    may = (F.col("members_h") > 1) | (F.col("by_pair") < 0) | ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("m")))
+    near = near.where(may).select(F.col("node_x").alias("x"), F.col("hub_h").alias("hub"))
+    if parts is None:
+        return _within(near.withColumn("far", F.lit(0.0)), owners).select("x", F.col("hub").alias("y"))
+    near = near.join(reach, "hub", "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
+    near = written(_within(near, owners), "near")
+    alone = near.where("members is null").select("x", F.col("hub").alias("y"))
+    return alone.unionAll(_in_blocks(near.where("members is not null"), owners, stars, reach))
+
+
+def _with_hot(rows: DataFrame) -> DataFrame:
+    """`rows` with `hot`, the set's keys among the HOT_KEYS longest lists as bits, and `below`, the bits
+    under the row's own key (-1 if that isn't one of them)."""
+    longest = rows.where("place >= 0").groupBy("key").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "key").limit(HOT_KEYS).collect()
+    keys = rows.sparkSession.createDataFrame([(r["key"], k) for k, r in enumerate(longest)], "key long, bit int")
+    marked = rows.join(F.broadcast(keys), "key", "left")          # HOT_KEYS rows
+    one = F.expr("shiftleft(1L, bit)")
+    hot = marked.where("bit is not null").groupBy("node").agg(F.bit_or(one).alias("hot"))
+    return (marked.join(hot, "node", "left")
+            .select(*rows.columns, F.coalesce("hot", F.lit(0).cast("long")).alias("hot"),
+                    F.when(F.col("bit").isNull(), -1).otherwise(one - 1).cast("long").alias("below")))
+
+
+def _within(pairs: DataFrame, owners: DataFrame) -> DataFrame:
+    """The rows (x, hub, far and more) of which the distance of x and hub may be `far` plus that of a
+    link, as far as their profiles tell, with that bound as `closest`."""
+    @F.pandas_udf("double")
+    def closest(xs: pd.Series, hs: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([_closest(x, h, n) for x, h, n in zip(xs, hs, sizes, strict=True)], dtype=float)
+
+    side = lambda k: owners.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("profile").alias(f"p_{k}"))
+    told = pairs.join(side("x"), "x").join(side("hub"), "hub")
+    told = told.withColumn("closest", closest("p_x", "p_hub", F.col("n_x") + F.col("n_hub")))
+    return told.select(*pairs.columns, "closest").where(F.col("closest") <= F.col("far") + LINK_FAR)
+
+
+def _closest(x: bytes | None, y: bytes | None, size: int) -> float:
+    """A lower bound of the distance of two sets of `size` shingles together."""
+    if x is None or y is None or (most := most_shared(x, y)) >= size - most:
+        return 0.0
+    return 1 - most / (size - most)
+
+
+def _in_blocks(near: DataFrame, owners: DataFrame, stars: DataFrame, reach: DataFrame) -> DataFrame:
+    """(x, y): x of `near` with those members y of the star that it may link with."""
+    n_blocks = reach.select("hub", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    member = stars.join(n_blocks, "hub").join(owners.select("node", "n", "profile"), "node")
+    blocks = member.groupBy("hub", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")).agg(
+        *[F.collect_list(F.coalesce(F.col(c), F.lit(b"")) if c == "profile" else F.col(c)).alias(f"{c}s") for c in ("node", "n", "profile", "far")])
+    asked = (near.select("x", "hub", "closest").join(owners.select(F.col("node").alias("x"), "n", "profile"), "x").join(n_blocks, "hub")
+             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+
+    @F.pandas_udf("array<long>")
+    def may_link(n: pd.Series, profile: pd.Series, closest: pd.Series, nodes: pd.Series, ns: pd.Series, profiles: pd.Series,
+                 fars: pd.Series) -> pd.Series:
+        out = []
+        for size, own, least, ys, sizes, theirs, far in zip(n, profile, closest, nodes, ns, profiles, fars, strict=True):
+            out.append([int(y) for y, m, p, f in zip(ys, sizes, theirs, far, strict=True)
+                        if least <= f + LINK_FAR and 100 * min(size, m) >= PERCENT * max(size, m)
+                        and _closest(own, p or None, size + m) <= LINK_FAR])
+        return pd.Series(out, dtype=object)
+
+    met = asked.join(blocks, ["hub", "block"]).select("x", may_link(
+        "n", "profile", "closest", "nodes", "ns", "profiles", "fars").alias("ys"))
+    return met.select("x", F.explode("ys").alias("y")).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
 def fetched_sets(docs: DataFrame, owners: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and its shingles (`tokens`, sorted 64-bit), for `nodes`; `owners` has a document of each set."""
-    wanted = owners.join(nodes, "node").select("node", F.col("doc_id").alias("w_doc_id"), F.col("text_key").alias("w_text_key"))
+    wanted = written(owners.join(nodes, "node").select(
+        "node", F.col("doc_id").alias("w_doc_id"), F.col("text_key").alias("w_text_key")), "wanted")
     same = F.col("doc_id").eqNullSafe(F.col("w_doc_id")) & (F.col("text_key") == F.col("w_text_key"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, seen = Shingles(), set()
+        seen = set()
         for batch in batches:
             rows = []
             for node, text in batch.itertuples(index=False):
@@ -288,7 +455,13 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
               .join(sets.select(F.col("node").alias("y"), F.col("tokens").alias("ty")), "y"))
     size = (F.octet_length("tx") + F.octet_length("ty")) / 8
     return (joined.select("x", "y", size.alias("size"), shared("tx", "ty").alias("common"))
-            .where(F.col("common") * (100 + PERCENT) >= PERCENT * F.col("size")).select("x", "y", "common"))
+            .where(F.col("common") * (100 + PERCENT) >= PERCENT * F.col("size")).select("x", "y", "common", "size"))
+
+
+def likely(pairs: DataFrame, owners: DataFrame) -> DataFrame:
+    """The pairs that link as far as their profiles tell; none that link is dropped."""
+    rows = pairs.select("x", F.col("y").alias("hub"), F.lit(0.0).alias("far"))
+    return _within(rows, owners).select("x", F.col("hub").alias("y"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -298,7 +471,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 class _Index(NamedTuple):
     docs: DataFrame          # doc_id, text_key, text
     members: DataFrame       # doc_id, text_key, n, node
-    owners: DataFrame        # node, doc_id, text_key: one document of each set
+    owners: DataFrame        # node, n, profile, doc_id, text_key: one document of each set
     shared: DataFrame
 
 
@@ -307,24 +480,43 @@ def _index(docs: DataFrame) -> _Index:
     first = written(first_pass(keyed), "first")
     members = first.where("text_key is not null")
     classes = members.where("n > 0").groupBy("node").agg(
-        F.min("proof").alias("a"), F.max("proof").alias("b"), F.min(F.struct("doc_id", "text_key")).alias("one"))
-    owners = written(classes.select("node", "one.*", (F.col("a") != F.col("b")).alias("clash")), "owners")
+        F.min("proof").alias("a"), F.max("proof").alias("b"), F.min(F.struct("doc_id", "text_key")).alias("one"),
+        F.any_value("n").alias("n"), F.any_value("profile").alias("profile"))
+    owners = written(classes.select("node", "n", "profile", "one.*", (F.col("a") != F.col("b")).alias("clash")), "owners")
     if owners.where("clash").limit(1).count():
         raise RuntimeError("two different sets have one 64-bit name")
-    shared = written(shared_postings(postings(keyed, order_of(first))), "shared")
+    order = order_of(first, token_rows(keyed))
+    release(first)
+    shared = written(shared_postings(postings(keyed, order)), "shared")
+    release(shared)
     return _Index(keyed, members.select("doc_id", "text_key", "n", "node"), owners.drop("clash"), shared)
 
 
-def _checked(index: _Index, pairs: DataFrame) -> DataFrame:
-    pairs = written(pairs, "pairs")
-    sets = written(fetched_sets(index.docs, index.owners, _ends(pairs)), "sets")
-    return written(verified(pairs, sets).distinct(), "links")
+def _checked(index: _Index, pairs: DataFrame, have: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The pairs that link, and the sets known so far: `have` and those of further ends."""
+    pairs = written(pairs.distinct(), "pairs")
+    ends = _ends(pairs)
+    sets = written(fetched_sets(index.docs, index.owners, ends if have is None else ends.join(have, "node", "left_anti")), "sets")
+    release(sets)
+    sets = sets if have is None else sets.unionAll(have)
+    found = written(verified(pairs, sets).distinct(), "links")
+    remove(pairs)
+    release(found)
+    return found, sets
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links (x, y, common) between different sets, and the membership (doc_id, text_key, n, node)."""
     index = _index(docs)
-    return _checked(index, cross_pairs(index.shared, None)), index.members
+    return _checked(index, cross_pairs(index.shared, index.owners))[0], index.members
+
+
+def _joined(parts: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(node, component) of `parts` and more links."""
+    edges = found.select("x", "y")
+    if parts is not None:
+        edges = edges.unionAll(parts.select(F.col("node").alias("x"), F.col("component").alias("y")))
+    return written(connected(edges), "parts")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -332,10 +524,14 @@ def components(docs: DataFrame) -> DataFrame:
     set) and component_id, the least doc_id of all documents that links and copies reach; a document
     with an empty set has its own doc_id."""
     index = _index(docs)
-    near = _checked(index, star_pairs(index.shared))
-    parts = written(connected(near), "parts")
-    rest = _checked(index, cross_pairs(index.shared, parts))
-    parts = written(connected(near.unionAll(rest)), "parts")
+    parts = sets = found = None
+    for salts in SALTS:
+        near, sets = _checked(index, likely(star_pairs(index.shared, salts, parts), index.owners), sets)
+        found = near if found is None else found.unionAll(near)
+        parts = _joined(parts, near)
+    stars = written(hubs(found), "stars")
+    rest, _ = _checked(index, cross_pairs(index.shared, index.owners, parts, stars), sets)
+    parts = _joined(parts, rest)
     of_set = index.owners.join(parts, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("part"))
     least = index.members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_set = of_set.select("node", "part").join(least, "node")

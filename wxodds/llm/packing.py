@@ -34,7 +34,7 @@ CAPACITY = 2048
 CLOSING = b"\0\0\0\0"             # id 0 ends each document
 SHARD, ISLANDS, EPOCHS, POPULATION, CROSSOVERS, ELITE = 4096, 2, 2, 5, 8, 2
 ROOMY = 0.98                      # sequences filled less than this are packed once more
-CACHE_CHUNKS, CACHED_LENGTH = 2_000_000, 48
+CACHE_CHUNKS, CACHE_WORDS, CACHED_LENGTH = 200_000, 600_000, 48
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]{0,40})([.,;:!?]{0,8})")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -48,14 +48,16 @@ class Tokens:
     """Ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer never joins what stands on two sides of a blank, tab or line break, so a text's ids
-    are those of its chunks between them, which repeat; their ids are kept, CACHE_CHUNKS at most.  Most
+    are those of its chunks between them, which repeat; their ids are kept: CACHE_CHUNKS, and as many of
+    the time before, from which those met again return.  Most
     new chunks are a Latin word and marks, which it tokenizes apart and in lower case, so their ids are
-    put together from those of the word and the marks; new words are encoded many at a time."""
+    put together from those of the word and the marks; new words (CACHE_WORDS are kept) are encoded many at a time."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer, self.known, self.words = Tokenizer.from_file(path), {}, {"": b""}
+        self.before: dict[str, bytes] = {}
         self.between = self.tokenizer.encode("!", add_special_tokens=False).ids[0]
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
@@ -72,7 +74,7 @@ class Tokens:
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         plain = {c: (m[1].lower(), m[2]) for c in chunks if (m := _WORD.fullmatch(c))}
         new = {w for w, _ in plain.values()}.difference(self.words)
-        if len(self.words) > CACHE_CHUNKS:
+        if len(self.words) > CACHE_WORDS:
             self.words = {"": b""}
             new = {w for w, _ in plain.values() if w}
         if new:
@@ -87,10 +89,11 @@ class Tokens:
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         ids = list(map(self.known.get, chunks))
         if None in ids:
-            new = list({c for c, b in zip(chunks, ids, strict=True) if b is None})
-            found = self._learn(new)
+            new = {c for c, b in zip(chunks, ids, strict=True) if b is None}
+            found = {c: self.before[c] for c in new if c in self.before}
+            found |= self._learn([c for c in new if c not in found])
             if len(self.known) > CACHE_CHUNKS:
-                self.known.clear()
+                self.known, self.before = {}, self.known
             self.known.update((c, b) for c, b in found.items() if len(c) <= CACHED_LENGTH)
             ids = [found[c] if b is None else b for c, b in zip(chunks, ids, strict=True)]
         return b"".join(ids)

@@ -1,6 +1,7 @@
 """Tables that cut a job's lineage, written to the shared folder named in spark.checkpoint.dir."""
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -11,9 +12,15 @@ from pyspark.sql.types import StructType
 REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH_ROWS = 1000       # documents in one Arrow batch
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package when the session was started elsewhere.
-    On a cluster the package is shipped with --py-files as usual."""
+    """Let Python workers on this machine import the package when the session was started elsewhere
+    (on a cluster the package is shipped with --py-files as usual), and hold Arrow batches to BATCH_ROWS
+    rows, so that a batch of long documents fits a worker's memory."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     env = spark.sparkContext.environment
     if REPOSITORY not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPOSITORY, env.get("PYTHONPATH", "")) if x)
@@ -42,6 +49,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Let go of the shuffle files of jobs that are over.  Spark removes them once the driver has
+    collected the plans that made them, which on its own may be long after a large table is written."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def remove(df: DataFrame) -> None:
     """Delete a table made by `written` that nothing reads any more."""
     spark = df.sparkSession

@@ -39,7 +39,7 @@ ROUNDS = 5
 LENGTH, SPAN, DECAY = 3, 6, 0.6
 LONG, WINDOW = 24, 16
 SIZE = 32 ** LENGTH
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 400_000
 CHUNK = 10_000
 THRESHOLD = 0.7
 
