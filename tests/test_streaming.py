@@ -208,3 +208,21 @@ def test_a_poll_redelivered_in_a_later_batch_and_a_replayed_batch_leave_one_row(
     for batch_id in (0, 1, 1):
         sinks.write_batch(rows, f"{scratch}/t", batch_id, sinks.CORRELATIONS_KEY, "poll_timestamp")
     assert spark.read.parquet(f"{scratch}/t").count() == n
+
+
+def test_asof_stream_with_an_older_weather_record_arriving_last(spark, flow, scratch):
+    w = flow.wx.where("data_type <> 'historical'").orderBy("POLL_TIMESTAMP").limit(1)
+    city = w.first()["LOCATION_NAME"]
+    at = lambda df, t: df.withColumn("LOCATION_NAME", F.lit(city)).withColumn("POLL_TIMESTAMP", F.lit(t).cast("timestamp"))
+    market = flow.pred.where("not closed").limit(1)
+    for n, (df, sub) in enumerate([(at(w, "2024-01-01 10:00:00"), "wx"), (at(w, "2024-01-01 09:00:00"), "wx"), (at(market, "2024-01-01 10:30:00"), "pred")]):
+        df.coalesce(1).write.mode("append").parquet(f"{scratch}/{sub}")
+        if sub == "wx" and n == 0:
+            market.limit(0).write.mode("append").parquet(f"{scratch}/pred")
+        pred = jobs.read_stream(spark, f"{scratch}/pred", flow.pred.schema)
+        wx = jobs.read_stream(spark, f"{scratch}/wx", flow.wx.schema)
+        q = (jobs.correlation_stream(pred, wx).writeStream.format("parquet").option("path", f"{scratch}/out")
+             .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    row, = spark.read.parquet(f"{scratch}/out").collect()
+    assert row.CORRELATION_LATENCY_SEC == 30 * 60

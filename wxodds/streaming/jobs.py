@@ -126,12 +126,16 @@ def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False,
 def interval_join_stream(pred: DataFrame, wx: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
     """Event-time join on city with a ±tolerance band (stream-stream inner join; both sides
     watermarked so that join state is dropped once the band has passed)."""
+    # buckets of an hour spread a city's state over tasks; weather goes to each bucket its band touches
+    hour = lambda ts: F.floor(F.unix_seconds(ts) / 3600)
+    band = F.expr(f"INTERVAL {tolerance}")
     p = pred.withWatermark("POLL_TIMESTAMP", tolerance).select(
-        location_key(F.col("LOCATION_NAME")).alias("_city"), "question_id", "POLL_TIMESTAMP")
+        location_key(F.col("LOCATION_NAME")).alias("_city"), hour(F.col("POLL_TIMESTAMP")).alias("_b"), "question_id", "POLL_TIMESTAMP")
     w = wx.withWatermark("POLL_TIMESTAMP", tolerance).select(
         location_key(F.col("LOCATION_NAME")).alias("_wcity"), F.col("POLL_TIMESTAMP").alias("w_poll"),
-        F.col("data_type").alias("w_data_type"))
-    cond = ((F.col("_city") == F.col("_wcity"))
+        F.col("data_type").alias("w_data_type"),
+        F.explode(F.sequence(hour(F.col("POLL_TIMESTAMP") - band), hour(F.col("POLL_TIMESTAMP") + band))).alias("_wb"))
+    cond = ((F.col("_city") == F.col("_wcity")) & (F.col("_b") == F.col("_wb"))
             & (F.col("w_poll") >= F.col("POLL_TIMESTAMP") - F.expr(f"INTERVAL {tolerance}"))
             & (F.col("w_poll") <= F.col("POLL_TIMESTAMP") + F.expr(f"INTERVAL {tolerance}")))
     return p.join(w, cond, "inner").select("question_id", "POLL_TIMESTAMP", "w_poll", "w_data_type")

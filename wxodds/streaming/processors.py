@@ -1,7 +1,7 @@
 """Stateful processors for transformWithStateInPandas.
 
 Each processor sees one key's rows of a micro-batch, orders them by event time and carries the
-minimum per-key state across batches (the reference's keyed value states).  Nested record
+minimum per-key state across batches (keyed value states).  Nested record
 fields travel as one JSON `_payload` string, so the Python side only touches keys, times and
 state; all parsing and scoring stays in JVM expressions before and after the processor.
 """
@@ -29,40 +29,37 @@ ASOF_OUTPUT = T.StructType([
     T.StructField("_city", T.StringType()), T.StructField("_ts", T.TimestampType()),
     T.StructField("_payload", T.StringType()), T.StructField("_w_payload", T.StringType()),
 ])
-_WEATHER_STATE = T.StructType([T.StructField("payload", T.StringType())])
+_WEATHER_STATE = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("tb", T.LongType()),
+                               T.StructField("payload", T.StringType())])
 
 
 class AsOfWeatherProcessor(StatefulProcessor):
-    """Per (city, salt bucket): remember the latest forecast and the latest historical record;
-    each market row is paired with the record of its class seen so far (weather first at equal
-    times)."""
+    """Per (city, salt bucket): remember the newest forecast and the newest historical record, with
+    their times; each market row takes the latest record of its class at or before its own time, of
+    those in its micro-batch and the remembered one.  A record older than the remembered one, arriving
+    late, never replaces it.  A market row that comes in an earlier micro-batch than its weather has no
+    match (see README, open points)."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.fcst = handle.getValueState("latest_forecast", _WEATHER_STATE)
-        self.hist = handle.getValueState("latest_historical", _WEATHER_STATE)
+        self.states = {"fcst": handle.getValueState("newest_forecast", _WEATHER_STATE),
+                       "hist": handle.getValueState("newest_historical", _WEATHER_STATE)}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows, ASOF_COLUMNS)
+        pdf = _frame(rows, ASOF_COLUMNS)[["_src", "_cls", "_ts", "_tb", "_payload"]]
+        known = [(0, cls, *state.get()) for cls, state in self.states.items() if state.exists()]
+        if known:
+            pdf = pd.concat([pd.DataFrame(known, columns=pdf.columns), pdf], ignore_index=True)
         # weather (_src = 0) before markets (_src = 1) at equal instants
         pdf = pdf.sort_values(["_ts", "_src", "_tb"], kind="stable")
-        latest = {
-            "fcst": self.fcst.get()[0] if self.fcst.exists() else None,
-            "hist": self.hist.get()[0] if self.hist.exists() else None,
-        }
-        out_ts, out_p, out_w = [], [], []
-        for src, cls, ts, payload in zip(pdf["_src"], pdf["_cls"], pdf["_ts"], pdf["_payload"]):
-            if src == 0:
-                latest[cls] = payload
-            elif latest.get(cls) is not None:
-                out_ts.append(ts)
-                out_p.append(payload)
-                out_w.append(latest[cls])
-        for cls, state in (("fcst", self.fcst), ("hist", self.hist)):
-            if latest[cls] is not None:
-                state.update((latest[cls],))
-        if out_ts:
-            yield pd.DataFrame({"_city": [key[0]] * len(out_ts), "_ts": out_ts, "_payload": out_p,
-                                "_w_payload": out_w})
+        weather = pdf["_src"] == 0
+        pdf["_w_payload"] = pdf["_payload"].where(weather).groupby(pdf["_cls"]).ffill()
+        newest = pdf[weather].groupby("_cls").tail(1)
+        for cls, ts, tb, payload in zip(newest["_cls"], newest["_ts"], newest["_tb"], newest["_payload"]):
+            self.states[cls].update((ts.to_pydatetime(), int(tb), payload))
+        out = pdf[~weather & pdf["_w_payload"].notna()]
+        if len(out):
+            yield pd.DataFrame({"_city": [key[0]] * len(out), "_ts": out["_ts"].array, "_payload": out["_payload"].array,
+                                "_w_payload": out["_w_payload"].array})
 
     def close(self) -> None:
         pass
@@ -93,15 +90,18 @@ class BaselineProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, BASELINE_COLUMNS).sort_values(["window_end", "window_start"], kind="stable")
         n, s1, s2, prev = self.state.get() if self.state.exists() else (0, 0, 0, None)
-        out = []
-        for ws, we, r, rate in zip(pdf["window_start"], pdf["window_end"], pdf["_r"], pdf["accuracy_rate"]):
-            r = int(r)
-            n, s1, s2 = n + 1, s1 + r, s2 + r * r
-            out.append((key[0], ws, we, float(rate), n, s1, s2, prev))
-            prev = float(rate)
-        self.state.update((n, s1, s2, prev))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in BASELINE_OUTPUT.fields])
+        if not len(pdf):
+            return
+        r = pdf["_r"].astype("int64")
+        out = pd.DataFrame({
+            "LOCATION_NAME": key[0], "window_start": pdf["window_start"], "window_end": pdf["window_end"],
+            "accuracy_rate": pdf["accuracy_rate"].astype(float), "baseline_n": n + r.reset_index(drop=True).index.to_numpy() + 1,
+            "_s1": s1 + r.cumsum(), "_s2": s2 + (r * r).cumsum(), "prev_accuracy_rate": pdf["accuracy_rate"].shift().astype(float)})
+        if prev is not None:
+            out.iloc[0, out.columns.get_loc("prev_accuracy_rate")] = prev
+        last = out.iloc[-1]
+        self.state.update((int(last["baseline_n"]), int(last["_s1"]), int(last["_s2"]), float(last["accuracy_rate"])))
+        yield out
 
     def close(self) -> None:
         pass
@@ -123,16 +123,17 @@ class PriceChangeProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, PRICE_COLUMNS).sort_values(["_ts", "_qid"], kind="stable")
-        last = self.last.get()[0] if self.last.exists() else None
-        keep = []
-        for prices, payload in zip(pdf["_prices"], pdf["_payload"]):
-            if prices != last:
-                keep.append(payload)
-            last = prices
-        if last is not None:
-            self.last.update((last,))
-        if keep:
-            yield pd.DataFrame({"_payload": keep})
+        if not len(pdf):
+            return
+        before = pdf["_prices"].shift()
+        if self.last.exists():
+            before.iloc[0] = self.last.get()[0]
+        kept = pdf["_payload"][pdf["_prices"].fillna("\0") != before.fillna("\0")]
+        newest = pdf["_prices"].iloc[-1]
+        if newest is not None:
+            self.last.update((newest,))
+        if len(kept):
+            yield pd.DataFrame({"_payload": kept.array})
 
     def close(self) -> None:
         pass
