@@ -49,7 +49,7 @@ LONG_WORD = 255
 LINK_FAR = 1 - PERCENT / 100 + 1e-9      # the distance of a link at most
 HOT_KEYS = 62
 BLOCK = 64                   # members of a star that are looked at together
-SALTS = ((1, 2), (3, 4))     # of the representatives, in each round
+SALTS = ((1,), (2,))     # of the representatives, in each round
 
 
 # ---- sets -----------------------------------------------------------------------------------------
@@ -375,10 +375,10 @@ def _with_hot(rows: DataFrame) -> DataFrame:
     keys = rows.sparkSession.createDataFrame([(r["key"], k) for k, r in enumerate(longest)], "key long, bit int")
     marked = rows.join(F.broadcast(keys), "key", "left")          # HOT_KEYS rows
     one = F.expr("shiftleft(1L, bit)")
-    hot = marked.where("bit is not null").groupBy("node").agg(F.bit_or(one).alias("hot"))
-    return (marked.join(hot, "node", "left")
-            .select(*rows.columns, F.coalesce("hot", F.lit(0).cast("long")).alias("hot"),
-                    F.when(F.col("bit").isNull(), -1).otherwise(one - 1).cast("long").alias("below")))
+    at = written(marked.where("bit is not null").withColumn("one", one), "hot")      # masks matter at these keys only
+    hot = at.groupBy("node").agg(F.bit_or("one").alias("hot"))
+    none = marked.where("bit is null").select(*rows.columns, F.lit(0).cast("long").alias("hot"), F.lit(-1).cast("long").alias("below"))
+    return at.join(hot, "node").select(*rows.columns, "hot", (F.col("one") - 1).alias("below")).unionAll(none)
 
 
 def _within(pairs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -388,7 +388,10 @@ def _within(pairs: DataFrame, owners: DataFrame) -> DataFrame:
     def closest(xs: pd.Series, hs: pd.Series, sizes: pd.Series) -> pd.Series:
         return pd.Series([_closest(x, h, n) for x, h, n in zip(xs, hs, sizes, strict=True)], dtype=float)
 
-    side = lambda k: owners.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("profile").alias(f"p_{k}"))
+    pairs = written(pairs, "asked")
+    ends = pairs.select(F.explode(F.array("x", "hub")).alias("node")).distinct()
+    own = written(owners.select("node", "n", "profile").join(ends, "node"), "profiles")     # read twice
+    side = lambda k: own.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("profile").alias(f"p_{k}"))
     told = pairs.join(side("x"), "x").join(side("hub"), "hub")
     told = told.withColumn("closest", closest("p_x", "p_hub", F.col("n_x") + F.col("n_hub")))
     return told.select(*pairs.columns, "closest").where(F.col("closest") <= F.col("far") + LINK_FAR)
