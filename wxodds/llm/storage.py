@@ -13,15 +13,20 @@ REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__f
 
 
 BATCH_ROWS = 1000       # documents in one Arrow batch
+#: Python workers live on between stages; so they give freed memory back instead of keeping it.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "131072", "MALLOC_TRIM_THRESHOLD_": "131072",
+                 "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def prepare(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package when the session was started elsewhere
     (on a cluster the package is shipped with --py-files as usual), and hold Arrow batches to BATCH_ROWS
-    rows, so that a batch of long documents fits a worker's memory."""
+    rows, so that a batch of long documents fits a worker's memory.  Settings that are there stay."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     if REPOSITORY not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPOSITORY, env.get("PYTHONPATH", "")) if x)
 

@@ -39,8 +39,8 @@ ROUNDS = 5
 LENGTH, SPAN, DECAY = 3, 6, 0.6
 LONG, WINDOW = 24, 16
 SIZE = 32 ** LENGTH
-CACHE_UNITS = 400_000
-CHUNK = 10_000
+CACHE_UNITS = 250_000
+CHUNK = 4_000
 THRESHOLD = 0.7
 
 #: Letters 1 to 26, others 27 to 31 by code point; 0 is what can only be a gap.
