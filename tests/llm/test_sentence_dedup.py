@@ -59,3 +59,36 @@ def test_edges(spark, docs_of):
     assert sorted((str(r.doc_id), r.n_removed) for r in out) == [("1", 2), ("2", 2), ("2", 2), ("None", 0)]
     assert all(r.gone == "x" and r.text_key == 2 for r in out)      # other columns stay
     assert S.dedup(docs_of([])).count() == 0
+
+
+def every_run(rows):
+    """What is kept if runs of all lengths are hashed, not the shortest ones alone."""
+    seen, out = set(), []
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        cut = S.sentences(t or "")
+        w = [tuple(t[a:b].lower().split()) for a, b in cut]
+        gone = set()
+        for a in range(len(w)):
+            for b in range(a, len(w)):
+                long_enough = len(w[a]) >= S.LONE_WORDS if a == b else sum(map(len, w[a:b + 1])) >= S.SPAN_WORDS
+                if long_enough and w[a] and w[b]:
+                    gone |= set(range(a, b + 1)) if tuple(w[a:b + 1]) in seen else set()
+                    seen.add(tuple(w[a:b + 1]))
+        out.append((i, "".join(t[a:b] for j, (a, b) in enumerate(cut) if j not in gone) if t else t, len(cut), len(gone)))
+    return out
+
+
+def test_as_if_runs_of_all_lengths_were_hashed(spark, docs_of):
+    plain = [r for seed in (1, 2, 3) for r in rows(seed) if r[0] != 5]     # 5 has runs that overlap their own copies
+    plain = [(k, t) for k, (_, t) in enumerate(plain)]
+    got = [(r.doc_id, r.text, r.n_sentences, r.n_removed) for r in S.dedup(docs_of(plain)).collect()]
+    assert sorted(got) == every_run(plain)
+
+
+def test_a_passage_goes_with_its_short_head(spark, docs_of):
+    for lengths in ((3, 9, 48), (3, 2, 3, 4, 20, 30), (1, 1, 13), (7, 3, 7), (20, 1, 1)):
+        passage = " ".join(" ".join(f"p{j}x{k}" for k in range(n)) + "." for j, n in enumerate(lengths))
+        out = {r.doc_id: r for r in S.dedup(docs_of([(1, f"Clean start here. {passage} Then an end."),
+                                                     (2, f"Another one begins. {passage} And more.")])).collect()}
+        assert out[1].n_removed == 0 and out[2].n_removed == len(lengths)
+        assert out[2].text == "Another one begins. And more."

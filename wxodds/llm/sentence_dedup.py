@@ -1,10 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
 For each sentence, the shortest run of consecutive sentences that ends with it, holds SPAN sentences
-at least and SPAN_WORDS words at least, is hashed; a sentence of LONE_WORDS words or more is also a
-run of its own.  Runs are joined over the whole corpus by their 128-bit hashes, and a sentence that is
-covered by any run but the first of its hash is removed.  So a passage that repeats keeps its first
-occurrence, however its sentences are divided; a passage under SPAN_WORDS words is left alone.
+at least and SPAN_WORDS words at least, is hashed, and so is the shortest such run that starts with
+it; a sentence of LONE_WORDS words or more is also a run of its own.  Runs are joined over the whole
+corpus by their 128-bit hashes, and a sentence that is covered by any run but the first of its hash is
+removed.  A passage of SPAN sentences and SPAN_WORDS words or more holds, for each of its sentences,
+one of these runs that covers it, so the result is that of hashing all runs of any length: a passage
+that repeats keeps its first occurrence alone, however its sentences are divided; a passage under
+SPAN_WORDS words is left alone.
 
 A sentence ends after . ! or ? and white space, or at a line break; its words are what stands between
 white space, compared in lower case.  The first occurrence is the one with the least (doc_id,
@@ -53,6 +56,16 @@ def runs(text: str) -> Iterator[tuple[bytes, int, int]]:
             words += counts[first]
         if n and k - first + 1 >= SPAN and words >= SPAN_WORDS:
             yield xxhash.xxh3_128_digest("\n".join(joined[first:k + 1])), k, k - first + 1
+    last, words = -1, 0
+    for k, n in enumerate(counts):               # words: those of sentences k to last
+        while last + 1 < len(counts) and (last - k + 1 < SPAN or words < SPAN_WORDS):
+            last += 1
+            words += counts[last]
+        if last - k + 1 < SPAN or words < SPAN_WORDS:
+            break
+        if n and last - k >= SPAN and words - n >= SPAN_WORDS:      # else it is the one that ends with `last`
+            yield xxhash.xxh3_128_digest("\n".join(joined[k:last + 1])), last, last - k + 1
+        words -= n
 
 
 _RUNS = "doc_id long, text_key long, a long, b long, last int, size int"
@@ -80,8 +93,8 @@ def covered(docs: DataFrame) -> DataFrame:
     """doc_id, text_key and `gone`, the numbers of the sentences to remove, for documents that have any."""
     rows = written(run_rows(docs), "runs")
     place = F.struct("doc_id", "text_key", "last")
-    twice = rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last_place"))
-    twice = twice.where("first <> last_place").select("a", "b", "first")      # null doc_ids compare as values in structs
+    twice = rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    twice = twice.where("n > 1").select("a", "b", "first")
     later = rows.join(twice, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     numbers = later.select(*KEY, F.explode(F.sequence(F.col("last") - F.col("size") + 1, F.col("last"))).alias("k"))
     return numbers.groupBy(*KEY).agg(F.collect_set("k").alias("gone"))
