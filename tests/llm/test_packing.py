@@ -72,6 +72,13 @@ def test_sequences_hold_the_ids(spark, docs_of, tokenizer):
     assert len(whole) == 4 * sum(len(ids_of(tokenizer, t)) for _, t in docs)
 
 
+def test_pieces_alone_in_their_sequences_have_one_each(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD", 64)                  # some shards get more than 64 pieces, and so as many sequences
+    packed = P.pack(spark.range(1000).selectExpr("id", "1500L AS length")).collect()
+    assert len({r.sequence_id for r in packed}) == 1000 == len({r.id for r in packed})
+    assert {r.offset for r in packed} == {0}
+
+
 def test_empty_and_own_columns(spark, docs_of):
     assert P.pack(P.pieces(docs_of([])).drop("ids")).count() == 0
     df = spark.createDataFrame([(5, 9, 9, 9), (7, 9, 9, 9)], "length long, number long, shard long, sequence_id long")

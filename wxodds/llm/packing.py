@@ -8,7 +8,8 @@ whole into another, removes the sequences there that hold the same pieces, and p
 pieces by best fit, the longest first.  After each epoch the best packings of an island migrate to
 the next island of its shard; at the end the fittest packing of the shard wins.  Then the pieces of
 sequences with much room left are dealt anew, into other shards, and packed once more, so that the
-remainders of the shards meet.
+remainders of the shards meet.  A sequence is named by the least number of its pieces and the round,
+so no two share a name, however many a shard has.
 
 Defined results: a null text is empty; an empty document is one piece of the closing id alone;
 repeated rows are packed each; ties are broken by the pieces' numbers; any text length is cut, never
@@ -236,7 +237,8 @@ def _epoch(state: DataFrame, epoch: int) -> DataFrame:
 
 
 def _solve(items: DataFrame, n_items: int, salt: int) -> DataFrame:
-    """number, shard, bin and offset of each of `items` (number, length)."""
+    """number, offset and fill of each of `items` (number, length), and its sequence, which is named by
+    the least number in it."""
     spark = items.sparkSession
     n = max(1, -(-n_items // SHARD))
     tasks = min(n * ISLANDS, max(8, 4 * spark.sparkContext.defaultParallelism))
@@ -255,17 +257,19 @@ def _solve(items: DataFrame, n_items: int, salt: int) -> DataFrame:
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard, numbers, lengths, packing in batch.itertuples(index=False):
+            for numbers, lengths, packing in batch.itertuples(index=False):
                 bins, lengths = np.frombuffer(packing, np.int32), np.asarray(lengths, np.int64)
                 order = np.argsort(bins, kind="stable")
                 ends = np.cumsum(lengths[order])
                 first = np.searchsorted(bins[order], bins[order])          # where each one's bin begins
                 begin = ends - lengths[order]
                 fill = np.bincount(bins, lengths).astype(np.int64)
-                yield pd.DataFrame({"number": np.asarray(numbers)[order], "shard": shard, "bin": bins[order],
-                                    "offset": begin - begin[first], "fill": fill[bins[order]]})
+                numbers = np.asarray(numbers, np.int64)[order]
+                least = np.minimum.reduceat(numbers, np.unique(first))     # by bin; bins are numbered without gaps
+                yield pd.DataFrame({"number": numbers, "sequence": least[bins[order]], "offset": begin - begin[first],
+                                    "fill": fill[bins[order]]})
 
-    return best.select("shard", "b.*").mapInPandas(place, "number long, shard long, bin int, offset long, fill long")
+    return best.select("b.*").mapInPandas(place, "number long, sequence long, offset long, fill long")
 
 
 def pack(cut_pieces: DataFrame) -> DataFrame:
@@ -279,11 +283,11 @@ def pack(cut_pieces: DataFrame) -> DataFrame:
     again = written(first.where(roomy).select("number").join(open_, "number"), "again")
     second = written(_solve(again, again.count(), 1), "second")
     # a second round that needs more sequences than it replaces is left out
-    bins = lambda df: df.select("shard", "bin").distinct().count()
+    bins = lambda df: df.select("sequence").distinct().count()
     placed = [(first, 0)] if bins(second) >= bins(first.where(roomy)) else [(first.where(~roomy), 0), (second, 1)]
     where = None
     for df, level in placed:
-        part = df.select("number", ((F.col("shard") * SHARD + F.col("bin")) * 4 + level).alias("sequence_id"), "offset")
+        part = df.select("number", (F.col("sequence") * 4 + level).alias("sequence_id"), "offset")
         where = part if where is None else where.unionAll(part)
     full = (numbered.where(F.col("length") >= CAPACITY)
             .withColumns({"sequence_id": F.col("number") * 4 + 2, "offset": F.lit(0).cast("long")}))
