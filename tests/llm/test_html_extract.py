@@ -51,6 +51,24 @@ def test_page(field):
                                         "Third with a link in it.")
 
 
+HIDES = ["hidden", "HIDDEN", "hidden=''", "hidden class='x'", "class='x'hidden", "aria-hidden=true", "aria-hidden = 'true'",
+         "style='color:red; display : none'", 'style="display:none !important"', "title='a \"b\"' hidden"]
+SHOWS = ["title='Our hidden valleys'", 'title="Our hidden valleys"', "class='prose hidden md:block'", "data-a='x' title=' hidden '",
+         "data-style='display:none'", "title='display:none'", "alt='aria-hidden=true'", "aria-hidden='false'", "data-hidden='1'",
+         "title='class=\"x\" hidden '", "style='display:block'", "href=/x/hidden", "title=\"it's hidden now\"", "title='my id=\"footer\" hidden '"]
+
+
+@pytest.mark.parametrize("attributes", HIDES + SHOWS)
+def test_hidden_is_an_attribute_not_a_word_of_a_value(field, attributes):
+    whole = "First paragraph, with a part of it, in one sentence."
+    inner = f"<article><p>First paragraph, <span {attributes}>with a part of it,</span> in one sentence.</p></article>"
+    outer = f"<article {attributes}><p>{whole}</p></article>"
+    if attributes in SHOWS:
+        assert H.main_text(field, inner) == whole and H.main_text(field, outer) == whole
+    else:
+        assert H.main_text(field, inner) == "First paragraph, in one sentence." and H.main_text(field, outer) == ""
+
+
 @pytest.mark.parametrize("page", ["", None, "   ", "<", "<>", "</p>", "<p", "<!--", "<script>", "<nav><a href='/'>x</a></nav>"])
 def test_nothing(field, page):
     assert isinstance(H.main_text(field, page), str)

@@ -6,7 +6,8 @@ roles, words of classes and ids; the NEAREST innermost ones) and of its text (le
 marks, place in the page).  The field is trained on labelled pages and decoded by Viterbi; the
 blocks it labels as main text are joined by line breaks.
 
-Scripts, styles, comments in the markup, page heads and the controls of forms hold no text.
+Scripts, styles, comments in the markup, page heads and the controls of forms hold no text, and
+elements with the attribute hidden, aria-hidden="true" or style="display:none" hold none that is shown.
 Defined results: a null or empty page has an empty text; pages of any length are walked whole, in time
 linear in their length; broken markup never fails (stray ends are ignored, open tags end with the
 page); a page without main text is empty; rows are independent, so repeated rows and ties need no
@@ -29,8 +30,9 @@ from wxodds.llm import labelled_pages
 
 #: A tag, a comment, or another declaration.  Quoted values may hold ">", but no "<".
 _TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+'|["'])*+)>?|<[!?/][^>]*+>""")
-_ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\shidden(?=[\s=]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+#: An attribute with its value, which an open quote carries to the end, so that no value is read as a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s>]++)))?""")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!|;|$)", re.IGNORECASE)
 _WORD = re.compile("[a-z]+")
 _SENTENCE_END = re.compile(r"[.!?…:;][\"'”»)]*$")
 
@@ -65,10 +67,17 @@ class Block(NamedTuple):
 
 @cache
 def _hints(attributes: str) -> tuple[str, ...]:
-    found = set()
-    for _, a, b, c in _ATTRIBUTE.findall(attributes):
-        found |= {_HINT[w] for w in _WORD.findall((a or b or c).lower()) if w in _HINT}
-    return tuple(sorted(found))
+    """What classes, ids and roles tell, and "hidden" for an element that isn't shown."""
+    found, hidden = set(), False
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name in ("class", "id", "role"):
+            found |= {_HINT[w] for w in _WORD.findall(value.lower()) if w in _HINT}
+        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
+            hidden = True
+        elif name == "style" and _NOT_SHOWN.search(value):
+            hidden = True
+    return (*sorted(found), "hidden") if hidden else tuple(sorted(found))
 
 
 def _raw_end(html: str, tag: str, at: int) -> int:
@@ -147,9 +156,7 @@ def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]
                 if stack[k][0] in within or ends == "p" and stack[k][0] not in INLINE:
                     break
         hints = _hints(attributes) if attributes and not attributes.isspace() else ()
-        if attributes and _HIDDEN.search(attributes):
-            hints = (*hints, "hidden")
-            hidden += 1
+        hidden += "hidden" in hints
         links += tag == "a"
         if not attributes.endswith("/"):
             stack.append((tag, hints))
