@@ -69,6 +69,29 @@ def test_hidden_is_an_attribute_not_a_word_of_a_value(field, attributes):
         assert H.main_text(field, inner) == "First paragraph, in one sentence." and H.main_text(field, outer) == ""
 
 
+@pytest.mark.parametrize("tag", sorted(H.RAW - H.TO_END))
+def test_an_element_without_its_end_takes_no_text_with_it(field, tag):
+    first, second = "First paragraph, of some words in a row.", "Second paragraph, after the open element."
+    for start in (f"<{tag}>", f"<{tag} class='x'>", f"<{tag.upper()} data-a='1'>"):
+        page = f"<article><p>{first}</p>{start}<p>{second}</p></article>"
+        assert H.main_text(field, page) == f"{first}\n{second}"
+        assert H.main_text(field, page + f"<nav><{tag}>x</{tag}></nav>") == f"{first}\n{second}"     # the end is another one's
+        assert H.main_text(field, f"<article><p>{first[:16]}{start}{first[16:]}</p></article>") == first
+        assert H.main_text(field, f"<article><p>{first}{start}No</{tag}></p><p>{second}</p></article>") == f"{first}\n{second}"
+
+
+def test_formulas_and_objects_are_text(field):
+    page = ("<article><p>Let <math display='inline'><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></math> hold for all of them.</p>"
+            "<p>The chart <object data='a.svg'>shows steady growth</object> over the year.</p></article>")
+    assert H.main_text(field, page) == "Let x=y2 hold for all of them.\nThe chart shows steady growth over the year."
+
+
+def test_many_open_elements_in_linear_time(field):
+    for tag in H.RAW:
+        H.main_text(field, f"<{tag}>" * 30_000)
+        H.main_text(field, f"<{tag}>x</{tag}>" * 30_000)
+
+
 @pytest.mark.parametrize("page", ["", None, "   ", "<", "<>", "</p>", "<p", "<!--", "<script>", "<nav><a href='/'>x</a></nav>"])
 def test_nothing(field, page):
     assert isinstance(H.main_text(field, page), str)

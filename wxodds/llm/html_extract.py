@@ -10,7 +10,7 @@ Scripts, styles, comments in the markup, page heads and the controls of forms ho
 elements with the attribute hidden, aria-hidden="true" or style="display:none" hold none that is shown.
 Defined results: a null or empty page has an empty text; pages of any length are walked whole, in time
 linear in their length; broken markup never fails (stray ends are ignored, open tags end with the
-page); a page without main text is empty; rows are independent, so repeated rows and ties need no
+page, and a start of RAW without its end takes no text with it, but for TO_END); a page without main text is empty; rows are independent, so repeated rows and ties need no
 rule; other columns are kept as they are.
 """
 from __future__ import annotations
@@ -36,10 +36,15 @@ _NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!|;|$)", re.IGNORECA
 _WORD = re.compile("[a-z]+")
 _SENTENCE_END = re.compile(r"[.!?…:;][\"'”»)]*$")
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark object q rp rt ruby s samp "
+                   "small span strike strong sub sup time tt u var wbr "
+                   "annotation annotation-xml math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+                   "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+                   "none semantics noscript template iframe svg select button canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg select button object math canvas".split())
+TO_END = frozenset("script style textarea title".split())       # unclosed, they hold the rest of the page
+CLOSED = frozenset("noscript template iframe svg select button canvas".split())     # unclosed, they are open inline elements
+RAW = TO_END | CLOSED
 #: A start of the first ends an open one of the second, up to the nearest of the third.
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd dt", ("dl",)), "dd": ("dd dt", ("dl",)), "tr": ("tr", ("table",)),
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
@@ -80,10 +85,14 @@ def _hints(attributes: str) -> tuple[str, ...]:
     return (*sorted(found), "hidden") if hidden else tuple(sorted(found))
 
 
-def _raw_end(html: str, tag: str, at: int) -> int:
-    """Where the content of a raw element that starts at `at` is over; the end of the page if it never is."""
-    m = re.compile(f"</{tag}(?![a-zA-Z0-9:-])[^>]*>?", re.IGNORECASE).search(html, at)
-    return m.end() if m else len(html)
+def _raw_end(html: str, tag: str, at: int) -> int | None:
+    """Where the content of a raw element that starts at `at` is over.  Those of TO_END last to the end of
+    the page if they have no end tag; others have none, too, if one of their name starts before it."""
+    start = "" if tag in TO_END else "?"
+    m = re.compile(f"</{start}{tag}(?![a-zA-Z0-9:-])[^>]*>?", re.IGNORECASE).search(html, at)
+    if tag in TO_END:
+        return m.end() if m else len(html)
+    return m.end() if m and html[m.start() + 1] == "/" else None
 
 
 def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]]:
@@ -92,7 +101,7 @@ def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, links, hidden, at = 0, 0, 0, 0
-    never = set()                 # raw elements that have no more ends in this page
+    never = set()                 # holds "-->" if no comment ends in the rest of the page
 
     def flush() -> None:
         nonlocal linked
@@ -134,9 +143,12 @@ def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]
             parts.append(" ")
             continue
         if tag in RAW and not m.group(1):
-            if not attributes.endswith("/"):
-                at = end if tag in never else _raw_end(html, tag, at)
-            continue
+            if attributes.endswith("/"):
+                continue
+            over = _raw_end(html, tag, at)
+            if over is not None:
+                at = over
+                continue
         if tag not in INLINE and tag not in VOID or tag == "hr":
             flush()
         if m.group(1):
