@@ -86,6 +86,16 @@ def test_formulas_and_objects_are_text(field):
     assert H.main_text(field, page) == "Let x=y2 hold for all of them.\nThe chart shows steady growth over the year."
 
 
+def test_deep_pages_know_all_their_ancestors(field):
+    for deep in ("<div>" * 150, "<font>" * 250):
+        page = f"<section class='comments'>{deep}<p>Nice, I liked it a lot, thanks.</p>"
+        assert {"in section", "hint comment", "near comment"} <= set(H.blocks(page)[0].features)
+        page = f"<article>{deep}<p>One sentence of some words here.</p></article><nav><p>Out.</p></nav>" * 2
+        assert ["in article" in b.features for b in H.blocks(page)] == [True, False] * 2
+    items = [b.features for b in H.blocks("<ul><li class='ad'>" + "<font>" * 30 + "One<li>Two</ul>")]
+    assert "hint ad" in items[0] and "hint ad" not in items[1]
+
+
 def test_many_open_elements_in_linear_time(field):
     for tag in H.RAW:
         H.main_text(field, f"<{tag}>" * 30_000)

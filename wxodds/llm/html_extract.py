@@ -2,7 +2,7 @@
 
 `blocks` walks the tags once and gives the leaf blocks: runs of text between block-level tags, with
 references decoded and white space made one blank.  Each block has features of its ancestors (tags,
-roles, words of classes and ids; the NEAREST innermost ones) and of its text (length, share of linked characters, sentence
+roles, words of classes and ids; of tags that aren't HTML's the NEAREST innermost elements) and of its text (length, share of linked characters, sentence
 marks, place in the page).  The field is trained on labelled pages and decoded by Viterbi; the
 blocks it labels as main text are joined by line breaks.
 
@@ -48,7 +48,10 @@ RAW = TO_END | CLOSED
 #: A start of the first ends an open one of the second, up to the nearest of the third.
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd dt", ("dl",)), "dd": ("dd dt", ("dl",)), "tr": ("tr", ("table",)),
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
-NEAREST = 64        # open elements that are looked at, from the innermost
+NEAREST = 64        # open elements that are looked at for tags not in TAGS, from the innermost
+TAGS = frozenset("address article aside blockquote caption center col colgroup dd details dialog dir dl dt fieldset figcaption figure "
+                 "footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup label legend li main map menu nav noframes ol "
+                 "optgroup option output p picture pre search section summary table tbody td tfoot th thead tr ul video audio".split())
 #: Words in classes, ids and roles, by what they tell.
 HINTS = {
     "ad": "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion promoted banner",
@@ -65,6 +68,14 @@ HINTS = {
 _HINT = {w: k for k, words in HINTS.items() for w in words.split()}
 
 
+class Open(NamedTuple):
+    """What the open elements of a block tell."""
+    tags: frozenset[str]
+    hints: frozenset[str]
+    own: str                        # the innermost block-level tag
+    near: tuple[str, ...]           # the hints of the innermost element that has any
+
+
 class Block(NamedTuple):
     text: str
     features: tuple[str, ...]
@@ -95,9 +106,13 @@ def _raw_end(html: str, tag: str, at: int) -> int | None:
     return m.end() if m and html[m.start() + 1] == "/" else None
 
 
-def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]]:
+def leaves(html: str) -> list[tuple[str, int, Open]]:
     """(text, linked characters, open elements) of each leaf block, in page order."""
-    out: list[tuple[str, int, list]] = []
+    out: list[tuple[str, int, Open]] = []
+    places: dict[str, list[int]] = {}       # of the open elements of each tag; none is empty
+    told: dict[str, int] = {}               # how many open elements have a hint; none is 0
+    solid: list[int] = []                   # places of the block-level ones
+    hinted: list[int] = []                  # and of those with hints
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, links, hidden, at = 0, 0, 0, 0
@@ -108,7 +123,10 @@ def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append((text, min(linked, len(text)), stack[-NEAREST:]))
+                tags = (places.keys() & TAGS) | {t for t, _ in stack[-NEAREST:]}
+                tags = frozenset(t for t in tags if t not in ("html", "body", "p", "div") and t not in INLINE)
+                out.append((text, min(linked, len(text)),
+                            Open(tags, frozenset(told), stack[solid[-1]][0] if solid else "none", stack[hinted[-1]][1] if hinted else ())))
             parts.clear()
         linked = 0
 
@@ -117,7 +135,17 @@ def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]
         for name, hints in stack[depth:]:
             links -= name == "a"
             hidden -= "hidden" in hints
+            places[name].pop()
+            if not places[name]:
+                del places[name]
+            for h in hints:
+                told[h] -= 1
+                if not told[h]:
+                    del told[h]
         del stack[depth:]
+        for at_ in (solid, hinted):
+            while at_ and at_[-1] >= depth:
+                at_.pop()
 
     end = len(html)
     while at < end:
@@ -152,25 +180,29 @@ def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]
         if tag not in INLINE and tag not in VOID or tag == "hr":
             flush()
         if m.group(1):
-            for k in range(len(stack) - 1, max(-1, len(stack) - 200), -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
+            k = places[tag][-1] if tag in places else -1
+            if k >= 0 and (tag not in INLINE or k > len(stack) - 200):      # a late end of an inline element closes no far blocks
+                pop(k)
             continue
         if tag in VOID:
             continue
         if tag not in INLINE:
             ends, within = CLOSES.get(tag, ("p", ()))
-            for k in range(len(stack) - 1, max(-1, len(stack) - 20), -1):
-                if stack[k][0] in ends.split():
-                    pop(k)
-                    break
-                if stack[k][0] in within or ends == "p" and stack[k][0] not in INLINE:
-                    break
+            k = max((places[t][-1] for t in ends.split() if t in places), default=-1)
+            stop = solid[-1] if solid and ends == "p" else max((places[t][-1] for t in within if t in places), default=-1)
+            if k >= 0 and k >= stop:
+                pop(k)
         hints = _hints(attributes) if attributes and not attributes.isspace() else ()
         hidden += "hidden" in hints
         links += tag == "a"
         if not attributes.endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
+            for h in hints:
+                told[h] = told.get(h, 0) + 1
+            if tag not in INLINE:
+                solid.append(len(stack))
+            if hints:
+                hinted.append(len(stack))
             stack.append((tag, hints))
         else:
             links -= tag == "a"
@@ -179,11 +211,8 @@ def leaves(html: str) -> list[tuple[str, int, list[tuple[str, tuple[str, ...]]]]
     return out
 
 
-def _described(text: str, linked: int, open_: list[tuple[str, tuple[str, ...]]], place: int, n: int) -> tuple[str, ...]:
-    tags = [t for t, _ in open_ if t not in ("html", "body", "p", "div") and t not in INLINE]
-    hints = {h for _, hs in open_ for h in hs}
-    own = next((t for t, _ in reversed(open_) if t not in INLINE), "none")
-    near = next((hs for _, hs in reversed(open_) if hs), ())
+def _described(text: str, linked: int, open_: Open, place: int, n: int) -> tuple[str, ...]:
+    tags, hints, own, near = open_
     words = text.count(" ") + 1
     size = "1" if words == 1 else "2-4" if words < 5 else "5-11" if words < 12 else "12-29" if words < 30 else "30+"
     share = linked / len(text)
