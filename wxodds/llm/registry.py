@@ -10,6 +10,7 @@ from wxodds.llm.queries_collocations import OP11_SQL, op11_collocations
 from wxodds.llm.queries_decontamination import OP7_SQL, op7_decontamination
 from wxodds.llm.queries_fim import OP13_SQL, op13_fill_in_middle
 from wxodds.llm.queries_html import op2_html_extract
+from wxodds.llm.queries_minhash import OP12_SQL, op12_minhash_dedup
 from wxodds.llm.queries_ngram import OP1_SQL, op1_ngram_join
 from wxodds.llm.queries_packing import op3_packing
 from wxodds.llm.queries_pii import op8_pii
@@ -31,7 +32,7 @@ def _prepared(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {q.__name__: _prepared(q) for q in (
     op1_ngram_join, op2_html_extract, op3_packing, op4_quality_rules, op5_suffix_dedup, op6_sentence_spans, op7_decontamination, op8_pii, op9_toxicity, op10_chat_format, op11_collocations,
-    op13_fill_in_middle)}
+    op12_minhash_dedup, op13_fill_in_middle)}
 ORACLE: dict[str, str] = {
     "op1_ngram_join": OP1_SQL, "op4_quality_rules": OP4_SQL, "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL,
-    "op11_collocations": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
+    "op11_collocations": OP11_SQL, "op12_minhash_dedup": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
