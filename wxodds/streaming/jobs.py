@@ -24,7 +24,9 @@ from wxodds.functions.core import scaled_int
 from wxodds.functions.market import location_key, yes_price, yes_winner
 from wxodds.operators import accuracy, anomaly, correlate, ingest
 from wxodds.operators.asof import WEATHER_PAYLOAD, market_class, weather_class
+from wxodds.operators.quality import PENDING_TTL_SECONDS, SILENCE_SECONDS
 from wxodds.sources import sinks
+from wxodds.streaming import event_time
 from wxodds.streaming.processors import (
     ASOF_OUTPUT, BASELINE_OUTPUT, PRICE_OUTPUT, AsOfWeatherProcessor, BaselineProcessor,
     PriceChangeProcessor,
@@ -85,34 +87,59 @@ def observations_stream(raw_weather: DataFrame) -> DataFrame:
 SALT_BUCKETS = 8
 
 
-def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False,
-                       salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """As-of pairing with keyed weather state, then the batch scoring.
-
-    The state key is (city, salt): market rows are spread over `salt_buckets` buckets by a hash
-    of the market, and every weather record is copied to all buckets of its city (weather is
-    tiny), so each bucket keeps its own latest-weather state and a hot city is processed by
-    several tasks instead of one."""
+def _market_feed(pred: DataFrame, salt_buckets: int) -> DataFrame:
+    """Markets as rows of a keyed join, spread over salt buckets by a hash of the market."""
     market_fields = ["condition_id", "question_id", "question", "closed", "LOCATION_NAME",
                      "POLL_TIMESTAMP", "arbitrage_flag", "price_sum", "volume"]
     salt = F.pmod(F.xxhash64("condition_id", "question_id"), F.lit(salt_buckets)).cast("int")
-    m = pred.select(
+    return pred.select(
         location_key(F.col("LOCATION_NAME")).alias("_city"), salt.alias("_salt"), F.lit(1).alias("_src"),
         market_class().alias("_cls"), F.col("POLL_TIMESTAMP").alias("_ts"),
         F.lit(0).cast("long").alias("_tb"),
         F.to_json(F.struct(*market_fields,
                            yes_price(F.col("tokens")).alias("_yes_p"),
                            yes_winner(F.col("tokens")).alias("_yes_win"))).alias("_payload"))
+
+
+def _weather_feed(wx: DataFrame, salt_buckets: int) -> DataFrame:
+    """Weather as rows of a keyed join; each record goes to all salt buckets of its city."""
     hist = F.coalesce(F.col("data_type") == "historical", F.lit(False))
-    w = wx.select(
+    return wx.select(
         location_key(F.col("LOCATION_NAME")).alias("_city"),
         F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_salt"), F.lit(0).alias("_src"),
         weather_class(hist).alias("_cls"), F.col("POLL_TIMESTAMP").alias("_ts"),
         F.xxhash64(F.to_json(F.struct(*wx.columns))).alias("_tb"),
         F.to_json(F.struct(*[F.col(c).alias(n) for n, c in WEATHER_PAYLOAD.items()])).alias("_payload"))
-    pairs = m.unionByName(w).groupBy("_city", "_salt").transformWithStateInPandas(
-        statefulProcessor=AsOfWeatherProcessor(), outputStructType=ASOF_OUTPUT,
-        outputMode="Append", timeMode="None")
+
+
+def _by_event_time(markets: DataFrame, weather: DataFrame, watermark: str, processor, output: T.StructType) -> DataFrame:
+    """Both feeds, each with its own watermark (Spark goes by the lesser one), through an event-time join."""
+    both = [df.where(F.col("_ts").isNotNull()).withColumn("_us", F.unix_micros("_ts")).select(*event_time.INPUT).withWatermark("_ts", watermark)
+            for df in (markets, weather)]
+    return both[0].unionByName(both[1]).groupBy("_city", "_salt").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime")
+
+
+def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False,
+                       salt_buckets: int = SALT_BUCKETS, watermark: str | None = None) -> DataFrame:
+    """As-of pairing with keyed weather state, then the batch scoring.
+
+    The state key is (city, salt): market rows are spread over `salt_buckets` buckets by a hash
+    of the market, and every weather record is copied to all buckets of its city (weather is
+    tiny), so each bucket keeps its own latest-weather state and a hot city is processed by
+    several tasks instead of one.
+
+    Without `watermark`, weather counts as seen once it has arrived, as in the reference: rows come out
+    at once, and a market that arrives ahead of its weather has none.  With a `watermark` (the delay of
+    either feed that is waited for), a market comes out when the watermark has passed it, with the
+    weather that the batch join gives it, whatever the order of arrival (see event_time.py)."""
+    m, w = _market_feed(pred, salt_buckets), _weather_feed(wx, salt_buckets)
+    if watermark:
+        pairs = _by_event_time(m, w, watermark, event_time.AsOfJoin(), event_time.ASOF_OUTPUT)
+    else:
+        pairs = m.unionByName(w).groupBy("_city", "_salt").transformWithStateInPandas(
+            statefulProcessor=AsOfWeatherProcessor(), outputStructType=ASOF_OUTPUT,
+            outputMode="Append", timeMode="None")
     market_schema = ("condition_id string, question_id string, question string, closed boolean, "
                      "LOCATION_NAME string, POLL_TIMESTAMP timestamp, arbitrage_flag boolean, "
                      "price_sum double, volume double, _yes_p double, _yes_win boolean")
@@ -123,6 +150,37 @@ def correlation_stream(pred: DataFrame, wx: DataFrame, keep_extra: bool = False,
     return correlate.score_pairs(flat, keep_extra)
 
 
+def pending_stream(pred: DataFrame, wx: DataFrame, ttl_seconds: int = PENDING_TTL_SECONDS, watermark: str = WATERMARK,
+                   salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """The stream form of quality.pending_predictions, row by row: each market that found no weather, once,
+    with the first weather within `ttl_seconds`, or with nulls when the watermark has passed that time.
+    Its state is empty of markets from then on."""
+    m = _market_feed(pred, salt_buckets).withColumn("_payload", F.get_json_object("_payload", "$.question_id"))
+    w = _weather_feed(wx, salt_buckets).withColumn("_payload", F.lit(""))
+    out = _by_event_time(m, w, watermark, event_time.PendingJoin(ttl_seconds * 1_000_000), event_time.PENDING_OUTPUT)
+    polled, by = F.timestamp_micros("_us"), F.timestamp_micros("_by_us")
+    return out.select("question_id", polled.alias("POLL_TIMESTAMP"), by.alias("resolved_by"),
+                      (F.unix_seconds(by) - F.unix_seconds(polled)).alias("wait_seconds"))
+
+
+def silence_stream(pred: DataFrame, wx: DataFrame, silence_seconds: int = SILENCE_SECONDS) -> DataFrame:
+    """The live alarm of quality.producer_silence: a row when a feed has sent nothing for `silence_seconds`
+    of processing time, and one when it is back.  Needs a processing-time trigger.  Each partition of a
+    micro-batch sends one row a feed and Arrow batch, so a busy feed costs its task next to nothing."""
+    feeds = pred.select(F.lit("market").alias("feed"), F.unix_micros("POLL_TIMESTAMP").alias("us")).unionByName(
+        wx.select(F.lit("weather").alias("feed"), F.unix_micros("POLL_TIMESTAMP").alias("us")))
+
+    def newest(batches):
+        for pdf in batches:
+            yield pdf.groupby("feed", as_index=False).agg(polled_us=("us", "max"), records=("us", "size"))
+
+    beats = feeds.mapInPandas(newest, "feed string, polled_us long, records long")
+    out = beats.groupBy("feed").transformWithStateInPandas(
+        statefulProcessor=event_time.Silence(silence_seconds * 1000), outputStructType=event_time.SILENCE_OUTPUT,
+        outputMode="Append", timeMode="ProcessingTime")
+    return out.select("feed", "event", F.timestamp_millis("at_ms").alias("at"), F.timestamp_micros("last_poll_us").alias("last_poll"))
+
+
 def interval_join_stream(pred: DataFrame, wx: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
     """Event-time join on city with a ±tolerance band (stream-stream inner join; both sides
     watermarked so that join state is dropped once the band has passed)."""
@@ -173,6 +231,20 @@ def accuracy_stream(corr: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return accuracy.accuracy_metrics(g)
 
 
+def accuracy_panes_stream(corr: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """`accuracy_stream` as two chained event-time aggregations: 15-minute panes first, then hours over
+    the closed panes' times.  A row is added to one state row (its pane) instead of four windows, and
+    the second aggregation sees one row a pane and city."""
+    v = accuracy.accuracy_skip_invalid(corr).withWatermark("POLL_TIMESTAMP", watermark)
+    sums, maxes = accuracy._accuracy_inputs(v)
+    panes = v.groupBy("LOCATION_NAME", F.window("POLL_TIMESTAMP", "15 minutes").alias("pane")).agg(
+        *[F.sum(e).alias(n) for n, e in sums.items()], *[F.max(e).alias(n) for n, e in maxes.items()])
+    g = panes.groupBy("LOCATION_NAME", F.window(F.window_time("pane"), "1 hour", "15 minutes").alias("window")).agg(
+        *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxes])
+    g = g.withColumn("window_start", F.col("window.start")).withColumn("window_end", F.col("window.end"))
+    return accuracy.accuracy_metrics(g)
+
+
 # ------------------------------------------------------------------ alerts
 
 def baseline_stream(acc: DataFrame) -> DataFrame:
