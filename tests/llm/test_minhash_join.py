@@ -71,8 +71,8 @@ def test_against_all_pairs(docs_of):
     assert sorted(got, key=str) == sorted(brute(rows), key=str)
 
 
-def test_cross_pairs_find_what_leaders_leave(docs_of, monkeypatch):
-    """Without any round of leaders, the scan in blocks joins the same components."""
+def test_the_scan_finds_what_leaders_leave(docs_of, monkeypatch):
+    """Without any round of leaders, the scan of keys and families joins the same components."""
     monkeypatch.setattr(M, "SALTS", ())
     rows = corpus(2)
     got = [tuple(r) for r in M.components(docs_of(rows)).collect()]

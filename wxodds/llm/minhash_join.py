@@ -13,11 +13,11 @@ in one of which such a pair differs at ERRORS positions or fewer, since CHUNKS *
 (pigeonhole).  Each chunk is indexed under what is left of it without any ERRORS of its positions, so such
 a pair meets at one of these keys.
 
-Groups are joined without all of their pairs.  At each key, sets are first held against one leader (of
-those that a set meets, the one it meets most often), twice; what links is joined to components.  Only keys
-that hold several components are then scanned in full, in blocks of BLOCK sets, between components, and
-each pair is told at the first key that it shares.  Every pair is held to FAR and the sizes, and then
-confirmed on the full sets.
+Groups are joined without rows for all of their pairs.  At each key, sets are first held against one
+leader (of those that a set meets, the one it meets most often), twice; what links is joined to components.
+Only keys that hold several components are then scanned in full, between components: those of THIN sets or
+fewer pair by pair, larger ones by families (a leader and all sets that share a key with it) in blocks of
+sets, which tell only links.  Every pair is held to FAR and the sizes, and is confirmed on the full sets.
 
 Defined results: a null or empty text, or one without words, has an empty set and no links; rows that
 repeat a doc_id keep their own results; null doc_ids give no component id if there are others; ties don't
@@ -28,13 +28,14 @@ the run stops with an error.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxodds.llm.components import components as connected
@@ -46,9 +47,12 @@ POSITIONS, BITS = 64, 16
 CHUNK, ERRORS = 4, 1
 CHUNKS = POSITIONS // CHUNK
 FAR = CHUNKS * (ERRORS + 1) - 1
-BLOCK = 64
 SALTS = (1, 2)               # of the leaders, in each round
+THIN = 16                    # sets of a key whose pairs are told one by one; larger keys go by families
+BLOCK, ROOM = 64, 100_000    # sets and shingles of a block, a larger set is alone
+BATCH = 16                   # pairs of blocks that a Python worker gets at once
 AT_ONCE = 1024               # shingles of a set that are hashed at once
+COLUMNS = 1 << 16            # distinct shingles of two blocks that are counted at once
 
 _ODD = np.array([xxhash.xxh3_64_intdigest(b"min%d" % k) | 1 for k in range(POSITIONS)], np.uint64)
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
@@ -170,73 +174,163 @@ def near(pairs: DataFrame, owners: DataFrame) -> DataFrame:
     return both.where(close("s_x", "s_y")).select("x", "y")
 
 
-def blocks(rows: DataFrame, owners: DataFrame) -> DataFrame:
-    """(key, block, first and last part, members): the sets of a key in blocks; a component of more than
-    BLOCK sets has blocks of its own, others share some."""
-    size = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
-    total = size.where(f"c <= {BLOCK}").groupBy("key").agg(F.sum("c").alias("rest"))
-    own = F.xxhash64("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK)))
-    other = F.pmod(F.xxhash64("part"), F.ceil(F.col("rest") / BLOCK))
-    placed = rows.join(size, ["key", "part"]).join(total, "key", "left").withColumn("block", F.when(F.col("c") > BLOCK, own).otherwise(other))
-    told = placed.select("key", "node", "part", "block").join(owners.select("node", "n", "sig"), "node")
-    member = F.struct("node", "n", "part", "sig")
-    return told.groupBy("key", "block").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.collect_list(member).alias("members"))
+def thin_pairs(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """(x, y): of keys that THIN sets or fewer have, the pairs of different components whose sizes may link and
+    whose signatures differ at FAR positions or fewer; each is told at the first key that both have."""
+    told = rows.join(owners.select("node", "n", "sig"), "node")
+    members = told.groupBy("key").agg(F.collect_list(F.struct("node", "n", "part", "sig")).alias("members"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, sets in batch.itertuples(index=False):
+                (x, n, part), sig = _members(sets)
+                i, j = _may_link(n, part, sig, n, part, sig, x[:, None] < x)
+                if len(i):
+                    k = keys(sig)
+                    first = (k[i] == k[j]).argmax(1) == key >> (BITS * (CHUNK - ERRORS))
+                    yield pd.DataFrame({"x": x[i[first]], "y": x[j[first]]})
+
+    return members.mapInPandas(run, "x long, y long")
+
+
+def _members(sets) -> tuple[list[np.ndarray], np.ndarray]:
+    """(node, n, part) and the signatures of a list of sets."""
+    return ([np.array([r[c] for r in sets], np.int64) for c in ("node", "n", "part")],
+            np.frombuffer(b"".join(r["sig"] for r in sets), np.uint16).reshape(-1, POSITIONS))
 
 
-def cross_pairs(rows: DataFrame, owners: DataFrame) -> DataFrame:
-    """(x, y): all pairs of different components that share a key, whose sizes may link and whose signatures
-    differ at FAR positions or fewer; each is told at the first key that both have."""
-    found = written(blocks(rows, owners), "blocks")
-    one, other = (found.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "a", "b", "members")]) for k in "xy")
-    met = one.join(other, "key").where("block_x <= block_y and not (a_x = b_x and a_y = b_y and a_x = a_y)")
+def _may_link(n, part, a, m, other, b, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs `where`, those of different components that sizes and signatures let link."""
+    where = where & (part[:, None] != other) & (100 * np.minimum(n[:, None], m) >= PERCENT * np.maximum(n[:, None], m))
+    i, j = np.nonzero(where)
+    close = differing(a[i], b[j]) <= FAR
+    return i[close], j[close]
+
+
+def families(rows: DataFrame) -> DataFrame:
+    """(leader, node, leaders): each set with each leader of its keys.  Two sets that share a key are both
+    with that key's leader; `leaders` tells at which one they are looked at."""
+    leader = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("r"))
+    member = rows.join(leader, "key").select("node", F.col("r.node").alias("leader")).distinct()
+    all_of = member.groupBy("node").agg(F.array_sort(F.collect_list("leader")).alias("leaders"))     # len(KEPT) at most
+    return all_of.select("node", "leaders", F.explode("leaders").alias("leader"))
+
+
+def family_links(rows: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """(x, y): links between components among sets that share a key, told by their full sets.
+
+    The sets of a family are dealt to blocks of BLOCK sets (or ROOM shingles), and blocks are held against
+    each other.  A pair that signatures let link is counted at the least leader that both have, and of the
+    links of two blocks only those are told that join components, so the rows don't grow with the pairs."""
+    member = written(families(rows), "families")
+    parts = rows.select("node", "part").distinct()
+    sets = written(_sets(docs, owners, parts.select("node")), "sets")
+    sized = member.join(owners.select("node", "n", "sig"), "node")
+    size = sized.groupBy("leader").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / ROOM)).alias("blocks"))
+    told = (sized.join(parts, "node").join(size, "leader").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+            .join(sets, "node").groupBy("leader", "block").agg(
+                F.min("part").alias("a"), F.max("part").alias("b"),
+                F.collect_list(F.struct("node", "n", "part", "sig", "leaders", "tokens")).alias("members")))
+    found = written(told, "blocks")
+    one, other = (found.select("leader", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "a", "b", "members")]) for k in "xy")
+    met = one.join(other, "leader").where("block_x <= block_y and not (a_x = b_x and a_y = b_y and a_x = a_y)")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, same, xs, ys in batch.itertuples(index=False):
-                yield _block_pairs(key, same, xs, ys)
+            for leader, same, xs, ys in batch.itertuples(index=False):
+                yield pd.DataFrame(_block_links(leader, same, xs, ys), columns=["x", "y"])
+
+    out = met.select("leader", F.expr("block_x = block_y").alias("same"), "members_x", "members_y").mapInPandas(run, "x long, y long")
+    with _arrow_rows(docs.sparkSession, BATCH):
+        out = written(out, "links")
+    for table in (member, sets, found):
+        remove(table)
+    return out
+
 
-    return met.select("key", F.expr("block_x = block_y").alias("same"), "members_x", "members_y").mapInPandas(run, "x long, y long")
+@contextmanager
+def _arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Hold Arrow batches to `most` rows meanwhile."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _block_links(leader: int, same: bool, xs, ys) -> list[tuple[int, int]]:
+    (x, n, part), a = _members(xs)
+    (y, m, other), b = _members(ys)
+    where = x[:, None] < y if same else np.ones((len(x), len(y)), bool)
+    lower = [[[h for h in r["leaders"] if h < leader] for r in side] for side in (xs, ys)]
+    i, j = _may_link(n, part, a, m, other, b, where & (_common(*([np.array(h, np.int64) for h in side] for side in lower)) == 0))
+    if not len(i):
+        return []
+    rows, columns = np.unique(i), np.unique(j)
+    common = np.zeros((len(x), len(y)), np.int64)
+    common[np.ix_(rows, columns)] = _common(*([np.frombuffer(side[k]["tokens"], np.uint64) for k in at] for side, at in ((xs, rows), (ys, columns))))
+    links = common[i, j] * (100 + PERCENT) >= PERCENT * (n[i] + m[j])
+    joined, out = {}, []
+
+    def root(p: int) -> int:
+        while (q := joined.get(p, p)) != p:
+            p = q
+        return p
+
+    for k, c in zip(i[links].tolist(), j[links].tolist(), strict=True):
+        p, q = root(int(part[k])), root(int(other[c]))
+        if p != q:
+            joined[p] = q
+            out.append((int(x[k]), int(y[c])))
+    return out
 
 
-def _block_pairs(key: int, same: bool, xs, ys) -> pd.DataFrame:
-    side = lambda rows: ([np.array([r[c] for r in rows], np.int64) for c in ("node", "n", "part")],
-                         np.frombuffer(b"".join(r["sig"] for r in rows), np.uint16).reshape(-1, POSITIONS))
-    (x, n, part), a = side(xs)
-    (y, m, other), b = side(ys)
-    may = (part[:, None] != other) & (100 * np.minimum(n[:, None], m) >= PERCENT * np.maximum(n[:, None], m))
-    if same:
-        may &= x[:, None] < y
-    i, j = np.nonzero(may)
-    close = differing(a[i], b[j]) <= FAR
-    i, j = i[close], j[close]
-    if len(i):
-        shared = keys(a)[i] == keys(b)[j]
-        first = shared.argmax(1) == key >> (BITS * (CHUNK - ERRORS))
-        i, j = i[first], j[first]
-    return pd.DataFrame({"x": np.minimum(x[i], y[j]), "y": np.maximum(x[i], y[j])})
+def _common(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of `xs` shares with each of `ys`, by products of 0/1 columns, of which
+    COLUMNS are held at once."""
+    of = np.repeat(np.arange(len(xs) + len(ys)), [len(s) for s in [*xs, *ys]])
+    token = np.concatenate([*xs, *ys])
+    both = np.intersect1d(token[of < len(xs)], token[of >= len(xs)])
+    at = np.searchsorted(both, token)
+    at[at == len(both)] = 0
+    there = both[at] == token if len(both) else np.zeros(len(token), bool)
+    of, at = of[there], at[there]
+    out = np.zeros((len(xs), len(ys)), np.int64)
+    for start in range(0, len(both), COLUMNS):
+        some = (at >= start) & (at < start + COLUMNS)
+        has = np.zeros((len(xs) + len(ys), min(COLUMNS, len(both) - start)), np.float32)
+        has[of[some], at[some] - start] = 1
+        out += np.rint(has[:len(xs)] @ has[len(xs):].T).astype(np.int64)
+    return out
 
 
 # ---- links ----------------------------------------------------------------------------------------
 
-def confirmed(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(x, y): the pairs that link by their full sets."""
-    pairs = written(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    wanted = owners.join(ends, "node").select("node", F.col("doc_id").alias("w_doc_id"), F.col("text_key").alias("w_text_key"))
+def _sets(docs: DataFrame, owners: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and its shingles (`tokens`, sorted 64-bit); `owners` has a document of each set."""
+    wanted = owners.join(nodes, "node").select("node", F.col("doc_id").alias("w_doc_id"), F.col("text_key").alias("w_text_key"))
     same = F.col("doc_id").eqNullSafe(F.col("w_doc_id")) & (F.col("text_key") == F.col("w_text_key"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"node": batch["node"], "tokens": [shingles(t).tobytes() for t in batch["text"]]})
 
+    # rows that repeat a doc_id and its text give one set each, equal ones
+    return docs.join(wanted, same).dropDuplicates(["node"]).select("node", "text").mapInPandas(run, "node long, tokens binary")
+
+
+def confirmed(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(x, y): the pairs that link by their full sets."""
+    pairs = written(pairs, "pairs")
+    sets = written(_sets(docs, owners, pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()), "sets")
+
     @F.pandas_udf("long")
     def common(xs: pd.Series, ys: pd.Series) -> pd.Series:
         return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
                           for x, y in zip(xs, ys, strict=True)], dtype=np.int64)
 
-    # rows that repeat a doc_id and its text give one set each, equal ones
-    sets = docs.join(wanted, same).dropDuplicates(["node"]).select("node", "text").mapInPandas(run, "node long, tokens binary")
-    sets = written(sets, "sets")
     side = lambda k: sets.select(F.col("node").alias(k), F.col("tokens").alias(f"t_{k}"))
     both = pairs.join(side("x"), "x").join(side("y"), "y")
     size = (F.octet_length("t_x") + F.octet_length("t_y")) / 8
@@ -271,8 +365,10 @@ def components(docs: DataFrame) -> DataFrame:
         found = confirmed(keyed, owners, near(star_pairs(rows, salt), owners))
         parts = _joined(parts, found)
         rows = _mixed_keys(shared, parts)
-    found = confirmed(keyed, owners, cross_pairs(rows, owners))
-    parts = _joined(parts, found)
+    several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    rows = written(rows.join(several, "key"), "cross")
+    found = confirmed(keyed, owners, thin_pairs(rows.where(F.col("c") <= THIN), owners))
+    parts = _joined(parts, found.unionAll(family_links(rows.where(F.col("c") > THIN), keyed, owners)))
     of_node = owners.select("node", "least").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     least = of_node.groupBy("part").agg(F.min("least").alias("component_id"))
     of_node = of_node.select("node", "part").join(least, "part").select("node", "component_id")
