@@ -14,7 +14,7 @@ in one of which such a pair differs at ERRORS positions or fewer, since CHUNKS *
 a pair meets at one of these keys.
 
 Groups are joined without rows for all of their pairs.  At each key, sets are first held against one
-leader (of those that a set meets, the one it meets most often), twice; what links is joined to components.
+leader (of those that a set meets, the one it meets most often); what links is joined to components.
 Only keys that hold several components are then scanned in full, between components: those of THIN sets or
 fewer pair by pair, larger ones by families (a leader and all sets that share a key with it) in blocks of
 sets, which tell only links.  Every pair is held to FAR and the sizes, and is confirmed on the full sets.
@@ -47,7 +47,7 @@ POSITIONS, BITS = 64, 16
 CHUNK, ERRORS = 4, 1
 CHUNKS = POSITIONS // CHUNK
 FAR = CHUNKS * (ERRORS + 1) - 1
-SALTS = (1, 2)               # of the leaders, in each round
+SALTS = (1,)                 # of the leaders, in each round
 THIN = 16                    # sets of a key whose pairs are told one by one; larger keys go by families
 BLOCK, ROOM = 64, 100_000    # sets and shingles of a block, a larger set is alone
 BATCH = 16                   # pairs of blocks that a Python worker gets at once
@@ -178,21 +178,33 @@ def thin_pairs(rows: DataFrame, owners: DataFrame) -> DataFrame:
     """(x, y): of keys that THIN sets or fewer have, the pairs of different components whose sizes may link and
     whose signatures differ at FAR positions or fewer; each is told at the first key that both have."""
     told = rows.join(owners.select("node", "n", "sig"), "node")
-    members = told.groupBy("key").agg(F.collect_list(F.struct("node", "n", "part", "sig")).alias("members"))
+    members = told.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "n", "part", "sig"))).alias("m"))
+    members = members.select("key", *[F.col("m")[c].alias(c) for c in ("node", "n", "part", "sig")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, sets in batch.itertuples(index=False):
-                (x, n, part), sig = _members(sets)
-                i, j = _may_link(n, part, sig, n, part, sig, x[:, None] < x)
-                if len(i):
-                    k = keys(sig)
-                    first = (k[i] == k[j]).argmax(1) == key >> (BITS * (CHUNK - ERRORS))
-                    yield pd.DataFrame({"x": x[i[first]], "y": x[j[first]]})
+            for size, same in batch.groupby(batch["node"].map(len)):      # keys of one size at once
+                if size > 1:
+                    yield _thin(size, *(np.stack(same[c].to_numpy()) for c in ("node", "n", "part")),
+                                np.frombuffer(b"".join(b"".join(x) for x in same["sig"]), np.uint16).reshape(len(same), size, POSITIONS),
+                                same["key"].to_numpy() >> (BITS * (CHUNK - ERRORS)))
 
     return members.mapInPandas(run, "x long, y long")
 
 
+def _thin(size: int, node, n, part, sig, number) -> pd.DataFrame:
+    """The pairs of keys (rows) of `size` sets each, by the keys' numbers."""
+    i, j = np.triu_indices(size, 1)
+    may = (part[:, i] != part[:, j]) & (100 * np.minimum(n[:, i], n[:, j]) >= PERCENT * np.maximum(n[:, i], n[:, j]))
+    k, p = np.nonzero(may)
+    a, b = sig[k, i[p]], sig[k, j[p]]
+    close = differing(a, b) <= FAR
+    k, p = k[close], p[close]
+    first = (keys(a[close]) == keys(b[close])).argmax(1) == number[k]
+    k, p = k[first], p[first]
+    return pd.DataFrame({"x": node[k, i[p]], "y": node[k, j[p]]})
+
+
 def _members(sets) -> tuple[list[np.ndarray], np.ndarray]:
     """(node, n, part) and the signatures of a list of sets."""
     return ([np.array([r[c] for r in sets], np.int64) for c in ("node", "n", "part")],
