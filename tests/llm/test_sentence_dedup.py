@@ -1,32 +1,31 @@
-"""Removed sentences against a plain pass in document order, and edge rows."""
+"""Removed sentences against runs of every length, and edge rows."""
 import random
 import re
+from collections import defaultdict
 
 from wxodds.llm import sentence_dedup as S
 
 
 def brute(rows):
-    seen, out = set(), []
-    for i, t in sorted(rows, key=lambda r: r[0]):
-        cut, at = [], 0
-        for m in re.finditer(r"[.!?]+\s+|\s*\n\s*", t or ""):
-            cut, at = [*cut, (at, m.end())], m.end()
-        cut = [(a, b) for a, b in [*cut, (at, len(t or ""))] if a < b]
+    """The method without its shortcut: runs of every length are hashed over all rows, the first place of each
+    run is the least (doc_id, last sentence), and every other place covers its sentences."""
+    parts, places = {}, defaultdict(list)
+    for i, t in rows:
+        ends = [m.end() for m in re.finditer(r"[.!?]+\s+|\s*\n\s*", t or "")]
+        cut = [(a, b) for a, b in zip([0, *ends], [*ends, len(t or "")], strict=True) if a < b]
         w = [tuple(t[a:b].lower().split()) for a, b in cut]
-        gone = set()
-        for k in range(len(w)):
-            first = k
-            while first > 0 and (k - first + 1 < S.SPAN or sum(map(len, w[first:k + 1])) < S.SPAN_WORDS):
-                first -= 1
-            spans = [k] if len(w[k]) >= S.LONE_WORDS else []
-            if w[k] and k - first + 1 >= S.SPAN and sum(map(len, w[first:k + 1])) >= S.SPAN_WORDS:
-                spans.append(first)
-            for f in spans:
-                key = (f == k, *w[f:k + 1])
-                gone |= set(range(f, k + 1)) if key in seen else set()
-                seen.add(key)
-        out.append((i, "".join(t[a:b] for j, (a, b) in enumerate(cut) if j not in gone) if t else t, len(cut), len(gone)))
-    return out
+        parts[i] = t, cut, set()
+        for a in range(len(w)):
+            n = 0
+            for b in range(a, len(w)):
+                n += len(w[b])
+                if w[a] and w[b] and n >= (S.LONE_WORDS if a == b else S.SPAN_WORDS):
+                    places[tuple(w[a:b + 1])].append((i, b, a))
+    for found in places.values():
+        for i, b, a in sorted(found)[1:]:
+            parts[i][2].update(range(a, b + 1))
+    return [(i, "".join(t[a:b] for j, (a, b) in enumerate(cut) if j not in gone) if t else t, len(cut), len(gone))
+            for i, (t, cut, gone) in sorted(parts.items())]
 
 
 def rows(seed):
@@ -61,28 +60,13 @@ def test_edges(spark, docs_of):
     assert S.dedup(docs_of([])).count() == 0
 
 
-def every_run(rows):
-    """What is kept if runs of all lengths are hashed, not the shortest ones alone."""
-    seen, out = set(), []
-    for i, t in sorted(rows, key=lambda r: r[0]):
-        cut = S.sentences(t or "")
-        w = [tuple(t[a:b].lower().split()) for a, b in cut]
-        gone = set()
-        for a in range(len(w)):
-            for b in range(a, len(w)):
-                long_enough = len(w[a]) >= S.LONE_WORDS if a == b else sum(map(len, w[a:b + 1])) >= S.SPAN_WORDS
-                if long_enough and w[a] and w[b]:
-                    gone |= set(range(a, b + 1)) if tuple(w[a:b + 1]) in seen else set()
-                    seen.add(tuple(w[a:b + 1]))
-        out.append((i, "".join(t[a:b] for j, (a, b) in enumerate(cut) if j not in gone) if t else t, len(cut), len(gone)))
-    return out
-
-
-def test_as_if_runs_of_all_lengths_were_hashed(spark, docs_of):
-    plain = [r for seed in (1, 2, 3) for r in rows(seed) if r[0] != 5]     # 5 has runs that overlap their own copies
-    plain = [(k, t) for k, (_, t) in enumerate(plain)]
-    got = [(r.doc_id, r.text, r.n_sentences, r.n_removed) for r in S.dedup(docs_of(plain)).collect()]
-    assert sorted(got) == every_run(plain)
+def test_runs_that_overlap_their_own_copies(spark, docs_of):
+    r = random.Random(5)
+    for trial in range(3):
+        say = [" ".join(f"q{k}z{j}" for j in range(r.randrange(16))) + ". " for k in range(4)]
+        repeats = [(k, "".join(r.choice(say) for _ in range(r.randrange(14)))) for k in range(40)]
+        got = [(x.doc_id, x.text, x.n_sentences, x.n_removed) for x in S.dedup(docs_of(repeats)).collect()]
+        assert sorted(got) == brute(repeats)
 
 
 def test_a_passage_goes_with_its_short_head(spark, docs_of):
