@@ -15,12 +15,14 @@ The operators' docstrings say how each treats nulls, empty and long texts, ties
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxodds.llm import decontamination, ngram_join, packing, pii, toxicity
 from wxodds.llm.queries_toxicity import HELD_OUT, fold
-from wxodds.llm.storage import load, prepare, written
+from wxodds.llm.storage import collecting, drop, load, prepare, written
 
 
 def _keys(df: DataFrame) -> DataFrame:
@@ -66,8 +68,28 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs).drop("ids"))
 
 
-STAGES = [("toxicity", drop_toxic), ("ngram_join", drop_near_copies), ("decontamination", drop_contaminated),
-          ("pii", redact), ("packing", pack)]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: folders of the tables that each stage has written for itself
+_LEFT: list[list[str]] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    """`stage`, which first drops the tables that the stages before it wrote for themselves: their results are
+    written by then (a table that `docs` itself still reads stays)."""
+    before, own = list(_LEFT), []
+    _LEFT.append(own)
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for made in before:
+            drop(spark, made, docs)
+        with collecting(own):
+            return stage(spark, docs, sf_dir)
+    run.__name__, run.__doc__ = stage.__name__, stage.__doc__
+    return run
+
+
+STAGES = [("toxicity", _tidy(drop_toxic)), ("ngram_join", _tidy(drop_near_copies)), ("decontamination", _tidy(drop_contaminated)),
+          ("pii", _tidy(redact)), ("packing", _tidy(pack))]
 #: SQL can express neither the classifier nor the packing; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 

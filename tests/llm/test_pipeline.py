@@ -49,3 +49,15 @@ def test_run(spark):
             kept = {r.doc_id for r in docs.collect()}
     assert {r.doc_id for r in docs.select("doc_id").collect()} == kept
     assert docs.groupBy("sequence_id").agg({"length": "sum"}).where("`sum(length)` > 2048").count() == 0
+
+
+def test_a_stage_drops_the_tables_of_those_before_it(spark, odd):
+    import os
+    near = dict(C.STAGES)["ngram_join"](spark, odd, SF_SMALL)
+    had = list(C._LEFT[1])
+    assert had and all(os.path.isdir(p.removeprefix("file://")) for p in had)
+    rows = near.collect()
+    kept = spark.createDataFrame(rows, DOC)
+    out = dict(C.STAGES)["decontamination"](spark, kept, SF_SMALL)
+    assert not C._LEFT[1] and not any(os.path.isdir(p.removeprefix("file://")) for p in had)
+    assert out.count() <= len(rows)

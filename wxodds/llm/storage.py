@@ -5,6 +5,9 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -51,9 +54,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/wxodds-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def collecting(made: list[str]) -> Iterator[None]:
+    """Note the folders of all tables that are written meanwhile, for `drop`."""
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+
+
+def drop(spark: SparkSession, made: list[str], reader: DataFrame) -> None:
+    """Delete the tables noted in `made`, but for those that `reader` reads."""
+    read = {f.rsplit("/", 2)[1] for f in reader.inputFiles()}
+    for path in [p for p in made if p.rsplit("/", 1)[1] not in read]:
+        _delete(spark, path)
+        made.remove(path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(df: DataFrame) -> None:
     """Let go of the shuffle files of jobs that are over.  Spark removes them once the driver has
     collected the plans that made them, which on its own may be long after a large table is written."""
@@ -63,12 +94,9 @@ def release(df: DataFrame) -> None:
 
 def remove(df: DataFrame) -> None:
     """Delete a table made by `written` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/wxodds-llm/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(df.sparkSession, folder)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
