@@ -167,10 +167,13 @@ def prediction_reject_reason(df: DataFrame) -> Column:
 
 def validate_prediction(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into (valid records, quarantined records with a `reject_reason`)."""
-    tagged = df.withColumn("reject_reason", prediction_reject_reason(df))
+    return split_rejects(df.withColumn("reject_reason", prediction_reject_reason(df)))
+
+
+def split_rejects(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid records, quarantined records) of records with a `reject_reason`."""
     good = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason", "poll_text")
-    bad = tagged.where(F.col("reject_reason").isNotNull())
-    return good, bad
+    return good, tagged.where(F.col("reject_reason").isNotNull())
 
 
 def published_predictions(shaped: DataFrame) -> DataFrame:
@@ -229,10 +232,7 @@ def weather_reject_reason(df: DataFrame) -> Column:
 
 
 def validate_weather(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    tagged = df.withColumn("reject_reason", weather_reject_reason(df))
-    good = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason", "poll_text")
-    bad = tagged.where(F.col("reject_reason").isNotNull())
-    return good, bad
+    return split_rejects(df.withColumn("reject_reason", weather_reject_reason(df)))
 
 
 def observations(raw_weather: DataFrame) -> DataFrame:

@@ -71,6 +71,13 @@ ACC_COLUMNS = [
     "closed_correct_count", "closed_accuracy_rate",
 ]
 
+ACC = _struct(
+    ("LOCATION_NAME", S), ("window_start", TS), ("window_end", TS), ("total_count", L),
+    ("correct_count", L), ("accuracy_rate", D), ("avg_prediction_error", D),
+    ("max_prediction_error", D), ("bias_score", D), ("closed_count", L),
+    ("closed_correct_count", L), ("closed_accuracy_rate", D),
+)
+
 ALERT_COLUMNS = ["alert_type", "LOCATION_NAME", "condition_id", "detail", "POLL_TIMESTAMP",
                  "ALERT_TIMESTAMP"]
 

@@ -155,3 +155,43 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_weather_from(table(spark, sf_dir, "events"))
+
+
+# ------------------------------------------------------------------ landing lines with every kind of reject
+
+#: what is wrong with the payloads of a poll, by event_id % modulus = rest
+UNTAGGED, INACTIVE, OTHER_DAY, TRUNCATED = (13, 4), (17, 6), (19, 7), (23, 8)
+UNKNOWN_KIND, NO_CITY, NO_PLACE, ODD_TIME = (13, 2), (17, 5), (19, 6), (29, 9)
+
+
+def _poll_is(rule: tuple[int, int]) -> Column:
+    event_id = (F.unix_seconds(F.to_timestamp("POLL_TIMESTAMP", ISO_SECONDS)) - EPOCH_2024) / POLL_STEP_SECONDS
+    return event_id.cast("long") % rule[0] == rule[1]
+
+
+def _lines(df: DataFrame, cut: Column, day: Column) -> DataFrame:
+    """(value, day): each payload as a line of JSON; those with `cut` have lost their end."""
+    value = F.to_json(F.struct(*df.columns))
+    return df.select(F.when(cut, F.left(value, F.length(value) - 20)).otherwise(value).alias("value"), day.alias("day"))
+
+
+def landing_events(raw: DataFrame) -> DataFrame:
+    """Lines of polled events: some without the tag, some of whose markets are inactive or end on another day."""
+    later = F.date_format(F.date_add(F.to_date(F.substring("POLL_TIMESTAMP", 1, 10)), 2), "yyyy-MM-dd'T12:00:00Z'")
+    markets = F.transform("markets", lambda m: m.withField("active", F.when(_poll_is(INACTIVE), F.lit(False)).otherwise(m["active"]))
+                          .withField("endDate", F.when(_poll_is(OTHER_DAY), later).otherwise(m["endDate"])))
+    tags = F.when(_poll_is(UNTAGGED), F.array(F.lit("weather"))).otherwise(F.col("tags"))
+    return _lines(raw.withColumns({"markets": markets, "tags": tags}), _poll_is(TRUNCATED), F.to_date(F.substring("POLL_TIMESTAMP", 1, 10)))
+
+
+def landing_weather(raw: DataFrame) -> DataFrame:
+    """Lines of weather polls: some of another kind, some without city, coordinates or a proper poll time."""
+    odd = F.concat(F.substring("POLL_TIMESTAMP", 1, 19), F.lit(".5Z"))
+    changed = raw.withColumns({
+        "kind": F.when(_poll_is(UNKNOWN_KIND), F.lit("current")).otherwise(F.col("kind")),
+        "LOCATION_NAME": F.when(_poll_is(NO_CITY), F.lit("")).otherwise(F.col("LOCATION_NAME")),
+        "latitude": F.when(~_poll_is(NO_PLACE), F.col("latitude")),
+        "POLL_TIMESTAMP": F.when(_poll_is(ODD_TIME), odd).otherwise(F.col("POLL_TIMESTAMP"))})
+    seconds = F.unix_seconds(F.to_timestamp(F.substring("POLL_TIMESTAMP", 1, 19)))
+    cut = ((seconds - EPOCH_2024) / POLL_STEP_SECONDS).cast("long") % TRUNCATED[0] == TRUNCATED[1]
+    return _lines(changed, cut, F.to_date(F.substring("POLL_TIMESTAMP", 1, 10)))

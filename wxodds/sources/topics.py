@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"
 
@@ -27,26 +28,33 @@ def write_topic(df: DataFrame, path: str, mode: str = "append") -> None:
     to_records(df).write.mode(mode).text(path)
 
 
-def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
+def write_topic_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Append a stream's rows to a topic folder, exactly once."""
+    return (to_records(df).writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(**trigger).start())
+
+
+def parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
     """The records as `r`, with the text of a record that is no JSON object of the schema in r._bad."""
     whole = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     options = {"timestampFormat": TIMESTAMP_FORMAT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     return records.select(F.from_json("value", whole, options).alias("r"))
 
 
-def _rows(parsed: DataFrame) -> DataFrame:
+def rows(parsed: DataFrame) -> DataFrame:
+    """The records that could be parsed, as rows."""
     return parsed.where("r._bad is null").select("r.*").drop("_bad")
 
 
 def read_topic(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Bounded read of a topic folder from its beginning to its current end, without malformed records."""
-    return _rows(_parsed(spark.read.text(path), schema))
+    return rows(parsed(spark.read.text(path), schema))
 
 
 def malformed_count(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """How many records of a topic folder can't be parsed (one row)."""
-    return _parsed(spark.read.text(path), schema).agg(F.count_if(F.col("r._bad").isNotNull()).alias("malformed"))
+    return parsed(spark.read.text(path), schema).agg(F.count_if(F.col("r._bad").isNotNull()).alias("malformed"))
 
 
 def read_topic_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _rows(_parsed(spark.readStream.text(path), schema))
+    return rows(parsed(spark.readStream.text(path), schema))

@@ -25,8 +25,8 @@ from wxodds.functions.market import location_key, yes_price, yes_winner
 from wxodds.operators import accuracy, anomaly, correlate, ingest
 from wxodds.operators.asof import WEATHER_PAYLOAD, market_class, weather_class
 from wxodds.operators.quality import PENDING_TTL_SECONDS, SILENCE_SECONDS
-from wxodds.sources import sinks
-from wxodds.streaming import event_time
+from wxodds.sources import sinks, topics
+from wxodds.streaming import event_time, routing
 from wxodds.streaming.processors import (
     ASOF_OUTPUT, BASELINE_OUTPUT, PRICE_OUTPUT, AsOfWeatherProcessor, BaselineProcessor,
     PriceChangeProcessor,
@@ -54,6 +54,12 @@ _PRED_FIELDS = [f.name for f in schemas.PRED.fields]
 
 def predictions_stream(raw_events: DataFrame) -> DataFrame:
     """Raw polled events -> shaped -> price-change suppression (keyed state) -> validated."""
+    good, _ = ingest.split_rejects(tagged_predictions_stream(raw_events))
+    return good
+
+
+def tagged_predictions_stream(raw_events: DataFrame) -> DataFrame:
+    """What `predictions_stream` validates, with the reason why a record is rejected, or null."""
     shaped = ingest.shaped_predictions(raw_events)
     payload = F.to_json(F.struct(*_PRED_FIELDS, "poll_text"))
     open_rows = (shaped.where(~F.col("closed"))
@@ -68,8 +74,8 @@ def predictions_stream(raw_events: DataFrame) -> DataFrame:
     pred_schema = T.StructType(schemas.PRED.fields + [T.StructField("poll_text", T.StringType())])
     kept = kept.select(F.from_json("_payload", pred_schema).alias("r")).select("r.*")
     closed = shaped.where(F.col("closed")).select(*_PRED_FIELDS, "poll_text")
-    good, _ = ingest.validate_prediction(kept.unionByName(closed))
-    return good
+    shaped = kept.unionByName(closed)
+    return shaped.withColumn("reject_reason", ingest.prediction_reject_reason(shaped))
 
 
 def dedup_stream(pred: DataFrame) -> DataFrame:
@@ -82,6 +88,12 @@ def observations_stream(raw_weather: DataFrame) -> DataFrame:
     return ingest.observations(raw_weather)
 
 
+def tagged_observations_stream(raw_weather: DataFrame) -> DataFrame:
+    """What `observations_stream` validates, with the reason why a record is rejected, or null."""
+    shaped = ingest.shape_weather(raw_weather)
+    return shaped.withColumn("reject_reason", ingest.weather_reject_reason(shaped))
+
+
 # ------------------------------------------------------------------ correlation
 
 SALT_BUCKETS = 8
@@ -293,8 +305,54 @@ class LateRows(StreamingQueryListener):
         pass
 
 
+class Rejects(StreamingQueryListener):
+    """Adds up, by feed, the records that passed validation and that didn't, from the metrics that
+    `start_ingest` observes; register it as LateRows."""
+
+    def __init__(self) -> None:
+        self.records: dict[str, int] = defaultdict(int)
+        self.rejected: dict[str, int] = defaultdict(int)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in (event.progress.observedMetrics or {}).items():
+            if name.startswith(OBSERVED):
+                self.records[name.removeprefix(OBSERVED)] += row["records"] or 0
+                self.rejected[name.removeprefix(OBSERVED)] += row["rejected"] or 0
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 # ------------------------------------------------------------------ sinks
 
+OBSERVED = "ingest_"
+
+
+def start_ingest(tagged: DataFrame, feed: str, out: str, quarantine: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Write a validated feed and its quarantine (with reasons) from one pass over each micro-batch, and
+    observe how many records it had and rejected (see Rejects).  A replayed batch rewrites its folders."""
+    counted = tagged.observe(OBSERVED + feed, F.count(F.lit(1)).alias("records"),
+                             F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for rows, path in zip(ingest.split_rejects(batch), (out, quarantine), strict=True):
+                (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(path))
+        finally:
+            batch.unpersist()
+
+    return (counted.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def start_sink(df: DataFrame, path: str, checkpoint: str, key: list[str], trigger: dict | None = None,
                name: str | None = None, time: str | None = None) -> StreamingQuery:
     """Idempotent foreachBatch sink (replayed batch ids overwrite their own folder); with `time`, rows are
@@ -317,7 +375,8 @@ def _file_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> Stre
 
 
 def run_flow(spark: SparkSession, events_landing: str, weather_landing: str, out: str,
-             checkpoints: str, trigger: dict | None = None, files_per_trigger: int | None = None) -> dict:
+             checkpoints: str, trigger: dict | None = None, files_per_trigger: int | None = None,
+             watermark: str | None = None, upsert: bool = False) -> dict:
     """Run the streaming flow stage by stage, one streaming query per topic:
 
         landing events  -> {out}/pred      landing weather -> {out}/wx
@@ -329,8 +388,13 @@ def run_flow(spark: SparkSession, events_landing: str, weather_landing: str, out
 
     With the default availableNow trigger each stage drains what is available and stops (the
     scheduled-run pattern); with a processing-time trigger the queries keep running.  The
-    correlation stage always reads its two inputs unthrottled, so a micro-batch holds both
+    correlation stage reads its two inputs unthrottled, so a micro-batch holds both
     feeds for the same time span (rows are put in event-time order inside the processor).
+
+    With `watermark` it joins by event time instead (see `correlation_stream`): input is throttled
+    as elsewhere, and rows come out once the watermark has passed them.  With `upsert`, the
+    results go to {out}/topics as JSON records and one query deals all of them out to {out}/serving:
+    correlations, accuracy and alerts, merged by natural key (routing.py), with a quarantine.
     Returns the started queries by topic."""
     trigger = trigger or {"availableNow": True}
     wait = "availableNow" in trigger
@@ -348,14 +412,21 @@ def run_flow(spark: SparkSession, events_landing: str, weather_landing: str, out
     pred_schema = schemas.PRED
     wx_schema = observations_stream(spark.createDataFrame([], schemas.RAW_WEATHER)).schema
     go("polls", _file_sink(dedup_stream(read_stream(spark, f"{out}/pred", pred_schema)), f"{out}/polls", f"{checkpoints}/polls", trigger))
-    corr = correlation_stream(read_stream(spark, f"{out}/polls", pred_schema),
-                              read_stream(spark, f"{out}/wx", wx_schema))
+    throttle = files_per_trigger if watermark else None
+    corr = correlation_stream(read_stream(spark, f"{out}/polls", pred_schema, max_files_per_trigger=throttle),
+                              read_stream(spark, f"{out}/wx", wx_schema, max_files_per_trigger=throttle), watermark=watermark)
     go("corr", _file_sink(corr, f"{out}/corr", f"{checkpoints}/corr", trigger))
     corr_schema = schemas.CORR
     acc = accuracy_stream(read_stream(spark, f"{out}/corr", corr_schema, max_files_per_trigger=files_per_trigger))
     go("acc", _file_sink(acc, f"{out}/acc", f"{checkpoints}/acc", trigger))
     acc_in = read_stream(spark, f"{out}/acc", acc.schema, max_files_per_trigger=files_per_trigger)
     corr_in = read_stream(spark, f"{out}/corr", corr_schema, max_files_per_trigger=files_per_trigger)
+    if upsert:
+        root = f"{out}/topics"
+        for name, rows in (("correlations", corr_in), ("accuracy", acc_in), ("alerts", alert_stream(acc_in, corr_in))):
+            go(f"topic_{name}", topics.write_topic_stream(rows, routing.topic_folder(root, name), f"{checkpoints}/topic_{name}", trigger))
+        go("serving", routing.start_routing(routing.read_topics_stream(spark, root, files_per_trigger), f"{out}/serving", f"{checkpoints}/serving", trigger))
+        return queries
     go("alerts", start_sink(alert_stream(acc_in, corr_in), f"{out}/alerts", f"{checkpoints}/alerts",
                             sinks.ALERTS_KEY, trigger))
     for name, table, source, rows, key, time in (
