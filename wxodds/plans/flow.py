@@ -3,14 +3,19 @@
     events -> raw market polls -> pred ┐
     events -> raw weather polls -> wx  ┴-> corr -> acc -> alerts -> serving tables
 
-Plans are lazy: building a query starts no job and writes nothing.  A caller that runs several queries
-over one input names a shared folder (`stage_dir`); then the flow's topics (shaped, pred, corr, acc)
-are written there once, reused by every later flow over the same input, and dropped by `drop_stages`.
+Plans are lazy: building a query starts no job and writes nothing.  The flow's topics (shaped, wx, pred, corr,
+acc), which several branches of a query read, are marked to be kept in executors' memory and disk as
+the query first computes them; so the raw input is parsed once for a query, not once for a branch, and what
+a lost executor held is computed again.  `release` lets go of them (registered queries do so when their
+result is dropped).  A caller that runs several queries over one input names a shared folder
+(`stage_dir`) instead; then the topics are written there once, reused by every later flow over the same
+input, and dropped by `drop_stages`.
 """
 from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from wxodds.operators import accuracy, anomaly, correlate, ingest
@@ -18,14 +23,28 @@ from wxodds.session import pin_utc
 from wxodds.sources import fixtures, sinks, stages
 
 
+def release(held: list[DataFrame]) -> None:
+    """Let go of what a flow keeps."""
+    while held:
+        held.pop().unpersist()
+
+
 class Flow:
     def __init__(self, spark: SparkSession, sf_dir: str, stage_dir: str | None = None):
         pin_utc(spark)
         self.spark, self.sf_dir = spark, sf_dir
         self.stages = stages.Stages(spark, stage_dir, sf_dir) if stage_dir else None
+        self.held: list[DataFrame] = []
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        return self.stages.table(df, name) if self.stages else df
+        return self.stages.table(df, name) if self.stages else self._hold(df)
+
+    def _hold(self, df: DataFrame) -> DataFrame:
+        self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    def release(self) -> None:
+        release(self.held)
 
     def drop_stages(self) -> None:
         if self.stages:
@@ -49,7 +68,8 @@ class Flow:
 
     @cached_property
     def wx(self) -> DataFrame:
-        return ingest.observations(self.raw_weather)
+        wx = ingest.observations(self.raw_weather)
+        return wx if self.stages else self._hold(wx)
 
     @cached_property
     def geo(self) -> DataFrame:

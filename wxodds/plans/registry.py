@@ -7,6 +7,7 @@ of the same result (omitted only where no SQL form exists).
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,12 @@ from wxodds.functions.core import round4
 from wxodds.functions.market import (
     compute_outcome, location_key, question_type, target_temp, yes_price,
 )
-from wxodds.operators import accuracy, anomaly, asof, correlate, ingest, quality, serving
-from wxodds.plans.flow import Flow
+from wxodds.operators import accuracy, anomaly, asof, correlate, ingest, quality, rollups, serving
+from wxodds.plans.flow import Flow, release
 from wxodds.plans.oracle import VALID_LOC, q, r4, ratio, ratio_away
 from wxodds.session import work_folder
-from wxodds.sources import topics
+from wxodds.sources import fixtures, landing, topics, upsert
+from wxodds.streaming import routing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,7 +32,11 @@ ORACLE: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def deco(fn: Callable[[Flow], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Flow(spark, sf_dir))
+            flow = Flow(spark, sf_dir)
+            result = fn(flow).select("*")
+            # what the flow keeps goes with the result
+            weakref.finalize(result, release, flow.held).atexit = False
+            return result
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -848,3 +854,149 @@ def q_write_topic_ingest(f: Flow) -> DataFrame:
     """The ingest topic as it was written."""
     return _topic(f, f.pred, "ingest", schemas.PRED).select(
         "condition_id", "question_id", "question", "LOCATION_NAME", "POLL_TIMESTAMP", "closed", "price_sum", "arbitrage_flag", "volume")
+
+
+# ====================================================================== landing folders by day
+
+def _landing(f: Flow, lines: DataFrame, name: str) -> str:
+    """A landing folder with `lines`, one folder a poll day."""
+    path = f"{work_folder(f.spark)}/wxodds-landing/{name}-{uuid.uuid4().hex}"
+    landing.write_landing(lines, path)
+    return path
+
+
+def _landed_events(f: Flow) -> DataFrame:
+    return landing.read_landing(f.spark, _landing(f, fixtures.landing_events(f.raw_events), "events"), schemas.RAW_EVENT)
+
+
+def _landed_weather(f: Flow) -> DataFrame:
+    return landing.read_landing(f.spark, _landing(f, fixtures.landing_weather(f.raw_weather), "weather"), schemas.RAW_WEATHER)
+
+
+def _is(rule: tuple[int, int]) -> str:
+    return f"event_id % {rule[0]} = {rule[1]}"
+
+
+_LANDED = f"""(SELECT question_id, closed, NOT {_is(fixtures.UNTAGGED)} AS tagged, NOT closed AND NOT {_is(fixtures.INACTIVE)} AS is_active,
+        strftime(ts, '%Y-%m-%d') AS poll_day, strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') AS day_before,
+        CASE WHEN {_is(fixtures.OTHER_DAY)} THEN strftime(ts + INTERVAL 2 DAY, '%Y-%m-%d') ELSE end_day END AS end_day
+ FROM (SELECT question_id, closed, event_id, POLL_TIMESTAMP AS ts, substr(end_date_iso, 1, 10) AS end_day FROM shaped
+       UNION ALL SELECT 's' || CAST(event_id AS VARCHAR), false, event_id, poll_ts, strftime(poll_ts, '%Y-%m-%d')
+       FROM base WHERE event_type <> 'error' AND event_id % 7 = 3)
+ WHERE NOT {_is(fixtures.TRUNCATED)})"""
+
+
+@query("landing_open_markets", f"SELECT question_id, end_day FROM {_LANDED} WHERE tagged AND is_active AND NOT closed AND end_day = poll_day")
+def q_landing_open(f: Flow) -> DataFrame:
+    """Open markets of the landing folder: with the tag, active, ending on the poll day."""
+    return ingest.scan_open_markets(_landed_events(f)).select(F.col("id").alias("question_id"), F.substring("endDate", 1, 10).alias("end_day"))
+
+
+@query("landing_closed_markets", f"SELECT question_id, end_day FROM {_LANDED} WHERE tagged AND closed AND end_day = day_before")
+def q_landing_closed(f: Flow) -> DataFrame:
+    """Resolved markets of the landing folder: with the tag, ended the day before the poll."""
+    return ingest.scan_closed_markets(_landed_events(f)).select(F.col("id").alias("question_id"), F.substring("endDate", 1, 10).alias("end_day"))
+
+
+@query("landing_corrupt_lines", f"""
+SELECT strftime(poll_ts, '%Y-%m-%d') AS day, CAST(sum(1 + (event_id % 7 = 3)::INT + (event_id % 11 = 5)::INT) AS BIGINT) AS lines
+FROM base WHERE event_type <> 'error' AND {_is(fixtures.TRUNCATED)} GROUP BY 1""")
+def q_landing_corrupt(f: Flow) -> DataFrame:
+    """Lines of the landing folder that are no JSON of the schema, by day."""
+    path = _landing(f, fixtures.landing_events(f.raw_events), "events")
+    bad = landing.corrupt_lines(f.spark, path, schemas.RAW_EVENT)
+    return bad.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+_LANDED_WX = f"""(SELECT event_id, CASE WHEN {_is(fixtures.NO_CITY)} THEN '' ELSE LOCATION_NAME END AS LOCATION_NAME,
+        CASE WHEN NOT {_is(fixtures.ODD_TIME)} THEN POLL_TIMESTAMP END AS POLL_TIMESTAMP,
+        CASE WHEN {_is(fixtures.UNKNOWN_KIND)} THEN 'current' ELSE data_type END AS data_type,
+        CASE WHEN {_is(fixtures.UNKNOWN_KIND)} THEN NULL ELSE date END AS date, CASE WHEN NOT {_is(fixtures.NO_PLACE)} THEN latitude END AS latitude,
+        longitude, cur_t, dmax, dmin FROM wx WHERE NOT {_is(fixtures.TRUNCATED)})"""
+_LANDED_FLAT = f"""SELECT LOCATION_NAME, POLL_TIMESTAMP, data_type, date, latitude, longitude, cur_t AS current_temp, dmax AS daily_max,
+       dmin AS daily_min FROM {_LANDED_WX}"""
+
+
+@query("landing_forecast", _LANDED_FLAT + " WHERE data_type = 'forecast'")
+def q_landing_forecast(f: Flow) -> DataFrame:
+    return _wx_flat(ingest.scan_forecast(_landed_weather(f)))
+
+
+@query("landing_historical", _LANDED_FLAT + " WHERE data_type = 'historical'")
+def q_landing_historical(f: Flow) -> DataFrame:
+    return _wx_flat(ingest.scan_historical(_landed_weather(f)))
+
+
+@query("landing_valid_weather", _LANDED_FLAT + """
+ WHERE latitude IS NOT NULL AND data_type IN ('forecast', 'historical') AND LOCATION_NAME <> '' AND POLL_TIMESTAMP IS NOT NULL""")
+def q_landing_valid_weather(f: Flow) -> DataFrame:
+    """Weather of the landing folder that passes validation, which rejects some for each of its reasons."""
+    return _wx_flat(ingest.validate_weather(ingest.shape_weather(_landed_weather(f)))[0])
+
+
+@query("weather_error_count", f"""
+SELECT reject_reason, count(*) AS rejected FROM (
+  SELECT CASE WHEN latitude IS NULL THEN 'coordinates' WHEN data_type NOT IN ('forecast', 'historical') THEN 'data_type'
+              WHEN LOCATION_NAME = '' THEN 'location' WHEN POLL_TIMESTAMP IS NULL THEN 'poll_timestamp' END AS reject_reason FROM {_LANDED_WX})
+WHERE reject_reason IS NOT NULL GROUP BY 1""")
+def q_weather_errors(f: Flow) -> DataFrame:
+    """The schema errors of the weather feed by reason."""
+    return ingest.schema_error_count(ingest.validate_weather(ingest.shape_weather(_landed_weather(f)))[1])
+
+
+# ====================================================================== routed serving tables
+
+@query("route_by_topic", f"""
+SELECT 'correlations' AS table_name, count(*) AS n, count(DISTINCT location_name) AS cities FROM (
+  SELECT DISTINCT condition_id, poll_timestamp, data_type, location_name FROM correlations)
+UNION ALL SELECT 'accuracy', count(*), count(DISTINCT location_name) FROM accuracy_windows
+UNION ALL SELECT 'alerts', count(*), count(DISTINCT location_name) FROM (
+  SELECT DISTINCT alert_type, location_name, condition_id, poll_timestamp FROM alerts_t)""")
+def q_route(f: Flow) -> DataFrame:
+    """All result topics dealt out to their tables, twice (a redelivery), and what the tables then hold."""
+    folder = f"{work_folder(f.spark)}/wxodds-serving/{uuid.uuid4().hex}"
+    for name, df in (("correlations", f.corr), ("accuracy", f.acc), ("alerts", f.alerts)):
+        topics.write_topic(df, routing.topic_folder(f"{folder}/topics", name))
+    records = routing.read_topics(f.spark, f"{folder}/topics")
+    for batch_id in (0, 1):
+        routing.route(records, batch_id, folder)
+    tables = {"correlations": f.correlations_table, "accuracy": f.accuracy_table, "alerts": f.alerts_table}
+    held = [upsert.read_table(f.spark, f"{folder}/{name}", df.schema).agg(
+        F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.count_distinct("location_name").alias("cities")) for name, df in tables.items()]
+    return held[0].unionByName(held[1]).unionByName(held[2])
+
+
+# ====================================================================== rollups
+
+@query("p_active_cities_rollup", """
+SELECT count(DISTINCT location_name) AS value FROM correlations
+WHERE date_trunc('hour', inserted_at) > (SELECT date_trunc('hour', max(inserted_at)) FROM correlations) - INTERVAL 24 HOUR""")
+def q_active_rollup(f: Flow) -> DataFrame:
+    """Active cities of the last 24 hours from hourly sketches (exact at this number of cities)."""
+    return rollups.active_cities(rollups.city_rollup(f.correlations_table))
+
+
+@query("latency_p99_daily", """
+SELECT date_trunc('day', POLL_TIMESTAMP)::TIMESTAMP AS day, count(*) AS correlations, max(CORRELATION_LATENCY_SEC) AS max_latency_sec,
+       true AS within_rank_error
+FROM corr GROUP BY 1""")
+def q_latency_daily(f: Flow) -> DataFrame:
+    """Each day's p99 latency from merged hourly quantile sketches, held against the exact ranks: whether it
+    stands within rollups.RANK_ERROR of rank 0.99."""
+    daily = rollups.latency_quantile(rollups.latency_rollup(f.corr), F.date_trunc("day", "hour").alias("day"))
+    rows = f.corr.select(F.date_trunc("day", "POLL_TIMESTAMP").alias("day"), F.col("CORRELATION_LATENCY_SEC").alias("lat"))
+    counts = rows.groupBy("day", "lat").agg(F.count(F.lit(1)).alias("c")).join(daily, "day").groupBy(
+        "day", "correlations", "max_latency_sec").agg(
+        F.sum(F.when(F.col("lat") < F.col("latency_sec"), F.col("c")).otherwise(0)).alias("under"),
+        F.sum(F.when(F.col("lat") <= F.col("latency_sec"), F.col("c")).otherwise(0)).alias("upto"))
+    near = ((F.col("under") / F.col("correlations") <= 0.99 + rollups.RANK_ERROR)
+            & (F.col("upto") / F.col("correlations") >= 0.99 - rollups.RANK_ERROR))
+    return counts.select("day", "correlations", "max_latency_sec", near.alias("within_rank_error"))
+
+
+@query("v_heatmap_cube", f"""
+SELECT question_type, LOCATION_NAME, day_of_week, CAST(GROUPING(question_type, LOCATION_NAME, day_of_week) AS INTEGER) AS level, {_CORR_STATS}
+FROM (SELECT *, CAST(dayofweek(POLL_TIMESTAMP) + 1 AS INTEGER) AS day_of_week FROM corr)
+GROUP BY CUBE (question_type, LOCATION_NAME, day_of_week)""")
+def q_heatmap_cube(f: Flow) -> DataFrame:
+    return rollups.heatmap_cube(f.corr)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxodds.sources.tables import table
+from wxodds.sources.tables import spread, table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (our own test design, see FIXTURES.md).
@@ -150,11 +150,11 @@ def geo_dim(spark: SparkSession) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events_from(table(spark, sf_dir, "events"))
+    return raw_events_from(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_weather_from(table(spark, sf_dir, "events"))
+    return raw_weather_from(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 # ------------------------------------------------------------------ landing lines with every kind of reject

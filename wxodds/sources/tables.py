@@ -9,3 +9,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """`df`, dealt to all cores by `key` if its files are fewer than these, so that costly parsing of a small
+    table isn't left to one core; a table of many files is read as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
