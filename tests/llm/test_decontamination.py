@@ -3,7 +3,6 @@ import random
 import re
 
 from wxodds.llm import decontamination as D
-from wxodds.llm.storage import written
 
 
 def words(text):
@@ -69,9 +68,41 @@ def test_same_doc_id_with_other_texts_and_empty_tables(spark, docs_of):
     assert [r.contaminated for r in D.decontaminate(docs_of([(1, "a")]), items.limit(0)).collect()] == [False]
 
 
+def near(docs, items, reach=12):
+    """Items of windows whose three rarest different words stand near a place of the rarest, in plain Python."""
+    said = {}
+    for _, t in docs:
+        for w in words(t):
+            said[w] = said.get(w, 0) + 1
+    out = []
+    for doc_id, t in docs:
+        w, ids = words(t), set()
+        for i, text in items:
+            v = words(text)
+            for k in range(max(len(v) - 12, 1) if v else 0):
+                rare = sorted({x for x in v[k:k + 13] if x in said}, key=lambda x: (said[x], x.encode()))[:3]
+                if len(rare) == 3 and any(set(rare) <= set(w[max(p - reach, 0):p + reach + 1]) for p, x in enumerate(w) if x == rare[0]):
+                    ids.add(i)
+        out.append((doc_id, sorted(map(str, ids))))
+    return out
+
+
 def test_proximity(spark, docs_of):
-    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
-    docs = docs_of([(1, "gamma x alpha y beta"), (2, "alpha " + "x " * 30 + "beta gamma"), (3, "alpha beta")])
-    w = written(D.word_table(docs), "words")
-    looked, _ = D.index(w, items)
-    assert {r.doc_id for r in D.proximity_matches(w, looked).collect()} == {1}
+    items = [(1, "alpha beta gamma"), (2, "beta gamma"), (3, "alpha beta unheard gamma")]
+    docs = [(1, "gamma x alpha y beta"), (2, "alpha " + "x " * 30 + "beta gamma"), (3, "alpha beta"), (4, "gamma gamma beta alpha")]
+    got = D.decontaminate(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.near for r in got} == {1: ["1", "3"], 2: [], 3: [], 4: ["1", "3"]}
+
+
+def test_proximity_against_brute_force(spark, docs_of):
+    for seed in (4, 5):
+        docs, items = fixture(seed)
+        got = D.decontaminate(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert sorted((r.doc_id, r.near) for r in got) == sorted(near(docs, items))
+
+
+def test_postings_hold_every_place(spark, docs_of):
+    w = D.word_table(docs_of([(1, "b A b c"), (2, None), (None, "a")]))
+    posted, looked, _ = D.index(w, spark.createDataFrame([(1, "a b zzz")], "item_id long, text string"))
+    assert sorted((str(r.doc_id), r.pos) for r in posted.collect()) == [("1", 0), ("1", 1), ("1", 2), ("None", 0)]
+    assert [r.whole for r in looked.collect()] == [False]
