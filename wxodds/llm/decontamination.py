@@ -117,14 +117,17 @@ def meetings(posted: DataFrame, looked: DataFrame) -> DataFrame:
                       (F.col("exact") & F.col("w.whole") & (start >= 0)).alias("exact"), "near").where("exact or near")
 
 
-def phrase_matches(words: DataFrame, met: DataFrame, looked: DataFrame) -> DataFrame:
+def phrase_matches(docs: DataFrame, met: DataFrame, looked: DataFrame) -> DataFrame:
     """doc_id, text_key, start, length, phrase_key of each occurrence of a window: the words at the starts of
-    `met` (a written table) are compared with the whole phrase."""
+    `met` (a written table) are compared with the whole phrase.  `docs` are met by sort-merge at every size
+    and as raw text, which takes less room in a shuffle than its words do."""
     starts = met.where("exact").groupBy(*KEY).agg(F.collect_set(F.struct("start", "length")).alias("starts"))
     starts = starts.withColumnsRenamed({k: f"m_{k}" for k in KEY})
     said = F.transform("starts", lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"),
                                                     F.slice("words", s["start"] + 1, s["length"]).alias("phrase")))
-    said = words.join(starts, _same("m_")).select(*KEY, F.explode(said).alias("s")).select(*KEY, "s.*")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").hint("merge")
+    said = (texts.join(starts, _same("m_")).select(*KEY, "starts", words_of(F.col("text")).alias("words"))
+            .select(*KEY, F.explode(said).alias("s")).select(*KEY, "s.*"))
     return _union([said.join(F.broadcast(b.select("phrase", "phrase_key")), "phrase").select(*KEY, "start", "length", "phrase_key")
                    for b in _blocks(looked, 2 * F.octet_length(F.array_join("phrase", " ")) + 200, F.col("phrase_key"))]).distinct()
 
@@ -163,7 +166,7 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     words = word_table(docs)
     posted, looked, found = index(words, items)
     met = written(meetings(posted, looked), "meetings")
-    matches = written(phrase_matches(words, met, looked), "matches")
+    matches = written(phrase_matches(docs, met, looked), "matches")
     hits = hit_words(matches).withColumnsRenamed({k: f"h_{k}" for k in KEY})
     out = (words.drop("words").join(hits, _same("h_"), "left")
            .join(items_of(matches, found, "items", "i_"), _same("i_"), "left")
