@@ -88,6 +88,23 @@ def test_prediction_stream_equals_batch(spark, flow, scratch):
     assert _keyset(got, ["question_id", "POLL_TIMESTAMP"]) == _keyset(flow.pred, ["question_id", "POLL_TIMESTAMP"])
 
 
+def test_prices_are_forgotten_after_their_span(spark, flow, scratch):
+    from wxodds.operators import ingest
+    raw = flow.raw_events.withColumn("_t", F.to_timestamp("POLL_TIMESTAMP", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    _slices(raw, "_t", f"{scratch}/raw", fmt="json")
+    key = ["question_id", "POLL_TIMESTAMP"]
+    shaped = ingest.shaped_predictions(flow.raw_events)
+    counts = {}
+    for span in (60, 36_000_000):
+        stream = jobs.read_stream(spark, f"{scratch}/raw", schemas.RAW_EVENT, fmt="json", max_files_per_trigger=24)
+        _run(jobs.predictions_stream(stream, span, "2 hours"), f"{scratch}/out{span}", f"{scratch}/ck{span}", ["question_id"])
+        want, _ = ingest.validate_prediction(ingest.price_change_only(shaped, span))
+        got = _keyset(spark.read.parquet(f"{scratch}/out{span}"), key)
+        assert got == _keyset(want, key)
+        counts[span] = len(got)
+    assert counts[60] > counts[36_000_000] == flow.pred.count()      # the shorter span does forget, the longer one nothing
+
+
 def test_restart_and_replay_add_no_duplicates(spark, flow, landed, scratch):
     src = f"{scratch}/corr_in"
     files = sorted(glob.glob(f"{landed}/corr/*.parquet"))

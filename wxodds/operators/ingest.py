@@ -135,20 +135,26 @@ def shaped_predictions(raw_events: DataFrame) -> DataFrame:
     return shape_prediction(build_tokens(parse_price_arrays(m)))
 
 
-def price_change_only(pred: DataFrame) -> DataFrame:
+def price_change_only(pred: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
     """Drop an open market row whose price tuple equals the previous open row of the same market.
 
     The previous-tuple memory is updated by every open row, valid or not (it is primed before
-    validation); closed rows always pass and do not touch it.
+    validation); closed rows always pass and do not touch it.  With `ttl_seconds`, a market is
+    forgotten that long after its last open row, and the next one passes.
     """
     open_rows = pred.where(~F.col("closed"))
     keyed = (open_rows.withColumn("_ck", F.coalesce(F.col("condition_id"), F.lit("\u0000")))
              .withColumn("_px", F.transform("tokens", lambda t: t["price"]))
              .withColumn("_ts", F.coalesce(F.col("POLL_TIMESTAMP"), F.timestamp_seconds(F.lit(0))))
              .withColumn("_qid", F.coalesce(F.col("question_id"), F.lit(""))))
-    lagged = lag_by_key(keyed, ["_ck"], "_ts", ["_qid"], ["_px"])
-    kept = lagged.where(~F.coalesce(F.col("prev__px") == F.col("_px"), F.lit(False)))
-    kept = kept.drop("_ck", "_px", "_ts", "_qid", "prev__px")
+    if ttl_seconds is None:
+        lagged = lag_by_key(keyed, ["_ck"], "_ts", ["_qid"], ["_px"])
+        same = F.col("prev__px") == F.col("_px")
+    else:
+        lagged = lag_by_key(keyed.withColumn("_us", F.unix_micros("_ts")), ["_ck"], "_ts", ["_qid"], ["_px", "_us"])
+        same = (F.col("prev__px") == F.col("_px")) & (F.col("_us") - F.col("prev__us") <= ttl_seconds * 1_000_000)
+    kept = lagged.where(~F.coalesce(same, F.lit(False)))
+    kept = kept.drop("_ck", "_px", "_ts", "_qid", "_us", "prev__px", "prev__us")
     return kept.unionByName(pred.where(F.col("closed")))
 
 

@@ -29,6 +29,8 @@ from wxodds.sources import sinks, topics
 from wxodds.streaming import event_time, routing
 from wxodds.streaming.processors import (
     ASOF_OUTPUT, BASELINE_OUTPUT, PRICE_OUTPUT, AsOfWeatherProcessor, BaselineProcessor,
+    EXPIRING_COLUMNS,
+    ExpiringPriceChangeProcessor,
     PriceChangeProcessor,
 )
 
@@ -52,13 +54,18 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
 _PRED_FIELDS = [f.name for f in schemas.PRED.fields]
 
 
-def predictions_stream(raw_events: DataFrame) -> DataFrame:
-    """Raw polled events -> shaped -> price-change suppression (keyed state) -> validated."""
-    good, _ = ingest.split_rejects(tagged_predictions_stream(raw_events))
+def predictions_stream(raw_events: DataFrame, price_ttl_seconds: int | None = None, watermark: str = "30 minutes") -> DataFrame:
+    """Raw polled events -> shaped -> price-change suppression (keyed state) -> validated.
+
+    By default the price of each market ever seen is kept, as in the reference.  With `price_ttl_seconds`, a timer
+    forgets a market that long (event time) after its last open poll, so the state holds the markets of that span;
+    equal to ingest.price_change_only of the same span.  Open polls later than `watermark`, or without a time, are then dropped as late rows.
+    """
+    good, _ = ingest.split_rejects(tagged_predictions_stream(raw_events, price_ttl_seconds, watermark))
     return good
 
 
-def tagged_predictions_stream(raw_events: DataFrame) -> DataFrame:
+def tagged_predictions_stream(raw_events: DataFrame, price_ttl_seconds: int | None = None, watermark: str = "30 minutes") -> DataFrame:
     """What `predictions_stream` validates, with the reason why a record is rejected, or null."""
     shaped = ingest.shaped_predictions(raw_events)
     payload = F.to_json(F.struct(*_PRED_FIELDS, "poll_text"))
@@ -68,9 +75,15 @@ def tagged_predictions_stream(raw_events: DataFrame) -> DataFrame:
                          F.coalesce(F.col("question_id"), F.lit("")).alias("_qid"),
                          F.to_json(F.transform("tokens", lambda t: t["price"])).alias("_prices"),
                          payload.alias("_payload")))
-    kept = open_rows.groupBy("_ck").transformWithStateInPandas(
-        statefulProcessor=PriceChangeProcessor(), outputStructType=PRICE_OUTPUT,
-        outputMode="Append", timeMode="None")
+    if price_ttl_seconds is None:
+        kept = open_rows.groupBy("_ck").transformWithStateInPandas(
+            statefulProcessor=PriceChangeProcessor(), outputStructType=PRICE_OUTPUT,
+            outputMode="Append", timeMode="None")
+    else:
+        timed = open_rows.withColumn("_us", F.coalesce(F.unix_micros("_ts"), F.lit(0)))
+        kept = timed.select(*EXPIRING_COLUMNS).withWatermark("_ts", watermark).groupBy("_ck").transformWithStateInPandas(
+            statefulProcessor=ExpiringPriceChangeProcessor(price_ttl_seconds * 1_000_000), outputStructType=PRICE_OUTPUT,
+            outputMode="Append", timeMode="EventTime")
     pred_schema = T.StructType(schemas.PRED.fields + [T.StructField("poll_text", T.StringType())])
     kept = kept.select(F.from_json("_payload", pred_schema).alias("r")).select("r.*")
     closed = shaped.where(F.col("closed")).select(*_PRED_FIELDS, "poll_text")

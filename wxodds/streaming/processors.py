@@ -137,3 +137,49 @@ class PriceChangeProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+EXPIRING_COLUMNS = ["_ck", "_ts", "_us", "_qid", "_prices", "_payload"]
+_EXPIRING_STATE = T.StructType([T.StructField("prices", T.StringType()), T.StructField("us", T.LongType())])
+
+
+class ExpiringPriceChangeProcessor(StatefulProcessor):
+    """`PriceChangeProcessor` that forgets a market `ttl_us` after its last open row.  A row later than that passes
+    whether or not the timer has fired yet, so the result doesn't depend on when it fires."""
+
+    def __init__(self, ttl_us: int):
+        self.ttl_us = ttl_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_prices", _EXPIRING_STATE)
+
+    def _end(self, us: int) -> int:
+        """The first millisecond at which a market last seen at `us` is forgotten."""
+        return (us + self.ttl_us) // 1000 + 1
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _frame(rows, EXPIRING_COLUMNS).sort_values(["_us", "_qid"], kind="stable")
+        if not len(pdf):
+            return
+        before, at = pdf["_prices"].shift(), pdf["_us"].shift(fill_value=pdf["_us"].iloc[0])
+        known, seen = self.last.get() if self.last.exists() else (None, None)
+        if seen is not None:
+            before.iloc[0], at.iloc[0] = known, seen
+        kept = (pdf["_prices"].fillna("\0") != before.fillna("\0")) | (pdf["_us"] - at > self.ttl_us)
+        newest, us = pdf["_prices"].iloc[-1], int(pdf["_us"].iloc[-1])
+        if seen is None or us >= seen:
+            if seen is not None:
+                self.handle.deleteTimer(self._end(seen))
+            self.last.update((known if newest is None else newest, us))
+            self.handle.registerTimer(self._end(us))
+        if kept.any():
+            yield pd.DataFrame({"_payload": pdf["_payload"][kept].array})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.last.exists() and self._end(self.last.get()[1]) <= timerValues.getCurrentWatermarkInMs():
+            self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
