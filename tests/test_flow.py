@@ -1,6 +1,7 @@
 """Independent second forms for the engine's operators, and plan checks."""
 import datetime as dt
 import math
+import pathlib
 import random
 
 import pandas as pd
@@ -8,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from wxodds.functions.core import python_round4
-from wxodds.operators import accuracy, anomaly, asof, quality, serving
+from wxodds.operators import accuracy, anomaly, asof, ingest, quality, serving
 from wxodds.operators.ordered import BLOCK_SECONDS, running_sums_by_key, time_block
 from wxodds.plans.flow import Flow
 from wxodds.schemas import ACCURACY_TABLE
-from wxodds.sources import sinks, topics
+from wxodds.sources import fixtures, sinks, tables, topics
 
 
 def _key(df, cols):
@@ -218,3 +219,37 @@ def test_plan_prunes_columns_at_scan(flow):
         .executedPlan().toString()
     assert "ReadSchema: struct<LOCATION_NAME:string,ACTUAL_OUTCOME:int>" in plan
     assert "PushedFilters: [IsNotNull(ACTUAL_OUTCOME), EqualTo(ACTUAL_OUTCOME,1)]" in plan
+
+
+def test_parsing_is_dealt_to_tasks_of_a_like_size_however_large_the_table(spark, scratch, monkeypatch):
+    """One file of one row group, ids null in half of its rows: the tasks grow in number, not in size."""
+    rows = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("event_id"), (F.col("id") % 997).alias("user_id"),
+                                      F.lit("view").alias("event_type"), (F.col("id") / 100.0).alias("value"))
+    rows.coalesce(1).write.parquet(f"{scratch}/events.parquet")
+    size = sum(f.stat().st_size for f in pathlib.Path(f"{scratch}/events.parquet").glob("*.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.shares(size, cores) == cores and tables.shares(10 * cores * tables.SHARE_BYTES, cores) == 10 * cores
+    monkeypatch.setattr(tables, "SHARE_BYTES", size // (5 * cores))
+    dealt = tables.spread(tables.table(spark, scratch, "events"), *fixtures.DEALT_BY)
+    per_task = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 40_000 and max(per_task) < 3 * 40_000 / (5 * cores)
+    raw = fixtures.raw_events(spark, scratch)
+    assert raw.rdd.getNumPartitions() >= 5 * cores
+    # events without markets and of other topics come out as before: one main event a row, the others by id
+    ids = spark.range(0, 40_000, 2)
+    assert raw.count() == 40_000 + ids.where("id % 7 = 3").count() + ids.where("id % 11 = 5").count()
+    assert raw.where(F.size("markets") == 0).count() == ids.where("id % 11 = 5").count()
+    assert raw.where("slug is null and title is null and markets is null").count() == 0
+
+
+def test_price_sum_is_summed_once_a_row(spark):
+    """The rounding names its argument many times; the plan holds one sum over the tokens."""
+    m = spark.createDataFrame([("c", "q", "Will the highest temperature in Rome be 20°C on May 1?", None, "2024-01-01T00:00:00Z", "s", "2024-01-01",
+                                "2024-01-01", False, True, 1.0, "t", [("Yes", 0.3, None), ("No", 0.70004, None)])],
+                              "conditionId string, id string, question string, event_slug string, poll_text string, slug string, endDate string, "
+                              "startDate string, closed boolean, active boolean, volume double, title string, "
+                              "tokens array<struct<outcome string, price double, winner boolean>>")
+    shaped = ingest.shape_prediction(m.union(m).repartition(1))
+    assert {(r.price_sum, r.arbitrage_flag) for r in shaped.collect()} == {(1.0, False)}
+    plan = shaped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(tokens") == 1

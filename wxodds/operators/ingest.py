@@ -110,8 +110,8 @@ def arbitrage_flag(raw_sum: Column) -> Column:
 
 def shape_prediction(markets: DataFrame) -> DataFrame:
     """Rename/default into the MarketPrediction record; keeps the poll text for validation."""
-    raw_sum = price_sum_raw("tokens")
-    return markets.select(
+    raw_sum = F.col("_sum")           # a column of its own, summed once however often the rounding names it
+    return markets.withColumn("_sum", price_sum_raw("tokens")).select(
         F.col("conditionId").alias("condition_id"), F.col("id").alias("question_id"),
         F.coalesce(F.col("question"), F.lit("")).alias("question"),
         F.col("slug").alias("market_slug"), F.col("endDate").alias("end_date_iso"),

@@ -23,6 +23,7 @@ EPOCH_2024 = 1704067200              # 2024-01-01T00:00:00Z
 POLL_STEP_SECONDS = 30               # poll time = EPOCH_2024 + event_id * 30 s
 QUESTION_KINDS = ["highest temperature", "lowest temperature", "temperature"]
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+DEALT_BY = ["event_id", "user_id", "value"]     # more than one, since any may be null in many rows
 # ---------------------------------------------------------------------------
 
 
@@ -106,13 +107,12 @@ def raw_events_from(ev: DataFrame) -> DataFrame:
     empty = F.struct(
         F.concat(F.lit("Temperature outlook for "), F.col("city")).alias("title"),
         F.lit("outlook").alias("slug"), F.array(F.lit("daily-temperature")).alias("tags"),
-        F.filter(other_markets, lambda m: F.lit(False)).alias("markets"),   # an event with no markets
+        F.slice(other_markets, 1, 0).alias("markets"),                      # an event with no markets
         F.col("poll_text").alias("POLL_TIMESTAMP"),
     )
     e = F.col("event_id")
-    events = F.array_compact(F.array(
-        main, F.when(e % 7 == 3, other), F.when(e % 11 == 5, empty)))
-    return b.select(F.explode(events).alias("ev")).select("ev.*")
+    events = F.array(main, F.when(e % 7 == 3, other), F.when(e % 11 == 5, empty))
+    return b.select(F.explode(events).alias("ev")).where(F.col("ev").isNotNull()).select("ev.*")
 
 
 def raw_weather_from(ev: DataFrame) -> DataFrame:
@@ -150,11 +150,11 @@ def geo_dim(spark: SparkSession) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events_from(spread(table(spark, sf_dir, "events"), "event_id"))
+    return raw_events_from(spread(table(spark, sf_dir, "events"), *DEALT_BY))
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_weather_from(spread(table(spark, sf_dir, "events"), "event_id"))
+    return raw_weather_from(spread(table(spark, sf_dir, "events"), *DEALT_BY))
 
 
 # ------------------------------------------------------------------ landing lines with every kind of reject
