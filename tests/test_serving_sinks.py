@@ -133,3 +133,18 @@ def test_flow_by_event_time_into_routed_tables(spark, flow, scratch, few_partiti
     alerts = upsert.read_table(spark, f"{out}/serving/alerts", flow.alerts_table.schema)
     assert alerts.count() == alerts.dropDuplicates(sinks.ALERTS_KEY).count() > 0
     assert upsert.read_table(spark, f"{out}/serving/accuracy", flow.accuracy_table.schema).count() == spark.read.parquet(f"{out}/acc").count()
+
+
+def test_buckets_of_a_routed_table_are_months_whatever_the_span_of_a_batch(spark, scratch, few_partitions):
+    """A row a day over three years: a bucket a month and part, not one a day; rows as by day, null times included."""
+    path, key = f"{scratch}/t", ["k", T]
+    rows = (spark.range(1096).select(F.concat(F.lit("k"), F.col("id")).alias("k"),
+                                     F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400).alias(T), F.col("id").cast("int").alias("v"))
+            .union(_batch(spark, [(None, None, 7)])))
+    for value in (rows, rows.withColumn("v", -F.col("v")), rows):      # delivered again: still one row a key
+        upsert.upsert(value, path, key, T, span=routing.SPAN)
+    buckets = glob.glob(f"{path}/day=*/part=*")
+    assert len(buckets) <= 37 * upsert.PARTS and max(len(glob.glob(f"{b}/version=*")) for b in buckets) <= 2
+    got = _table(spark, path)
+    assert got.count() == 1097 and got.where("v >= 0").count() == 1097
+    assert _table(spark, path, days=["2024-02-01"]).count() == 29

@@ -4,6 +4,8 @@ Layout: {path}/day=<day>/part=<hash of the key>/version=<n>.  A batch reads the
 (day, part) buckets that its rows fall into, and nothing else; it writes these buckets anew as one higher
 version and drops versions older than the one it read.  So a batch costs what its own days hold, however
 many went before, a bucket holds two folders at most, and readers of the former version aren't disturbed.
+A table whose days hold few rows keeps a month in a bucket (`span`), named by the month's first day: each
+bucket costs some file operations in the driver and a file a batch, whatever it holds.
 
 A row replaces the one of its key, so a replayed batch or a redelivered row leaves one row.  A run that
 breaks off leaves each bucket at its old or its new version; replaying the batch makes all of them new.
@@ -41,8 +43,8 @@ def versions(spark: SparkSession, path: str, day, part) -> list[int]:
     return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
 
 
-def _bucketed(rows: DataFrame, key: list[str], time: str, parts: int) -> DataFrame:
-    day = F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit(NO_DAY))
+def _bucketed(rows: DataFrame, key: list[str], time: str, parts: int, span: str) -> DataFrame:
+    day = F.coalesce(F.date_format(F.date_trunc(span, time), "yyyy-MM-dd"), F.lit(NO_DAY))
     return rows.withColumns({"day": day, "part": F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")})
 
 
@@ -55,11 +57,12 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, newest: dict[tup
     return spark.read.schema(whole).option("basePath", path).parquet(*paths).select(*whole.names)
 
 
-def upsert(rows: DataFrame, path: str, key: list[str], time: str, parts: int = PARTS) -> None:
-    """Merge `rows` into the table at `path`.  `time` is a column that rows of one key share; its day and a
-    hash of the key name the bucket.  Of rows of one batch with one key the greatest stays."""
+def upsert(rows: DataFrame, path: str, key: list[str], time: str, parts: int = PARTS, span: str = "day") -> None:
+    """Merge `rows` into the table at `path`.  `time` is a column that rows of one key share; its day (or the
+    first day of its `span`) and a hash of the key name the bucket; `parts` and `span` are the same for all
+    batches of a table.  Of rows of one batch with one key the greatest stays."""
     spark, schema = rows.sparkSession, rows.schema
-    batch = _bucketed(rows, key, time, parts).persist()
+    batch = _bucketed(rows, key, time, parts, span).persist()
     try:
         buckets = [(r["day"], r["part"]) for r in batch.select(*BUCKET).distinct().collect()]     # of this batch alone
         had = {b: versions(spark, path, *b) for b in buckets}
@@ -80,7 +83,7 @@ def upsert(rows: DataFrame, path: str, key: list[str], time: str, parts: int = P
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, days: Iterable[str] | None = None) -> DataFrame:
-    """The table as it stands (the newest version of each bucket), or the given days of it."""
+    """The table as it stands (the newest version of each bucket), or the given days of it (of months: their first days)."""
     names = _folders(spark, path) if days is None else [f"day={d}" for d in days]
     newest = {}
     for day in (n.removeprefix("day=") for n in names if n.startswith("day=")):

@@ -20,6 +20,7 @@ from wxodds.sources import sinks, topics
 from wxodds.sources.upsert import upsert
 
 QUARANTINE = "topic string, reason string, value string"
+SPAN = "month"      # of a bucket: the feeds' polls are some thousands a day
 
 
 class Table(NamedTuple):
@@ -67,7 +68,7 @@ def route(batch: DataFrame, batch_id: int, out: str) -> None:
         for name, table in TABLES.items():
             parsed = topics.parsed(batch.where(F.col("topic") == name), table.schema)
             rows = topics.rows(parsed)
-            upsert(table.rows(rows), f"{out}/{name}", table.key, table.time)
+            upsert(table.rows(rows), f"{out}/{name}", table.key, table.time, span=SPAN)
             misfit = topics.to_records(sinks.misfits(rows, table.types, table.source))
             for reason, records in (("record", parsed.where("r._bad is not null").select(F.col("r._bad").alias("value"))), ("value", misfit)):
                 bad.append(records.select(F.lit(name).alias("topic"), F.lit(reason).alias("reason"), "value"))
