@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from wxodds.functions.core import python_round4
-from wxodds.operators import accuracy, anomaly, asof, ingest, quality, serving
+from wxodds.operators import accuracy, anomaly, asof, correlate, ingest, quality, serving
 from wxodds.operators.ordered import BLOCK_SECONDS, running_sums_by_key, time_block
 from wxodds.plans.flow import Flow
 from wxodds.schemas import ACCURACY_TABLE
@@ -253,3 +253,21 @@ def test_price_sum_is_summed_once_a_row(spark):
     assert {(r.price_sum, r.arbitrage_flag) for r in shaped.collect()} == {(1.0, False)}
     plan = shaped._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("aggregate(tokens") == 1
+
+
+def test_question_is_parsed_before_the_join_not_once_a_condition(spark):
+    """On the pairs, the conditions of scoring repeated the parsing wherever they named a column of it."""
+    m = spark.createDataFrame([("c", "q", "Will the highest temperature in Rome be 20°C or above on May 1?", False, "Rome", 1704067200)] * 2
+                              + [("d", "r", "Will the temperature in Rome be 77°F on May 1?", True, "Rome", 1704067200)],
+                              "condition_id string, question_id string, question string, closed boolean, LOCATION_NAME string, s long")
+    token = F.struct(F.lit("Yes").alias("outcome"), F.lit(0.25).alias("price"), F.lit(None).cast("boolean").alias("winner"))
+    m = m.select("*", F.timestamp_seconds("s").alias("POLL_TIMESTAMP"), F.array(token).alias("tokens"), F.lit(False).alias("arbitrage_flag")).drop("s")
+    w = spark.createDataFrame([("forecast", "Rome", 21.0, 25.0), ("historical", "Rome", 25.5, 27.0)], "data_type string, LOCATION_NAME string, now double, high double")
+    w = w.select("data_type", "LOCATION_NAME", F.lit("2024-01-01").alias("date"), F.timestamp_seconds(F.lit(1704067200)).alias("POLL_TIMESTAMP"),
+                 F.struct(F.col("now").alias("temperature_2m")).alias("current"),
+                 F.struct(F.col("high").alias("temperature_2m_max"), F.lit(1.0).alias("temperature_2m_min")).alias("daily"))
+    scored = correlate.correlate(m, w)
+    got = sorted((r.condition_id, r.question_type, r.target_temp, r.actual_temp, r.ACTUAL_OUTCOME, r.yes_price) for r in scored.collect())
+    assert got == [("c", "HIGHEST", 20.0, 25.0, 1, 0.25)] * 2 + [("d", "EXACT", 25.0, 25.5, 1, 0.25)]
+    above_the_join = scored._jdf.queryExecution().optimizedPlan().toString().split("Join ")[0]
+    assert "regexp_extract" not in above_the_join and "lower(" not in above_the_join

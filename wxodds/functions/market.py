@@ -64,8 +64,13 @@ def location_key(city) -> Column:
     return F.coalesce(_c(city), F.lit(UNKNOWN_LOCATION))
 
 
-def question_type(question) -> Column:
-    q = F.lower(F.coalesce(_c(question), F.lit("")))
+def lower_text(question) -> Column:
+    return F.lower(F.coalesce(_c(question), F.lit("")))
+
+
+def question_type(question, lower=None) -> Column:
+    """`lower`: the question in lower case, if at hand."""
+    q = lower_text(question) if lower is None else _c(lower)
     return (F.when(_contains_any(q, HIGHEST_WORDS), F.lit("HIGHEST"))
             .when(_contains_any(q, LOWEST_WORDS), F.lit("LOWEST"))
             .otherwise(F.lit("EXACT")))
@@ -81,12 +86,21 @@ def target_temp(question) -> Column:
     return F.when(unit != "", celsius)
 
 
-def compute_outcome(question, actual, target) -> Column:
-    """Did the Yes event happen: strict > / < for comparison words, else within ±1 °C."""
-    q = F.lower(F.coalesce(_c(question), F.lit("")))
+def comparison(question, lower=None) -> Column:
+    """How the question compares actual and target; `lower`: the question in lower case, if at hand."""
+    q = lower_text(question) if lower is None else _c(lower)
+    return (F.when(_contains_any(q, ABOVE_WORDS), F.lit("ABOVE"))
+            .when(_contains_any(q, BELOW_WORDS), F.lit("BELOW"))
+            .otherwise(F.lit("WITHIN")))
+
+
+def compute_outcome(question, actual, target, compared=None) -> Column:
+    """Did the Yes event happen: strict > / < for comparison words, else within ±1 °C.
+    `compared`: the question's `comparison`, if at hand."""
+    c = comparison(question) if compared is None else _c(compared)
     a, t = _c(actual), _c(target)
-    return (F.when(_contains_any(q, ABOVE_WORDS), a > t)
-            .when(_contains_any(q, BELOW_WORDS), a < t)
+    return (F.when(c == "ABOVE", a > t)
+            .when(c == "BELOW", a < t)
             .otherwise(F.abs(a - t) <= EXACT_TOLERANCE_C))
 
 

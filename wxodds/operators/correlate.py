@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wxodds.functions.core import int_floor_div, round4
 from wxodds.functions.market import (
-    compute_outcome, question_type, target_temp, yes_price, yes_winner,
+    comparison, compute_outcome, lower_text, question_type, target_temp, yes_price, yes_winner,
 )
 from wxodds.operators.asof import asof_weather_join
 from wxodds.schemas import CORR_COLUMNS
@@ -48,17 +48,25 @@ def latency_seconds(market_ts: Column, weather_ts: Column) -> Column:
     return F.coalesce(F.abs(diff), F.lit(0)).cast("long")
 
 
+def market_features(markets: DataFrame) -> DataFrame:
+    """What scoring reads off a market's own row.  Added before the market meets its weather, since a condition
+    on the pairs would repeat the parsing of the question wherever it names one of these columns."""
+    d = markets
+    if "_yes_p" not in d.columns:          # token features, unless precomputed (streaming)
+        d = d.withColumn("_yes_p", yes_price(F.col("tokens"))).withColumn("_yes_win", yes_winner(F.col("tokens")))
+    return d.withColumn("_lower", lower_text("question")).withColumns({
+        "_qt": question_type("question", "_lower"), "_cmp": comparison("question", "_lower"),
+        "_target": target_temp("question")}).drop("_lower")
+
+
 def score_pairs(pairs: DataFrame, keep_extra: bool = False) -> DataFrame:
     """Matched pairs -> Correlation rows; pairs without a usable actual or target are dropped."""
     closed = F.coalesce(F.col("closed"), F.lit(False))
-    d = (pairs.withColumn("_qt", question_type(F.col("question")))
-         .withColumn("_actual", actual_temp(F.col("_qt")))
-         .withColumn("_target", target_temp(F.col("question")))
+    d = pairs if "_qt" in pairs.columns else market_features(pairs)
+    d = (d.withColumn("_actual", actual_temp(F.col("_qt")))
          .where(F.col("_actual").isNotNull() & F.col("_target").isNotNull()
                 & legacy_fresh(F.col("POLL_TIMESTAMP"))))
-    computed = compute_outcome(F.col("question"), F.col("_actual"), F.col("_target"))
-    if "_yes_p" not in d.columns:          # token features, unless precomputed (streaming)
-        d = d.withColumn("_yes_p", yes_price(F.col("tokens"))).withColumn("_yes_win", yes_winner(F.col("tokens")))
+    computed = compute_outcome("question", "_actual", "_target", "_cmp")
     outcome = F.when(closed, F.coalesce(F.col("_yes_win"), computed)).otherwise(computed)
     d = d.withColumn("_yes", F.col("_yes_p")).withColumn("_out", outcome.cast("int"))
     cols = [
@@ -82,7 +90,7 @@ def score_pairs(pairs: DataFrame, keep_extra: bool = False) -> DataFrame:
 def correlate(pred: DataFrame, wx: DataFrame, match: str = "city", keep_extra: bool = False,
               **join_opts) -> DataFrame:
     """pred x latest weather -> Correlation stream (CorrelationJob equivalent)."""
-    return score_pairs(asof_weather_join(pred, wx, match=match, **join_opts), keep_extra)
+    return score_pairs(asof_weather_join(market_features(pred), wx, match=match, **join_opts), keep_extra)
 
 
 def shape_correlation(corr: DataFrame) -> DataFrame:

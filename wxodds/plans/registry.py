@@ -324,9 +324,8 @@ def q_yes_price(f: Flow) -> DataFrame:
 
 @query("actual_temp", "SELECT question_id, qt AS question_type, actual AS actual_temp FROM valued")
 def q_actual(f: Flow) -> DataFrame:
-    j = asof.asof_weather_join(f.pred, f.wx)
-    qt = question_type(F.col("question"))
-    return j.select("question_id", qt.alias("question_type"), correlate.actual_temp(qt).alias("actual_temp"))
+    j = asof.asof_weather_join(correlate.market_features(f.pred), f.wx)
+    return j.select("question_id", F.col("_qt").alias("question_type"), correlate.actual_temp(F.col("_qt")).alias("actual_temp"))
 
 
 @query("legacy_freshness", "SELECT question_id, true AS fresh FROM pairs")
@@ -342,11 +341,9 @@ SELECT question_id, CASE
   ELSE abs(actual - target) <= 1.0 END AS computed_outcome
 FROM valued WHERE actual IS NOT NULL AND target IS NOT NULL""")
 def q_compute_outcome(f: Flow) -> DataFrame:
-    j = asof.asof_weather_join(f.pred, f.wx)
-    qt = question_type(F.col("question"))
-    d = (j.withColumn("_a", correlate.actual_temp(qt)).withColumn("_t", target_temp(F.col("question")))
-         .where(F.col("_a").isNotNull() & F.col("_t").isNotNull()))
-    return d.select("question_id", compute_outcome(F.col("question"), F.col("_a"), F.col("_t")).alias("computed_outcome"))
+    j = asof.asof_weather_join(correlate.market_features(f.pred), f.wx)
+    d = j.withColumn("_a", correlate.actual_temp(F.col("_qt"))).where(F.col("_a").isNotNull() & F.col("_target").isNotNull())
+    return d.select("question_id", compute_outcome("question", "_a", "_target", "_cmp").alias("computed_outcome"))
 
 
 @query("winner_outcome", "SELECT condition_id, POLL_TIMESTAMP, market_closed, ACTUAL_OUTCOME FROM corr")
