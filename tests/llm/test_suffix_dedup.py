@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from wxodds.llm import suffix_dedup as S
@@ -68,3 +69,23 @@ def test_long_text_in_segments(spark, docs_of, monkeypatch):
 
 def test_empty(spark, docs_of):
     assert S.dedup(docs_of([])).count() == 0
+
+
+def _pieces(texts_):
+    return pd.DataFrame({"text": texts_, "wanted": [[{"gram": k, "bytes_a": 1, "bytes_b": 2, "n_starts": 3, "start": s, "hot": False} for s in (0, 5)]
+                                                    for k in range(len(texts_))]})
+
+
+def test_fragments_of_many_texts_are_handed_over_together(monkeypatch):
+    data = ["é" + "".join(random.Random(k).choice("abc") for _ in range(900)) for k in range(300)]
+    batches = [_pieces(data[:100]), _pieces(data[100:])]
+    frames = list(S.cut_out(iter(batches)))
+    want = [d.encode()[s:s + S.LENGTH + 2] for d in data for s in (0, 5)]
+    assert len(frames) == 1 and frames[0]["bytes"].tolist() == want
+    monkeypatch.setattr(S, "HANDED", 10_000)
+    frames = list(S.cut_out(iter(batches)))
+    assert max(f["bytes"].map(len).sum() for f in frames) <= 10_000 + S.LENGTH + 2
+    assert [b for f in frames for b in f["bytes"]] == want
+    strings = list(S.hashed_strings(iter(frames)))
+    assert len(strings) < len(frames) * 30 and [len(b) for f in strings for b in f["string"]] == [16] * 3 * len(want)
+    assert [k for f in strings for k in f["k"]] == [0, 1, 2] * len(want)
