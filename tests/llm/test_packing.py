@@ -30,6 +30,21 @@ def test_ids_of_chunks_equal_those_of_whole_texts(tokenizer, monkeypatch):
         assert tokens(text) + P.CLOSING == ids_of(tokenizer, text).tobytes(), text
 
 
+def test_words_need_no_run_of_the_whole_tokenizer(tokenizer, monkeypatch):
+    rng = random.Random(6)
+    letters = [c for c in map(chr, range(65, 256)) if P._WORD.fullmatch(c)]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) + rng.choice(["", ".", "%%%", "$#!"]) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=20)) for _ in range(300)] + ["", "x" * 100_000, " "]
+    tokens, encoded = P.Tokens(P.default_tokenizer()), []
+    plain = tokens._encode
+    monkeypatch.setattr(tokens, "_encode", lambda chunks: encoded.extend(chunks) or plain(chunks))
+    some = list(P._some(enumerate(texts)))
+    assert [i for rows in some for i, _ in rows] == list(range(len(texts))) and len(some) < len(texts) / 4
+    got = [ids for rows in some for ids in tokens.many([t for _, t in rows])]
+    assert [g + P.CLOSING for g in got] == [ids_of(tokenizer, t).tobytes() for t in texts]
+    assert sorted(encoded) == sorted([".", "%%%", "$#!", "x" * 100_000])
+
+
 def check(rows, docs, tokenizer):
     want = {}
     for i, t in docs:
