@@ -66,6 +66,46 @@ def test_each_filter_of_the_scans_drops_rows(spark, flow, landed):
     assert set(reasons) == {"coordinates", "data_type", "location", "poll_timestamp"}
 
 
+def _files_a_day(path):
+    return {os.path.basename(d).removeprefix("day="): len(glob.glob(f"{d}/part-*")) for d in glob.glob(f"{path}/day=*")}
+
+
+def _polls(spark, n, day):
+    """`n` lines in 8 tasks, each of which holds polls of every day."""
+    return spark.range(0, n, 1, 8).selectExpr("concat('{\"id\":', id, '}') as value", f"{day} as day").repartition(8, "value")
+
+
+def test_a_day_is_one_file_however_many_tasks_hold_its_polls(spark, scratch):
+    lines = _polls(spark, 4000, "if(id % 41 = 40, null, date_add(date'2024-01-01', cast(id % 41 as int)))")
+    landing.write_landing(landing.dealt_by_day(lines), f"{scratch}/in")
+    files = _files_a_day(f"{scratch}/in")
+    assert len(files) == 41 and set(files.values()) == {1}
+    read = spark.read.schema(landing.LINE).format("text").load(f"{scratch}/in")
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(map(tuple, lines.collect()), key=str)
+
+
+def test_a_large_day_is_cut_among_several_tasks(spark, scratch):
+    lines = _polls(spark, 20_000, "if(id % 100 = 0, date'2024-01-02', date'2024-01-01')")
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advisory, "16k")
+    try:
+        landing.write_landing(landing.dealt_by_day(lines), f"{scratch}/in")
+    finally:
+        spark.conf.unset(advisory)
+    files = _files_a_day(f"{scratch}/in")
+    assert files["2024-01-01"] > 1 and files["2024-01-02"] == 1
+    assert spark.read.schema(landing.LINE).format("text").load(f"{scratch}/in").groupBy("day").count().orderBy("day").collect() == \
+        lines.groupBy("day").count().orderBy("day").collect()
+
+
+def test_landing_queries_write_one_file_a_day(spark):
+    from wxodds.plans import registry
+    from wxodds.plans.flow import Flow
+    lines = _polls(spark, 400, "date_add(date'2024-01-01', cast(id % 5 as int))")
+    files = _files_a_day(registry._landing(Flow(spark, "no tables"), lines, "polls"))
+    assert len(files) == 5 and set(files.values()) == {1}
+
+
 def test_landing_stream_reads_days_as_the_batch_does(spark, landed, scratch):
     day = _days(f"{landed}/weather")[0]
     stream = landing.read_landing_stream(spark, f"{landed}/weather", schemas.RAW_WEATHER, [day])

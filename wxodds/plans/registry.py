@@ -858,7 +858,7 @@ def q_write_topic_ingest(f: Flow) -> DataFrame:
 def _landing(f: Flow, lines: DataFrame, name: str) -> str:
     """A landing folder with `lines`, one folder a poll day."""
     path = f"{work_folder(f.spark)}/wxodds-landing/{name}-{uuid.uuid4().hex}"
-    landing.write_landing(lines, path)
+    landing.write_landing(landing.dealt_by_day(lines), path)
     return path
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
 LINE = "value string, day date"
+#: buckets that the days are dealt to for writing; Spark joins small ones and cuts large ones at run time
+DAY_BUCKETS = 512
 
 
 def poll_day(poll_text: Column) -> Column:
@@ -21,6 +23,13 @@ def poll_day(poll_text: Column) -> Column:
     return F.to_date(F.substring(poll_text, 1, 10))
 
 
+def dealt_by_day(lines: DataFrame) -> DataFrame:
+    """`lines` (value, day), dealt to tasks by day; written as they come, each task leaves a file in the folder
+    of every day that it holds.  So a day is one file; the days of a bucket that is too large for a task are
+    cut among several, a file each."""
+    return lines.hint("rebalance", DAY_BUCKETS, "day")
+
+
 def write_landing(lines: DataFrame, path: str, mode: str = "append") -> None:
     """Add payloads (value, day) to their days' folders."""
     lines.select("value", "day").write.mode(mode).partitionBy("day").text(path)
