@@ -1,6 +1,7 @@
 """Edge rows from FIXTURES.md §3: validation, suppression, arbitrage tolerance, missing weather
 values and the 10-point anomaly threshold."""
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
@@ -81,3 +82,23 @@ def test_anomaly_needs_ten_points(spark):
     assert ten[0].detail.startswith("accuracy=95.0% deviates >2σ from baseline mean=")
     few = acc_rows(10).withColumn("total_count", F.lit(2))
     assert anomaly.running_baseline(few).count() == 0           # windows with < 3 rows are ignored
+
+
+def test_baseline_of_more_windows_than_a_long_holds_the_squares_of(spark):
+    n = 400_000                                                 # n * sum r^2 is about 1.4e19
+    acc = spark.range(0, n, 1, 4).selectExpr(
+        "'X' as LOCATION_NAME", "timestamp_seconds(id * 900) as window_start", "timestamp_seconds(id * 900 + 3600) as window_end",
+        "5L as total_count", "if(id % 2 = 0, 1.0d, 0.9d) as accuracy_rate")
+    last = anomaly.running_baseline(acc).orderBy(F.col("window_end").desc()).first()
+    s1, s2 = n // 2 * 19_000, n // 2 * 181_000_000
+    assert n * s2 > 2 ** 63
+    assert (last.baseline_n, last.baseline_mean, last.prev_accuracy_rate) == (n, s1 / n / 10_000.0, 1.0)
+    assert last.baseline_sigma == math.sqrt(float(n * s2 - s1 * s1) / (n * (n - 1))) / 10_000.0
+
+
+def test_baseline_sums_up_to_the_largest_longs(spark):
+    top = 2 ** 63 - 1
+    rows = [(2, 7, 37), (3_000_000, 3 * 10 ** 10, 3 * 10 ** 14), (2_000_000_000, 10 ** 9, top), (1, 5, 25)]
+    base = spark.createDataFrame(rows, "baseline_n long, _s1 long, _s2 long")
+    got = {r.baseline_n: r.baseline_sigma for r in anomaly.baseline_columns(base).collect()}
+    assert got == {n: math.sqrt(float(n * s2 - s1 * s1) / (n * (n - 1))) / 10_000.0 if n > 1 else 0.0 for n, s1, s2 in rows}

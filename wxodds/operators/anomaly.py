@@ -26,6 +26,7 @@ ANOMALY_MIN_POINTS = 10
 ANOMALY_MIN_SIGMA = 0.01
 ANOMALY_SIGMAS = 2.0
 HIGH_ERROR_THRESHOLD = 0.70
+WIDE = "decimal(19, 0)"              # holds any long; products of two take 38 digits, where longs overflow
 DROP_TEXT = "accuracy dropped {prev}% → {cur}% (delta={delta}%)"
 ANOMALY_TEXT = "accuracy={cur}% deviates >2σ from baseline mean={mean}% σ={sigma}"
 ARBITRAGE_TEXT = "price sum != 1.0 | question: {question}"
@@ -64,7 +65,8 @@ def running_baseline(acc: DataFrame) -> DataFrame:
 def baseline_columns(a: DataFrame) -> DataFrame:
     """Mean and sample sigma from the running integer sums (baseline_n, _s1, _s2)."""
     n = F.col("baseline_n")
-    var_num = n * F.col("_s2") - F.col("_s1") * F.col("_s1")          # exact, in 1e-8 units * n^2
+    wide_n, wide_s1, wide_s2 = (F.col(c).cast(WIDE) for c in ("baseline_n", "_s1", "_s2"))
+    var_num = (wide_n * wide_s2 - wide_s1 * wide_s1).cast("double")   # exact before the cast, in 1e-8 units * n^2
     sigma_r = F.when(n >= 2, F.sqrt(var_num / (n * (n - 1)))).otherwise(F.lit(0.0))
     return (a.withColumn("_mean_r", F.col("_s1") / n).withColumn("_sigma_r", sigma_r)
             .withColumn("baseline_mean", F.col("_mean_r") / 10_000.0)
